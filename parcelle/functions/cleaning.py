@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from parcelle.functions.scores import steady_round
+
 MISSING_TOKENS = ("", "nan", "None")
 
 
@@ -90,7 +92,7 @@ def first_of_january(year: Column) -> Column:
 
 
 def to_decimal(c: Column, precision: int = 14, scale: int = 2) -> Column:
-    return F.round(c, scale).cast(f"decimal({precision},{scale})")
+    return steady_round(c, scale).cast(f"decimal({precision},{scale})")
 
 
 def like_or_all(c: Column, pattern: str = "%") -> Column:

@@ -163,15 +163,17 @@ def global_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def fill_with_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Null becomes the column's median; an all-null column stays null."""
-    medians = global_medians(df, columns)
-    return df.withColumns(
-        {
-            c: F.coalesce(
-                present(F.col(c)),
-                medians.where(F.col("metric") == c).agg(F.max("median")).scalar(),
-            )
-            for c in columns
-        }
+    pairs = F.collect_list(F.struct("metric", "median"))  # one entry per column
+    medians = global_medians(df, columns).agg(F.map_from_entries(pairs)).scalar()
+    return (
+        df.withColumn("_medians", medians)
+        .withColumns(
+            {
+                c: F.coalesce(present(F.col(c)), F.try_element_at(F.col("_medians"), F.lit(c)))
+                for c in columns
+            }
+        )
+        .drop("_medians")
     )
 
 

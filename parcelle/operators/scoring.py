@@ -16,9 +16,12 @@ from parcelle.functions.scores import (
 KEY = "code_commune"
 
 
-def _range_of(df: DataFrame, column: str) -> Column:
-    """Smallest and largest value as one scalar subquery."""
-    return df.agg(F.struct(F.min(column).alias("low"), F.max(column).alias("high"))).scalar()
+def _with_ranges(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Adds ``_range``: smallest and largest value of every column, from one pass."""
+    bounds = F.struct(
+        *[F.struct(F.min(c).alias("low"), F.max(c).alias("high")).alias(c) for c in columns]
+    )
+    return df.withColumn("_range", df.agg(bounds).scalar())
 
 
 def min_max_scores(
@@ -27,20 +30,20 @@ def min_max_scores(
     """0-100 between minimum and maximum (``score -> column``); constant column: 100."""
 
     def score(name: str, column: str) -> Column:
-        bounds = _range_of(df, column)
-        low, high = bounds.getField("low"), bounds.getField("high")
+        low, high = F.col(f"_range.{column}.low"), F.col(f"_range.{column}.high")
         share = steady_round(F.try_divide(F.col(column) - low, high - low) * 100, 2)
         plain = F.when(high == low, F.lit(100.0)).otherwise(share)
-        return F.lit(100.0) - plain if name in inverse else plain
+        return steady_round(100 - plain, 2) if name in inverse else plain
 
-    return df.withColumns({name: score(name, column) for name, column in metrics.items()})
+    ranged = _with_ranges(df, sorted(set(metrics.values())))
+    return ranged.withColumns({n: score(n, c) for n, c in metrics.items()}).drop("_range")
 
 
 def one_to_ten(df: DataFrame, column: str, out: str) -> DataFrame:
-    bounds = _range_of(df, column)
-    low, high = bounds.getField("low"), bounds.getField("high")
+    low, high = F.col(f"_range.{column}.low"), F.col(f"_range.{column}.high")
     spread = F.when(high == low, F.lit(1.0)).otherwise(high - low)
-    return df.withColumn(out, steady_round((F.col(column) - low) / spread * 9 + 1, 1))
+    score = steady_round((F.col(column) - low) / spread * 9 + 1, 1)
+    return _with_ranges(df, [column]).withColumn(out, score).drop("_range")
 
 
 def density_metrics() -> dict[str, Column]:

@@ -26,10 +26,12 @@ def standardise(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     ).scalar()
 
     def scaled(c: str):
-        spread = moments.getField(f"s_{c}")
-        return (F.col(c) - moments.getField(f"m_{c}")) / F.when(spread == 0, 1.0).otherwise(spread)
+        spread = F.col(f"_moments.s_{c}")
+        return (F.col(c) - F.col(f"_moments.m_{c}")) / F.when(spread == 0, 1.0).otherwise(spread)
 
-    return df.withColumns({c: scaled(c) for c in columns})
+    return (
+        df.withColumn("_moments", moments).withColumns({c: scaled(c) for c in columns}).drop("_moments")
+    )
 
 
 def similar(
@@ -58,9 +60,9 @@ def similar(
     target = scaled.where(F.col(key) == code).agg(
         F.first(F.struct(*used)).alias("t")
     ).scalar()
-    squares = [F.pow(F.col(c) - target.getField(c), F.lit(2.0)) for c in used]
+    squares = [F.pow(F.col(c) - F.col(f"_target.{c}"), F.lit(2.0)) for c in used]
     ranked = (
-        scaled.withColumn("distance", F.sqrt(reduce(add, squares)))
+        scaled.withColumn("_target", target).withColumn("distance", F.sqrt(reduce(add, squares)))
         .where(F.col("distance").isNotNull())
         .orderBy("distance", key)
         .limit(top + 1)

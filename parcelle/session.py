@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime re-planning carries most of the scale story: it measures shuffle
 # output, so joins are broadcast only after their real size is known and
@@ -47,3 +48,15 @@ def work_folder(spark: SparkSession) -> str:
     made = tempfile.mkdtemp(prefix="parcelle-")
     spark.conf.set("spark.checkpoint.dir", made)
     return made
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Writes ``df`` once under the shared folder and reads it back.
+
+    Used where several later steps start from one expensive table: it is computed
+    once, its lineage ends in storage (a lost executor re-reads files) and, unlike
+    a checkpoint, the scan still prunes columns and knows its size.
+    """
+    path = f"{work_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

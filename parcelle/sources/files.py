@@ -76,12 +76,12 @@ def read_csv_strings(spark: SparkSession, path: str, sep: str = ";", case: str =
     return clean_headers(read_csv_flexible(spark, path, sep).drop("source_file"), case)
 
 
-_COMMUNES = T.StructType.fromDDL(
+_COMMUNES = (
     "code string, nom string, codeDepartement string, codeRegion string, "
     "centre struct<coordinates: array<double>>, population int, codesPostaux array<string>"
 )
-_REGIONS = T.StructType.fromDDL("code string, nom string")
-_DEPARTMENTS = T.StructType.fromDDL("code string, nom string, codeRegion string")
+_REGIONS = "code string, nom string"
+_DEPARTMENTS = "code string, nom string, codeRegion string"
 
 
 def flatten_communes(df: DataFrame) -> DataFrame:

@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from parcelle import params as P
@@ -16,7 +15,7 @@ from parcelle.operators.filters import valid_listings
 from parcelle.operators.joins import translate_codes
 from parcelle.sources.tables import write_partitioned
 
-MESSAGE = T.StructType.fromDDL(
+MESSAGE = (
     "listing_id string, source string, commune_code string, city string, price double, "
     "surface_m2 double, price_m2 double, rooms string, postal_code string, property_type string, "
     "energy_class string, url string, title string, description string, latitude double, "
@@ -101,7 +100,7 @@ def start_two_sinks(decoded: DataFrame, bronze: str, archive: str, checkpoint: s
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        tagged = batch.withColumn("batch_id", F.lit(batch_id))
+        tagged = batch.withColumn("batch_id", F.lit(batch_id)).persist()
         good = tagged.where(F.col("quarantine").isNull()).drop("quarantine", "value")
         write_partitioned(good, bronze, ["source_name", "source_date", "batch_id"])
         try:
@@ -109,6 +108,8 @@ def start_two_sinks(decoded: DataFrame, bronze: str, archive: str, checkpoint: s
             write_partitioned(raw, archive, ["batch_id"])
         except Exception as problem:  # noqa: BLE001
             print(f"archive of batch {batch_id} skipped: {problem}")
+        finally:
+            tagged.unpersist()
 
     writer = decoded.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return _trigger(writer, drain).start()
