@@ -134,7 +134,8 @@ def grouped_stats(
         *aggregates, *[F.avg(f"_mid_{o}").alias(o) for o in medians]
     )
     large_rows = df.join(hot_keys, is_hot, "left_semi")
-    large = large_rows.groupBy(*keys).agg(*aggregates)
+    grouped = large_rows.groupBy(*keys)
+    large = grouped.agg(*aggregates) if aggregates else large_rows.select(*keys).distinct()
     for out, column in medians.items():
         part = split_median(large_rows, keys, column, out)
         part = part.select(*[F.col(k).alias(f"_m_{k}") for k in keys], out)

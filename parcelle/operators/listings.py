@@ -114,17 +114,27 @@ def card_city(text: Column) -> Column:
     return F.when(found != "", title_case(found))
 
 
+# One parse per payload: every accepted spelling is a text field of the schema.
+_SELOGER = (
+    "id string, idAnnonce string, price string, prix string, surface string, surfaceArea string, "
+    "rooms string, nombreDePieces string, city string, ville string, "
+    "address struct<addressLocality: string>, postalCode string, codePostal string, "
+    "url string, lien string, type string, typeBien string"
+)
+
+
 def _seloger(payload: Column) -> dict[str, Column]:
-    surface = F.split(F.replace(_field(payload, "surface", "surfaceArea"), F.lit(","), F.lit(".")), "m")[0]
+    ad = F.from_json(payload, _SELOGER)
+    surface = F.split(F.replace(F.coalesce(ad["surface"], ad["surfaceArea"]), F.lit(","), F.lit(".")), "m")[0]
     return {
-        "listing_id": F.coalesce(_field(payload, "id", "idAnnonce"), F.lit("")),
-        "price": to_number(F.replace(_field(payload, "price", "prix"), F.lit("€"), F.lit(""))),
+        "listing_id": F.coalesce(ad["id"], ad["idAnnonce"], F.lit("")),
+        "price": to_number(F.replace(F.coalesce(ad["price"], ad["prix"]), F.lit("€"), F.lit(""))),
         "surface_m2": F.trim(surface).try_cast("double"),
-        "rooms": to_number(_field(payload, "rooms", "nombreDePieces")).try_cast("int"),
-        "city": _field(payload, "city", "ville", "address.addressLocality"),
-        "postal_code": _field(payload, "postalCode", "codePostal"),
-        "url": F.coalesce(_field(payload, "url", "lien"), F.lit("")),
-        "property_type": _field(payload, "type", "typeBien"),
+        "rooms": to_number(F.coalesce(ad["rooms"], ad["nombreDePieces"])).try_cast("int"),
+        "city": F.coalesce(ad["city"], ad["ville"], ad["address"]["addressLocality"]),
+        "postal_code": F.coalesce(ad["postalCode"], ad["codePostal"]),
+        "url": F.coalesce(ad["url"], ad["lien"], F.lit("")),
+        "property_type": F.coalesce(ad["type"], ad["typeBien"]),
     }
 
 
@@ -155,13 +165,17 @@ def _leboncoin(payload: Column) -> dict[str, Column]:
     }
 
 
+_CDC_HABITAT = "id_lot string, id_article string, nb_prix string, latitude string, longitude string"
+
+
 def _cdc_habitat(payload: Column) -> dict[str, Column]:
+    ad = F.from_json(payload, _CDC_HABITAT)
     text, href = F.col("card.text"), F.col("card.href")
-    lot = F.coalesce(_field(payload, "id_lot"), F.lit(""))
-    amount = F.replace(F.replace(_field(payload, "nb_prix"), F.lit(" "), F.lit("")), F.lit(" "), F.lit(""))
+    lot = F.coalesce(ad["id_lot"], F.lit(""))
+    amount = F.translate(ad["nb_prix"], " \u00a0", "")
     own_page = F.concat(F.lit(f"{CDC_BASE}/annonces-immobilieres/vente/"), lot)
     return {
-        "listing_id": F.concat(F.lit("cdc_"), lot, F.lit("_"), F.coalesce(_field(payload, "id_article"), F.lit(""))),
+        "listing_id": F.concat(F.lit("cdc_"), lot, F.lit("_"), F.coalesce(ad["id_article"], F.lit(""))),
         "price": amount.try_cast("double"),
         "surface_m2": card_surface(text),
         "rooms": card_rooms(text),
@@ -171,21 +185,28 @@ def _cdc_habitat(payload: Column) -> dict[str, Column]:
         .when(href.startswith("http"), href)
         .otherwise(F.concat(F.lit(CDC_BASE), href)),
         "property_type": F.coalesce(card_type(text), F.lit("appartement")),
-        "latitude": _field(payload, "latitude").try_cast("double"),
-        "longitude": _field(payload, "longitude").try_cast("double"),
+        "latitude": ad["latitude"].try_cast("double"),
+        "longitude": ad["longitude"].try_cast("double"),
     }
 
 
+_BIENICI = (
+    "id string, title string, price string, surfaceArea string, roomsQuantity string, city string, "
+    "url string, photos array<struct<url_photo: string>>"
+)
+
+
 def _bienici(payload: Column) -> dict[str, Column]:
+    ad = F.from_json(payload, _BIENICI)
     return {
-        "listing_id": F.coalesce(_field(payload, "id"), F.lit("")),
-        "title": F.coalesce(_field(payload, "title"), F.lit("")),
-        "price": _field(payload, "price").try_cast("double"),
-        "surface_m2": _field(payload, "surfaceArea").try_cast("double"),
-        "rooms": _field(payload, "roomsQuantity").try_cast("int"),
-        "city": F.coalesce(_field(payload, "city"), F.lit("")),
-        "url": F.concat(F.lit(BIENICI_BASE), F.coalesce(_field(payload, "url"), F.lit(""))),
-        "photo": _field(payload, "photos[0].url_photo"),
+        "listing_id": F.coalesce(ad["id"], F.lit("")),
+        "title": F.coalesce(ad["title"], F.lit("")),
+        "price": ad["price"].try_cast("double"),
+        "surface_m2": ad["surfaceArea"].try_cast("double"),
+        "rooms": ad["roomsQuantity"].try_cast("int"),
+        "city": F.coalesce(ad["city"], F.lit("")),
+        "url": F.concat(F.lit(BIENICI_BASE), F.coalesce(ad["url"], F.lit(""))),
+        "photo": F.get(ad["photos"], F.lit(0))["url_photo"],
     }
 
 

@@ -1,6 +1,6 @@
 """Compares registered queries with their SQL on DuckDB.
 
-Run as a script: ``python tests/oracle.py [folder] [name ...]``.
+Run as a script: ``python tests/oracle.py [folder] [name | @module ...]``.
 """
 
 from __future__ import annotations
@@ -72,7 +72,9 @@ def main() -> None:
 
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     load_all()
-    names = sys.argv[2:] or list(QUERIES)
+    asked = sys.argv[2:]
+    modules = {a[1:] for a in asked if a.startswith("@")}
+    names = [n for n, run in QUERIES.items() if not asked or n in asked or run.__module__.split(".")[-1] in modules]
     spark = (
         SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false").config("spark.driver.memory", "12g")
