@@ -87,6 +87,16 @@ def ensure_columns(df: DataFrame, defaults: Mapping[str, Column | object]) -> Da
     return df.withColumns(missing) if missing else df
 
 
+def computed_once(df: DataFrame, cells: Mapping[str, Column]) -> DataFrame:
+    """Adds columns that a later filter reads instead of computing them again.
+
+    A filter over a plain projection is pushed below it with the expressions
+    copied into every condition. It cannot pass a generator, so costly parsing is
+    wrapped in a one-element ``inline``.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in cells.items()]))))
+
+
 def staging_communes(communes: DataFrame) -> DataFrame:
     return communes.select(
         F.col("code_commune").alias("commune_id"),

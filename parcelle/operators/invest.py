@@ -77,7 +77,8 @@ def property_tax(df: DataFrame, project: Project) -> Column:
     by_rent = F.coalesce(F.col("loyer_m2_app"), F.col("avg_price_m2") * 0.004) * 0.5
     value = F.coalesce(F.col("vl_m2_commune"), by_rent) if "vl_m2_commune" in df.columns else by_rent
     rate = F.coalesce(F.col("taux_tfb_dept"), F.lit(P.PROPERTY_TAX_DEFAULT)) / 100
-    any_rate = df.agg(F.count("taux_tfb_dept") > 0).scalar()
+    known = df.where(F.col("taux_tfb_dept").isNotNull()).select("taux_tfb_dept").limit(1)
+    any_rate = known.agg(F.count("taux_tfb_dept") > 0).scalar()
     return F.when(any_rate, steady_round(value * project.surface * 12 * rate, 0)).otherwise(700.0)
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from parcelle.functions.cleaning import title_case, to_number
 from parcelle.functions.scores import steady_round
+from parcelle.operators.columns import computed_once
 
 # --- fixed values: where portals embed their data -------------------------------
 LD_JSON = r'(?is)<script[^>]*type\s*=\s*["\']?[^"\'>]*application/ld\+json[^>]*>(.*?)</script>'
@@ -123,8 +124,7 @@ _SELOGER = (
 )
 
 
-def _seloger(payload: Column) -> dict[str, Column]:
-    ad = F.from_json(payload, _SELOGER)
+def _seloger(ad: Column) -> dict[str, Column]:
     surface = F.split(F.replace(F.coalesce(ad["surface"], ad["surfaceArea"]), F.lit(","), F.lit(".")), "m")[0]
     return {
         "listing_id": F.coalesce(ad["id"], ad["idAnnonce"], F.lit("")),
@@ -145,9 +145,7 @@ _LEBONCOIN = (
 )
 
 
-def _leboncoin(payload: Column) -> dict[str, Column]:
-    ad = F.from_json(payload, _LEBONCOIN)
-
+def _leboncoin(ad: Column) -> dict[str, Column]:
     def attribute(name: str) -> Column:
         last = F.try_element_at(F.filter(ad["attributes"], lambda a: a["key"] == name), F.lit(-1))
         return F.coalesce(last["value_label"], F.get(last["values"], F.lit(0)))
@@ -168,8 +166,7 @@ def _leboncoin(payload: Column) -> dict[str, Column]:
 _CDC_HABITAT = "id_lot string, id_article string, nb_prix string, latitude string, longitude string"
 
 
-def _cdc_habitat(payload: Column) -> dict[str, Column]:
-    ad = F.from_json(payload, _CDC_HABITAT)
+def _cdc_habitat(ad: Column) -> dict[str, Column]:
     text, href = F.col("card.text"), F.col("card.href")
     lot = F.coalesce(ad["id_lot"], F.lit(""))
     amount = F.translate(ad["nb_prix"], " \u00a0", "")
@@ -180,7 +177,7 @@ def _cdc_habitat(payload: Column) -> dict[str, Column]:
         "surface_m2": card_surface(text),
         "rooms": card_rooms(text),
         "city": F.coalesce(card_city(text), F.col("location")),
-        "postal_code": F.col("postal_code"),
+        "postal_code": F.col("_postal"),
         "url": F.when(F.coalesce(href, F.lit("")) == "", own_page)
         .when(href.startswith("http"), href)
         .otherwise(F.concat(F.lit(CDC_BASE), href)),
@@ -196,8 +193,7 @@ _BIENICI = (
 )
 
 
-def _bienici(payload: Column) -> dict[str, Column]:
-    ad = F.from_json(payload, _BIENICI)
+def _bienici(ad: Column) -> dict[str, Column]:
     return {
         "listing_id": F.coalesce(ad["id"], F.lit("")),
         "title": F.coalesce(ad["title"], F.lit("")),
@@ -210,7 +206,10 @@ def _bienici(payload: Column) -> dict[str, Column]:
     }
 
 
-_PORTALS = {"seloger": _seloger, "leboncoin": _leboncoin, "cdc_habitat": _cdc_habitat, "bienici": _bienici}
+_PORTALS = {
+    "seloger": (_SELOGER, _seloger), "leboncoin": (_LEBONCOIN, _leboncoin),
+    "cdc_habitat": (_CDC_HABITAT, _cdc_habitat), "bienici": (_BIENICI, _bienici),
+}
 _TYPES = {"price": "double", "surface_m2": "double", "price_m2": "double", "rooms": "int",
           "latitude": "double", "longitude": "double"}
 
@@ -222,12 +221,13 @@ def normalize_listings(raw: DataFrame, portal: str) -> DataFrame:
     """
     if portal not in _PORTALS:
         raise ValueError(f"unknown portal: {portal}")
-    fields = _PORTALS[portal](F.col("payload"))
-    place = F.col("postal_code") if portal == "cdc_habitat" else F.col("location")
-    rows = raw.select(
-        *[c.alias(name) for name, c in fields.items()],
-        place.alias("commune_code"), F.col("scraped_at"),
+    schema, read = _PORTALS[portal]
+    place = F.col("_postal") if portal == "cdc_habitat" else F.col("location")
+    cells = read(F.col("_ad")) | {"commune_code": place, "scraped_at": F.col("_scraped")}
+    parsed = raw.withColumn("_ad", F.from_json("payload", schema)).withColumnsRenamed(
+        {"postal_code": "_postal", "scraped_at": "_scraped"}
     )
+    rows = computed_once(parsed, cells).select(*cells)
     price, surface = F.col("price"), F.col("surface_m2")
     if portal in ("seloger", "leboncoin"):
         rows = rows.where((price != 0) & (surface != 0))

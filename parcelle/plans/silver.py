@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelle.functions import cleaning as c
-from parcelle.operators.columns import normalize_columns, resolve_columns
+from parcelle.operators.columns import computed_once, normalize_columns, resolve_columns
 from parcelle.operators.dedup import exact_rows
 from parcelle.operators.filters import valid_sales
 from parcelle.params import SALE_COLUMNS
@@ -22,17 +22,25 @@ def bronze_sales(raw: DataFrame, year: int) -> DataFrame:
 
 def clean_sales(resolved: DataFrame, year) -> DataFrame:
     """Coerces the logical columns; a missing commune code stays null and drops out."""
-    amount, surface = c.to_number(F.col("valeur_fonciere")), c.to_number(F.col("surface_reelle_bati"))
-    typed = resolved.select(
-        c.to_timestamp(F.col("date_mutation")).alias("date_mutation"),
-        amount.alias("valeur_fonciere"),
-        surface.alias("surface_reelle_bati"),
+    parsed = computed_once(
+        resolved,
+        {
+            "_date": c.to_timestamp(F.col("date_mutation")),
+            "_amount": c.to_number(F.col("valeur_fonciere")),
+            "_surface": c.to_number(F.col("surface_reelle_bati")),
+            "_code": c.commune_code(F.col("code_commune")),
+        },
+    )
+    typed = parsed.select(
+        F.col("_date").alias("date_mutation"),
+        F.col("_amount").alias("valeur_fonciere"),
+        F.col("_surface").alias("surface_reelle_bati"),
         c.to_int(F.col("nombre_pieces")).alias("nombre_pieces"),
         F.col("type_local").cast("string").alias("type_local"),
-        c.commune_code(F.col("code_commune")).alias("code_commune"),
+        F.col("_code").alias("code_commune"),
         c.title_case(F.col("nom_commune")).alias("nom_commune"),
         c.postal_code(F.col("code_postal")).alias("code_postal"),
-        c.unit_price(amount, surface).alias("prix_m2"),
+        c.unit_price(F.col("_amount"), F.col("_surface")).alias("prix_m2"),
         F.lit("DVF").alias("source"),
         (year if not isinstance(year, int) else F.lit(year)).alias("year"),
     )

@@ -272,7 +272,7 @@ def _final(name):
 )
 def investor_final_score(spark, folder):
     """Inputs are rounded first: a rank must not hang on the last digit of a double."""
-    metrics = invest.vacancy_risk(invest.rental_metrics(scoring.with_quality(S.territory(spark, folder), _QUALITY)))
+    metrics = invest.vacancy_risk(invest.rental_metrics(scoring.with_quality(S.territory(spark, folder, keep=True), _QUALITY)))
     vacancy = F.col("taux_vacance")
     pool = rounded(
         metrics.select(

@@ -185,7 +185,7 @@ def _demo_sql():
 
 @query("demo_composite", _demo_sql())
 def demo_composite(spark, folder):
-    df = S.territory(spark, folder).withColumn(
+    df = S.territory(spark, folder, keep=True).withColumn(
         "annual_price_growth", F.coalesce("annual_price_growth", F.lit(0.0))
     )
     return rounded(

@@ -298,11 +298,13 @@ property_tax AS (
     FROM part LEFT JOIN tax_rates ON dept = lpad(CAST(p_partkey % 100 AS VARCHAR), 2, '0'))"""
 
 
-def territory(spark: SparkSession, folder: str) -> DataFrame:
+def territory(spark: SparkSession, folder: str, keep: bool = False) -> DataFrame:
+    """The territory table; ``keep`` writes it out where several steps read it."""
     from parcelle.operators.aggregates import equipment_counts, network_coverage
     from parcelle.plans.territory import territory_scores
+    from parcelle.session import stored
 
-    return territory_scores(
+    built = territory_scores(
         communes(spark, folder).drop("codes_postaux"),
         prices(spark, folder),
         regions=regions(spark, folder),
@@ -312,6 +314,7 @@ def territory(spark: SparkSession, folder: str) -> DataFrame:
         property_tax=property_tax(spark, folder),
         incomes=incomes(spark, folder),
     )
+    return stored(built, "scores") if keep else built
 
 
 def rank_sql(x: str) -> str:
