@@ -115,12 +115,13 @@ def grouped_stats(
     is_hot = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_h_{k}")) for k in keys])
     hot_keys = F.broadcast(hot)
     ordinary_rows = df.join(hot_keys, is_hot, "left_anti")
-    # The windows and the group-by share one partitioning: a single shuffle.
-    group = Window.partitionBy(*keys)
+    # The windows and the group-by share one partitioning, and both window
+    # functions one ordering: a single shuffle and a single sort.
     for out, column in medians.items():
         value = present(F.col(column))
-        known = F.count(value).over(group)
-        place = F.row_number().over(group.orderBy(value.asc_nulls_last()))
+        ordered = Window.partitionBy(*keys).orderBy(value.asc_nulls_last())
+        everything = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        known, place = F.count(value).over(everything), F.row_number().over(ordered)
         ordinary_rows = ordinary_rows.withColumns({"_known": known, "_place": place}).withColumn(
             f"_mid_{out}",
             F.when(

@@ -12,6 +12,7 @@ from parcelle import params as P
 from parcelle.functions import finance as fin
 from parcelle.functions.scores import clip, steady_round
 from parcelle.operators.columns import ensure_columns
+from parcelle.session import fan_out
 
 
 @dataclass(frozen=True)
@@ -255,7 +256,10 @@ def project(
         key, "prix_bien_possible", "montant_emprunte", "mensualite_commune", "loyer_estime",
         "charges_tot_annuelles", "taux_vacance", F.inline(cases),
     )
-    years = base.withColumn("annee", F.explode(F.sequence(F.lit(1), F.lit(horizon))))
+    # A key of its own, so that the fan-out is not merged into an earlier shuffle;
+    # the running sum below asks for the same partitioning.
+    spread_out = fan_out(base, key, "scenario")
+    years = spread_out.withColumn("annee", F.explode(F.sequence(F.lit(1), F.lit(horizon))))
     before = F.col("annee") - 1
     rent = F.col("loyer_estime") * 12 * F.pow(1 + F.col("rent_pct") / 100, before)
     charges = F.col("charges_tot_annuelles") * F.pow(1 + F.col("charge_pct") / 100, before)

@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelle.params import PROPERTY_TAX_DEFAULT, PROPERTY_TAX_RATES, equipment_codes
+from parcelle.params import EQUIPMENT_RANGES, PROPERTY_TAX_DEFAULT, PROPERTY_TAX_RATES
 
 
 def with_region_names(communes: DataFrame, regions: DataFrame | None) -> DataFrame:
@@ -50,7 +50,13 @@ def literal_lookup(key: Column, table: Mapping[str, object], default=None) -> Co
 
 
 def equipment_category(code: Column) -> Column:
-    return literal_lookup(F.upper(F.trim(code)), dict(equipment_codes()))
+    """Category of a four-character equipment code, by range; others are null."""
+    text = F.upper(F.trim(code))
+    category = F.lit(None).cast("string")
+    for name, ranges in EQUIPMENT_RANGES.items():
+        for first, last in ranges:
+            category = F.when(text.between(first, last), name).otherwise(category)
+    return F.when(text.rlike("^[A-Z][0-9]{3}$"), category)
 
 
 def property_tax_rate(department: Column) -> Column:

@@ -7,13 +7,20 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from parcelle.session import fan_out
+
 GRID_DIGITS = 2
-# Cell side in degrees at level 0; each level is twice as wide. Fifteen levels
-# reach beyond 360 degrees, so every centroid of a group is found at the last one.
-CELL = 0.02
-LEVELS = 15
-# Salts for the point side: a cell may hold a large share of all points.
-POINT_SALTS = 16
+# A cell is 360 / 2^19 degrees wide at level 0 and twice as wide at each next
+# level, so at the last level every centroid of a group is within reach.
+LEVELS = 20
+CELL = 360.0 / 2 ** (LEVELS - 1)
+# The search starts at the widest level where a centroid shares its cell with one
+# other on average, as the centroids see it. A dense cluster pulls this down.
+CROWD = 2.0
+# A cell with more points than this is split. At most points / HOT_CELL cells are,
+# which bounds the broadcast of their keys.
+HOT_CELL = 100_000
+HOT_SALTS = 64
 
 
 def grid_counts(points: DataFrame, centroids: DataFrame, lat: str, lon: str, out: str) -> DataFrame:
@@ -74,53 +81,72 @@ def nearest(
     7x7 block of the same level. Only those few centroids meet the points.
     """
     group = F.col(within) if within else F.lit(0)
+    top = F.lit(LEVELS - 1)
     cents = centroids.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()).groupBy(
         group.alias("_g"), F.col("latitude").alias("_clat"), F.col("longitude").alias("_clon")
     ).agg(F.min("code_commune").alias("code_commune"))
-    leveled = cents.withColumn("_level", F.explode(F.sequence(F.lit(0), F.lit(LEVELS - 1)))).withColumns(
+    leveled = cents.withColumn("_level", F.explode(F.sequence(F.lit(0), top))).withColumns(
         {"_x": _cell(F.col("_clon"), F.col("_level")), "_y": _cell(F.col("_clat"), F.col("_level"))}
     )
-    located = points.where(F.col(lat).isNotNull() & F.col(lon).isNotNull()).select(
-        *point_id,
-        group.alias("_g"),
-        F.col(lat).alias("_lat"),
-        F.col(lon).alias("_lon"),
-        _cell(F.col(lon), 0).alias("_px"),
-        _cell(F.col(lat), 0).alias("_py"),
+    n = F.col("n")
+    start = F.coalesce(
+        leveled.groupBy("_g", "_level", "_x", "_y").agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("_level").agg((F.sum(n * n) / F.sum(n)).alias("crowd"))
+        .where(F.col("crowd") <= CROWD).agg(F.max("_level")).scalar(),
+        F.lit(0),
+    )
+    located = (
+        points.where(F.col(lat).isNotNull() & F.col(lon).isNotNull())
+        .select(
+            *point_id, group.alias("_g"), F.col(lat).alias("_lat"), F.col(lon).alias("_lon"),
+            start.alias("_start"),
+        )
+        .withColumns(
+            {"_px": _cell(F.col("_lon"), F.col("_start")), "_py": _cell(F.col("_lat"), F.col("_start"))}
+        )
     )
-    cells = located.select("_g", "_px", "_py").distinct()
     near = (
-        leveled.select("_g", "_level", "_x", "_y")
+        leveled.where(F.col("_level") >= start)
+        .select("_g", "_level", "_x", "_y")
         .distinct()
         .withColumn("_d", _block(1))
         .select("_g", "_level", (F.col("_x") + F.col("_d.dx")).alias("_x"), (F.col("_y") + F.col("_d.dy")).alias("_y"))
         .distinct()
     )
-    # A level-0 cell lies wholly inside one cell of every higher level.
-    at_level = cells.withColumn("_level", F.explode(F.sequence(F.lit(0), F.lit(LEVELS - 1)))).withColumns(
-        {
-            "_x": F.floor(F.col("_px") / F.pow(F.lit(2.0), F.col("_level"))),
-            "_y": F.floor(F.col("_py") / F.pow(F.lit(2.0), F.col("_level"))),
-        }
+    # A start cell lies wholly inside one cell of every higher level.
+    shrink = F.pow(F.lit(2.0), F.col("_level") - F.col("_start"))
+    parent = {"_x": F.floor(F.col("_px") / shrink), "_y": F.floor(F.col("_py") / shrink)}
+    cells = located.groupBy("_g", "_px", "_py", "_start").agg(
+        (F.count(F.lit(1)) > HOT_CELL).alias("_hot")
     )
     narrowest = (
-        at_level.join(near, ["_g", "_level", "_x", "_y"], "left_semi")
-        .groupBy("_g", "_px", "_py")
-        .agg(F.min("_level").alias("_level"))
+        cells.withColumn("_level", F.explode(F.sequence(F.col("_start"), top)))
+        .withColumns(parent)
+        .join(near, ["_g", "_level", "_x", "_y"], "left_semi")
+        .groupBy("_g", "_px", "_py", "_start")
+        .agg(F.min("_level").alias("_level"), F.first("_hot").alias("_hot"))
     )
     candidates = (
-        narrowest.withColumn("_d", _block(3))
+        fan_out(narrowest, "_g", "_px", "_py")
+        .withColumns(parent)
+        .withColumn("_d", _block(3))
         .select(
-            "_g", "_px", "_py", "_level",
-            (F.floor(F.col("_px") / F.pow(F.lit(2.0), F.col("_level"))) + F.col("_d.dx")).alias("_x"),
-            (F.floor(F.col("_py") / F.pow(F.lit(2.0), F.col("_level"))) + F.col("_d.dy")).alias("_y"),
+            "_g", "_px", "_py", "_level", "_hot",
+            (F.col("_x") + F.col("_d.dx")).alias("_x"), (F.col("_y") + F.col("_d.dy")).alias("_y"),
         )
         .join(leveled, ["_g", "_level", "_x", "_y"])
-        .select("_g", "_px", "_py", "_clat", "_clon", "code_commune")
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(POINT_SALTS - 1))))
+        .select(
+            "_g", "_px", "_py", "_clat", "_clon", "code_commune",
+            F.explode(
+                F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(HOT_SALTS - 1))).otherwise(F.array(F.lit(0)))
+            ).alias("_salt"),
+        )
     )
-    salted = located.withColumn(
-        "_salt", F.pmod(F.xxhash64(*point_id), F.lit(POINT_SALTS)).cast("int")
+    hot = F.broadcast(cells.where("_hot").select("_g", "_px", "_py", "_hot"))
+    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(*point_id), F.lit(HOT_SALTS))).otherwise(0)
+    salted = fan_out(
+        located.join(hot, ["_g", "_px", "_py"], "left").withColumn("_salt", salt.cast("int")),
+        "_g", "_px", "_py", "_salt",
     )
     dlat, dlon = F.col("_lat") - F.col("_clat"), F.col("_lon") - F.col("_clon")
     return (

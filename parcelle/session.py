@@ -50,6 +50,15 @@ def work_folder(spark: SparkSession) -> str:
     return made
 
 
+def fan_out(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partitions by ``keys`` with the session's full partition count.
+
+    For rows that are few in bytes but fan out to much work: adaptive execution
+    would merge their small partitions, which it leaves alone after an explicit count.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Writes ``df`` once under the shared folder and reads it back.
 

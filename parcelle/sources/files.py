@@ -15,6 +15,16 @@ DELIMITERS = ",;\t|"
 _OVERFLOW = "_overflow"
 
 
+def spread(df: DataFrame, at_most: int = 32) -> DataFrame:
+    """Evens out an input with fewer splits than cores (a gzip or one-group file).
+
+    Such an input is small or unsplittable, so the extra shuffle is cheap next to
+    parsing it in one task. An input with enough splits is returned as it is.
+    """
+    wanted = min(df.sparkSession.sparkContext.defaultParallelism, at_most)
+    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
+
+
 def sniff_delimiter(header: str) -> str:
     """The most frequent candidate outside quotes in the header line."""
     counts: Counter[str] = Counter()
@@ -49,8 +59,7 @@ def read_csv_flexible(spark: SparkSession, path: str, sep: str | None = None) ->
     """Any delimiter, UTF-8 or Latin-1, gzip or plain; over-long lines are skipped.
 
     All columns are texts. ``source_file`` names the file. Only the header line
-    comes to the driver. A gzip file is one split, so large ones should be
-    repartitioned by the caller before wide work.
+    comes to the driver. A gzip file is one split: ``spread`` it before wide work.
     """
     head = spark.read.option("encoding", "ISO-8859-1").text(path).head()
     if head is None:

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from parcelle import params as P
 from parcelle.operators.aggregates import listing_stats
+from parcelle.operators.columns import computed_once
 from parcelle.operators.dedup import latest_snapshot
 from parcelle.operators.filters import valid_listings
 from parcelle.operators.joins import translate_codes
@@ -49,12 +50,13 @@ def read_kafka(spark: SparkSession, servers: str, topics: Sequence[str]) -> Data
 def decode(messages: DataFrame, now: Column | None = None) -> DataFrame:
     """JSON to listing columns. ``source_name`` defaults to unknown; unreadable
     messages keep their text in ``quarantine``."""
-    parsed = F.from_json("value", MESSAGE)
     readable = F.try_parse_json("value").isNotNull()
     day = F.date_format(now if now is not None else F.current_timestamp(), "yyyy-MM-dd")
-    return messages.select(
-        F.when(readable, parsed).alias("m"), F.when(~readable, F.col("value")).alias("quarantine"), "value"
-    ).select(
+    parsed = computed_once(
+        messages.select("value"),
+        {"m": F.from_json("value", MESSAGE), "quarantine": F.when(~readable, F.col("value"))},
+    )
+    return parsed.select(
         "m.*",
         F.coalesce(F.nullif(F.col("m.source"), F.lit("")), F.lit("unknown")).alias("source_name"),
         day.alias("source_date"), "quarantine", "value",

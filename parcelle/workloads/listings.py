@@ -172,7 +172,7 @@ def _oracle(fields: dict[str, str], source: str, where: str, table: str = "linei
 
 
 def _items(spark, folder):
-    return S.table(spark, folder, "lineitem")
+    return S.wide_work(spark, folder, "lineitem")
 
 
 _ID = "CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR)"
@@ -321,7 +321,7 @@ def normalize_cdc(spark, folder):
         F.lit("<html><script>var searchBootstrap = "), lot, F.lit(";</script>"), other,
         F.when(odd, card).otherwise(""), F.lit("</html>"),
     )
-    pages = S.table(spark, folder, "orders").select(
+    pages = S.wide_work(spark, folder, "orders").select(
         html.alias("html"), F.lit("Vanves").alias("location"), F.lit("94600").alias("postal_code"), _envelope()[1]
     )
     return L.normalize_listings(L.extract_lots(pages), "cdc_habitat")
@@ -347,7 +347,7 @@ def embedded_json(spark, folder):
     )
     single = F.format_string('<script type="application/ld+json">%s</script>', item("f"))
     html = F.concat("html", F.when(kind == 0, next_data).when(kind == 1, linked).when(kind == 2, single).otherwise(""))
-    found = L.extract_embedded_json(S.table(spark, folder, "pages").withColumn("html", html))
+    found = L.extract_embedded_json(S.wide_work(spark, folder, "pages").withColumn("html", html))
     return found.select(
         "page_id", F.get_json_object("payload", "$.id").alias("id"), F.get_json_object("payload", "$.url[0]").alias("url")
     )

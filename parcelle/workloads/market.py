@@ -63,7 +63,7 @@ clean AS (
 
 def _raw_sales(spark, folder):
     key = F.col("l_orderkey")
-    items = S.table(spark, folder, "lineitem")
+    items = S.wide_work(spark, folder, "lineitem")
     names = S.table(spark, folder, "part").select("p_partkey", F.col("p_name").alias("commune"))
     return items.join(names, items.l_partkey == names.p_partkey).select(
         F.date_format("l_shipdate", "yyyy-MM-dd").alias("date_mutation"),

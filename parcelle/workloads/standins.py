@@ -12,12 +12,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelle.functions.cleaning import pad_code, unit_price
+from parcelle.sources.files import spread
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def wide_work(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table about to be parsed row by row: evened out if it has too few splits."""
+    return spread(table(spark, folder, name))
+
+
 def code_of(column: str):
     return pad_code(F.col(column).cast("string"))
 
