@@ -12,7 +12,7 @@ from parcelle.functions.order_stats import grouped_stats
 from parcelle.functions.scores import row_mean
 from parcelle.operators.columns import is_4g, is_5g, resolve_by_pattern
 from parcelle.operators.filters import apartments
-from parcelle.operators.joins import equipment_category
+from parcelle.operators.joins import equipment_categories
 from parcelle.params import (
     EQUIPMENT_CODE_COLUMNS, EQUIPMENT_RANGES, NETWORK_CODE_COLUMNS, POI_TYPES,
 )
@@ -31,9 +31,8 @@ def equipment_counts(equipment: DataFrame) -> DataFrame:
     if code is None:
         raise ValueError(f"no commune code column among {equipment.columns}")
     rows = equipment.select(
-        commune_code(F.col(code)).alias("code_commune"),
-        equipment_category(F.col("TYPEQU")).alias("category"),
-    ).where(F.col("category").isNotNull())
+        commune_code(F.col(code)).alias("code_commune"), F.upper(F.trim("TYPEQU")).alias("TYPEQU")
+    ).join(F.broadcast(equipment_categories(equipment.sparkSession)), "TYPEQU")
     return pivot_counts(rows, "code_commune", "category", {c: c for c in EQUIPMENT_RANGES})
 
 

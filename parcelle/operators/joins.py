@@ -9,10 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelle.params import EQUIPMENT_RANGES, PROPERTY_TAX_DEFAULT, PROPERTY_TAX_RATES
+from parcelle.params import PROPERTY_TAX_DEFAULT, PROPERTY_TAX_RATES, equipment_codes
 
 
 def with_region_names(communes: DataFrame, regions: DataFrame | None) -> DataFrame:
@@ -49,14 +49,10 @@ def literal_lookup(key: Column, table: Mapping[str, object], default=None) -> Co
     return F.coalesce(found, F.lit(default)) if default is not None else found
 
 
-def equipment_category(code: Column) -> Column:
-    """Category of a four-character equipment code, by range; others are null."""
-    text = F.upper(F.trim(code))
-    category = F.lit(None).cast("string")
-    for name, ranges in EQUIPMENT_RANGES.items():
-        for first, last in ranges:
-            category = F.when(text.between(first, last), name).otherwise(category)
-    return F.when(text.rlike("^[A-Z][0-9]{3}$"), category)
+def equipment_categories(spark: SparkSession) -> DataFrame:
+    """The fixed code table (TYPEQU, category), under 200 rows."""
+    rows = [F.struct(F.lit(code).alias("TYPEQU"), F.lit(name).alias("category")) for code, name in equipment_codes()]
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def property_tax_rate(department: Column) -> Column:
