@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelle import params as P
@@ -16,24 +16,32 @@ class QualityError(ValueError):
     """A hard check failed."""
 
 
+def _rows(checks) -> Column:
+    return F.array(
+        *[
+            F.struct(
+                F.lit(name).alias("name"), passed.alias("passed"),
+                F.lit(severity).alias("severity"), detail.alias("detail"),
+            )
+            for name, passed, severity, detail in checks
+        ]
+    )
+
+
 def gold_checks(gold: DataFrame, year: int) -> DataFrame:
     """(name, passed, severity, detail) rows for the commune price mart.
 
     Uniqueness is measured on pre-grouped (commune, year) rows: the counts of each
     group are summed first, then one small pass yields all checks.
     """
-    present = all(c in gold.columns for c in REQUIRED)
-    if not present:
+    if not all(c in gold.columns for c in REQUIRED):
         return gold.agg(F.count(F.lit(1)).alias("rows")).select(
             F.inline(
-                F.array(
-                    F.struct(
-                        F.lit("non_empty").alias("name"), (F.col("rows") > 0).alias("passed"),
-                        F.lit("hard").alias("severity"), F.concat(F.col("rows").cast("string"), F.lit(" rows")).alias("detail"),
-                    ),
-                    F.struct(
-                        F.lit("required_columns_present"), F.lit(False), F.lit("hard"), F.lit(""),
-                    ),
+                _rows(
+                    [
+                        ("non_empty", F.col("rows") > 0, "hard", F.concat(F.col("rows").cast("string"), F.lit(" rows"))),
+                        ("required_columns_present", F.lit(False), "hard", F.lit("")),
+                    ]
                 )
             )
         )
@@ -91,18 +99,9 @@ def gold_checks(gold: DataFrame, year: int) -> DataFrame:
              text(F.col("extreme"), "extreme")),
             ("yoy_variation_realistic", F.col("extreme") == 0, "warn", text(F.col("extreme"), "extreme")),
         ]
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("name"), passed.alias("passed"),
-                F.lit(severity).alias("severity"), detail.alias("detail"),
-            )
-            for name, passed, severity, detail in checks
-        ]
-    )
     # An empty mart has only its two structural results.
     structural = F.col("name").isin("non_empty", "required_columns_present")
-    return totals.select("rows", F.inline(rows)).where((F.col("rows") > 0) | structural).drop("rows")
+    return totals.select("rows", F.inline(_rows(checks))).where((F.col("rows") > 0) | structural).drop("rows")
 
 
 def gate(checks: DataFrame) -> list:

@@ -58,10 +58,11 @@ def departments(df: DataFrame, code_region: str | None = None) -> DataFrame:
 
 
 def communes(df: DataFrame, code_departement: str | None = None, limit: int = 500) -> DataFrame:
+    most = _limit(limit, 5_000)
     rows = all_of(df, [equals_if("code_departement", code_departement)])
     return top(
         rows.select("code_commune", "nom_commune", "latitude", "longitude", "population"),
-        [F.col("nom_commune"), F.col("code_commune")], _limit(limit, 5_000),
+        [F.col("nom_commune"), F.col("code_commune")], most,
     )
 
 
