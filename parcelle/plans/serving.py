@@ -8,9 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelle import params as P
+from parcelle.functions.finance import gross_yield
 from parcelle.operators.aggregates import plain_listing_mean
 from parcelle.operators.dedup import first_per_key, top_per_key
 from parcelle.operators.filters import all_of, at_least_if, at_most_if, equals_if, in_codes
+from parcelle.operators.joins import with_predictions
 
 # --- fixed values: columns of the reports -------------------------------------------
 RANKING_COLUMNS = [
@@ -102,6 +104,25 @@ def commune(full: DataFrame, code: str) -> DataFrame:
     return found
 
 
+def commune_profiles(
+    territory: DataFrame, predictions: DataFrame | None = None, listing_means: DataFrame | None = None
+) -> DataFrame:
+    """Key figures of each commune; forecast and asking-price gap where known."""
+    df = territory.select(
+        "code_commune", "nom_commune", "avg_price_m2", "investment_potential_score", "annual_price_growth",
+        gross_yield(F.col("avg_price_m2")).alias("rendement_brut"), "network_score", "transport_score",
+    )
+    if predictions is not None:
+        df = with_predictions(df, predictions)
+    if listing_means is not None:
+        asked, sold = F.col("prix_annonces"), F.col("avg_price_m2")
+        means = listing_means.select("code_commune", F.col("avg_listing_price_m2").alias("prix_annonces"))
+        df = df.join(means, "code_commune", "left").withColumn(
+            "ecart_annonces_pct", F.try_divide(asked - sold, sold) * 100
+        )
+    return df
+
+
 def ranking_view(territory: DataFrame) -> DataFrame:
     return territory.select(*RANKING_VIEW)
 

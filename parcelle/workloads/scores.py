@@ -313,3 +313,19 @@ def department_list(spark, folder):
 @query("region_list", f"WITH {S.REGIONS} SELECT code_region, nom_region FROM regions")
 def region_list(spark, folder):
     return serving.regions(S.regions(spark, folder))
+
+
+@query(
+    "commune_profiles",
+    f"""WITH {S.TERRITORY_ALL}, {S.LISTINGS}, {S.VALID}, {S.LATEST}, {S.LISTING_STATS}, means AS (
+            SELECT code_commune, sum(avg_listing_price_m2 * listing_count) / sum(listing_count) AS asked FROM listing_stats GROUP BY 1)
+        SELECT code_commune, nom_commune, rnd(avg_price_m2, 4) AS avg_price_m2, investment_potential_score,
+            rnd(annual_price_growth, 4) AS annual_price_growth, CASE WHEN avg_price_m2 < 1500 THEN 7.0 WHEN avg_price_m2 < 2500 THEN 6.0
+            WHEN avg_price_m2 < 3500 THEN 5.0 WHEN avg_price_m2 < 5000 THEN 4.2 WHEN avg_price_m2 < 8000 THEN 3.5 ELSE 3.0 END::DOUBLE AS rendement_brut,
+            network_score, transport_score, rnd(asked, 4) AS prix_annonces,
+            rnd((asked - avg_price_m2) / avg_price_m2 * 100, 4) AS ecart_annonces_pct
+        FROM territory LEFT JOIN means USING (code_commune)""",
+)
+def commune_profiles(spark, folder):
+    means = aggregates.weighted_listing_mean(S.listing_stats(spark, folder))
+    return rounded(serving.commune_profiles(S.territory(spark, folder), listing_means=means))
