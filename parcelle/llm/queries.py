@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelle.llm.common import table
+from parcelle.llm.near import near_duplicates
 from parcelle.llm.quality import MAX_RATE, quality_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,3 +58,8 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality_rules(table(spark, folder, "documents"), carry=["doc_id"])
     return judged.select("doc_id", "__m.*", F.col("__failed").alias("base_failed"), F.col("__kept").alias("kept"))
+
+
+@query("op2_near_duplicates")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "documents"), shingle_words=2)
