@@ -24,6 +24,8 @@ def kept_table(df: DataFrame, name: str) -> DataFrame:
     """
     path = f"{work_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    # finished steps' shuffle files go once the JVM notices that nobody refers to them
+    df.sparkSession.sparkContext._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
