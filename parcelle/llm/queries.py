@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from parcelle.llm.common import table
 from parcelle.llm.near import near_duplicates
 from parcelle.llm.quality import MAX_RATE, quality_rules
+from parcelle.llm.substrings import substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -63,3 +64,27 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
 @query("op2_near_duplicates")
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"), shingle_words=2)
+
+
+def sha256(column: str):
+    return F.sha2(F.col(column).cast("binary"), 256)
+
+
+OP9_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+u AS (SELECT k, doc_id, unnest(ws) AS w, unnest(range(len(ws))) AS i FROM d),
+g AS (SELECT k, doc_id, i, string_agg(w, ' ') OVER o AS win, count(*) OVER o AS n FROM u
+      WINDOW o AS (PARTITION BY k ORDER BY i ROWS BETWEEN CURRENT ROW AND 49 FOLLOWING)),
+f AS (SELECT md5(win) AS win, k, doc_id, i FROM g WHERE n = 50),
+l AS (SELECT k, i, min(doc_id) OVER (PARTITION BY win) < doc_id AS hit FROM f),
+c AS (SELECT u.k, u.i, u.w, coalesce(max(l.hit::INT) OVER (PARTITION BY u.k ORDER BY u.i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW), 0) AS gone
+      FROM u LEFT JOIN l USING (k, i)),
+r AS (SELECT k, sum(gone) AS n_removed, string_agg(w, ' ' ORDER BY i) FILTER (gone = 0) AS kept FROM c GROUP BY k)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN r USING (k)"""
+
+
+@query("op9_substring_dedup", OP9_SQL)
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    found = substring_dedup(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", sha256("kept_text").alias("kept_sha256"))
