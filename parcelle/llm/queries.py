@@ -11,6 +11,7 @@ from parcelle.llm.common import table
 from parcelle.llm.near import near_duplicates
 from parcelle.llm.quality import MAX_RATE, quality_rules
 from parcelle.llm.substrings import substring_dedup
+from parcelle.llm.suffixes import suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -88,3 +89,11 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) A
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     found = substring_dedup(table(spark, folder, "documents"))
     return found.select("doc_id", "n_words", "n_removed", sha256("kept_text").alias("kept_sha256"))
+
+
+@query("op4_suffix_dedup")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    found = suffix_dedup(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), sha256("kept").alias("kept_sha256")
+    )
