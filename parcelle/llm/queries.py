@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from parcelle.llm.common import table
 from parcelle.llm.near import near_duplicates
+from parcelle.llm.pii import KINDS, personal_data
 from parcelle.llm.quality import MAX_RATE, quality_rules
 from parcelle.llm.substrings import substring_dedup
 from parcelle.llm.suffixes import suffix_dedup
@@ -97,3 +98,16 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), sha256("kept").alias("kept_sha256")
     )
+
+
+@query("op6_personal_data")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    found = personal_data(table(spark, folder, "documents"))
+    base = F.filter("spans", lambda s: s.base)
+    told = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.end)), ",")
+    return found.select(
+        "doc_id",
+        *[F.size(F.filter(base, lambda s, k=k: s.kind == k)).cast("long").alias(f"n_{k}") for k in KINDS],
+        F.sha2(told(base).cast("binary"), 256).alias("base_sha256"),
+        told(F.col("spans")).alias("spans"),
+    )
