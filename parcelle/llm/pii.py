@@ -278,7 +278,7 @@ def _plausible(kind: str, text: str) -> bool:
     if kind == "email":
         return bool(re.search(r"@|\bat\b", text)) and len(text) > 4
     if kind == "card":
-        return 13 <= len(digits) <= 19 and luhn(digits)
+        return bool(re.fullmatch(r"[0-9 -]+", text)) and 13 <= len(digits) <= 19 and luhn(digits)
     if kind == "phone":
         return 7 <= len(digits) <= 15 and not re.search(r"[A-Za-z]", text)
     return text.count(":") >= 2 and bool(re.fullmatch(r"[0-9A-Fa-f:.]+", text))
