@@ -13,6 +13,7 @@ from parcelle.llm.pii import KINDS, personal_data
 from parcelle.llm.quality import MAX_RATE, quality_rules
 from parcelle.llm.substrings import substring_dedup
 from parcelle.llm.suffixes import suffix_dedup
+from parcelle.llm.templates import contaminated
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -111,3 +112,15 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(told(base).cast("binary"), 256).alias("base_sha256"),
         told(F.col("spans")).alias("spans"),
     )
+
+
+@query("op7_decontamination")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = contaminated(docs, table(spark, folder, "benchmark")).groupBy("doc_id").agg(
+        F.array_sort(F.collect_set("item_id")).alias("items")
+    )
+    return docs.select("doc_id").join(found, "doc_id", "left").select(
+        "doc_id", F.col("items").isNotNull().alias("contaminated"),
+        F.coalesce(F.array_join(F.transform("items", lambda x: x.cast("string")), ","), F.lit("")).alias("items"),
+    )
