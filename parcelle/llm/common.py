@@ -11,6 +11,7 @@ from parcelle.session import work_folder
 
 WORD = r"[^\x20\x09-\x0D]+"
 BLANKS = r"[\x20\x09-\x0D]+"
+LAST = (1 << 63) - 1
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -37,6 +38,19 @@ def picked(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
     )
 
 
+def keyed(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """``(key, place, doc_id, text)``: a key for each row and its place in the order of ids (null ids last).
+
+    The id is the key where it is unique; else rows are numbered in a written copy, so that a lost task
+    finds the same numbers again.
+    """
+    texts = picked(docs, id_column, text_column).withColumn("place", F.coalesce("doc_id", F.lit(LAST)))
+    repeated = texts.groupBy("place").count().where("count > 1").limit(1).count()
+    if not repeated:
+        return texts.withColumn("key", F.col("place"))
+    return kept_table(texts.withColumn("key", F.monotonically_increasing_id()), "keyed")
+
+
 def small_or_shuffled(df: DataFrame, bound: int) -> DataFrame:
     """A broadcast hint only if ``df`` is counted to hold at most ``bound`` rows.
 

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelle.llm.common import kept_table, picked
+from parcelle.llm.common import keyed, kept_table
 from parcelle.llm.wordhash import _CODE, BASE, U, Words, buffers, chunks, mix
 def power_table(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     up, down = np.full(n, base, dtype=U), np.full(n, pow(base, -1, 1 << 64), dtype=U)
@@ -91,7 +91,6 @@ def segments(units: np.ndarray, cuts: np.ndarray, width: int, gram: int):
     return text, start - cuts[text], count, grams[anchor[start]], whole_code
 
 
-LAST = (1 << 63) - 1
 # Units handled at once; texts beyond it are taken in blocks that overlap by a window.
 BLOCK = {"byte": 1 << 18, "word": 1 << 18}
 # Distinct segments of one anchor in a shard; an anchor with more is dealt over several.
@@ -201,19 +200,6 @@ def _shard(kind: str, width: int, engine: Callable):
     return run
 
 
-def _keyed(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """``(key, place, doc_id, text)``: a key for each row and its place in the order of ids (null ids last).
-
-    The id is the key where it is unique; else rows are numbered in a written copy, so that a lost task
-    finds the same numbers again.
-    """
-    texts = picked(docs, id_column, text_column).withColumn("place", F.coalesce("doc_id", F.lit(LAST)))
-    repeated = texts.groupBy("place").count().where("count > 1").limit(1).count()
-    if not repeated:
-        return texts.withColumn("key", F.col("place"))
-    return kept_table(texts.withColumn("key", F.monotonically_increasing_id()), "keyed")
-
-
 def covered(
     docs: DataFrame, id_column: str, text_column: str, kind: str, width: int, gram: int, engine: Callable,
     removed: Column,
@@ -223,7 +209,7 @@ def covered(
     ``removed`` is a condition over weight (occurrences of the window, two standing for more), least
     (least place of a text with it) and place (this text's own).
     """
-    texts = _keyed(docs, id_column, text_column)
+    texts = keyed(docs, id_column, text_column)
     scanned = kept_table(
         texts.select("key", "place", "text").mapInArrow(
             _scan(kind, width, gram), "key long, place long, start long, windows int, anchor long, seg long"
