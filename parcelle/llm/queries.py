@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parcelle.llm.bpe import bpe_decode, bpe_encode
 from parcelle.llm.common import table
 from parcelle.llm.lines import MIN_LINES, line_dedup
 from parcelle.llm.near import near_duplicates
@@ -146,3 +147,20 @@ FROM d JOIN r USING (k)"""
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     found = line_dedup(table(spark, folder, "documents"))
     return found.select("doc_id", "n_lines", "n_removed", sha256("kept_text").alias("kept_sha256"))
+
+
+VOCABULARY = "byte_bpe_50k.tiktoken"
+
+
+@query("op1_bpe")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    path, pattern = public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN
+    coded = bpe_decode(bpe_encode(table(spark, folder, "documents"), path, pattern), path, pattern)
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
+    )
