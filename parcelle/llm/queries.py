@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelle.llm.bpe import bpe_decode, bpe_encode
+from parcelle.llm.chat import format_chats
 from parcelle.llm.common import table
 from parcelle.llm.lines import MIN_LINES, line_dedup
 from parcelle.llm.near import near_duplicates
@@ -16,6 +17,7 @@ from parcelle.llm.quality import MAX_RATE, quality_rules
 from parcelle.llm.substrings import substring_dedup
 from parcelle.llm.suffixes import suffix_dedup
 from parcelle.llm.templates import contaminated
+from parcelle.llm.warc import captures, resolve_revisits
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -164,3 +166,43 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
     )
+
+
+OP10_SQL = r"""
+WITH p AS (SELECT page_id AS i, coalesce(html, '') AS html, md5(coalesce(html, '')) AS tag,
+  regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS bare FROM pages),
+q AS (SELECT *, regexp_replace(lower(regexp_extract(bare, '^([^/?]*)', 1)), '^www\.|:(80|443)$', '', 'g') AS host,
+  regexp_replace(bare, '^[^/?]*', '') AS rest FROM p),
+k AS (SELECT i, html, tag, host || regexp_replace(regexp_extract(rest, '^([^?]*)', 1), '(/index\.html?|/)$', '') ||
+  CASE WHEN len(kept) > 0 THEN '?' || array_to_string(kept, '&') ELSE '' END AS url
+  FROM (SELECT *, list_sort(list_filter(string_split(regexp_extract(rest, '\?(.*)$', 1), '&'),
+    lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[a-z]+|ref|fbclid|gclid)(=|$)'))) AS kept FROM q)),
+a AS (SELECT v.i, v.tag, arg_max(struct_pack(i := r.i, tag := r.tag, html := r.html), r.i) AS b
+  FROM k v LEFT JOIN k r ON v.url = r.url AND (r.i * 60 < v.i * 60 + 43200 OR (r.i * 60 = v.i * 60 + 43200 AND r.i * 2 < v.i * 2 + 1))
+  GROUP BY v.i, v.tag),
+s AS (SELECT i, b, CASE WHEN b IS NULL THEN 'no-response' WHEN i % 4 = 3 THEN 'unvalidated' WHEN i % 4 = 2 THEN 'mismatch'
+  WHEN i % 4 = 0 THEN CASE WHEN tag = b.tag THEN 'resolved' ELSE 'mismatch' END
+  ELSE CASE WHEN i = b.i THEN 'resolved' ELSE 'mismatch' END END AS resolution FROM a)
+SELECT i * 2 AS record_id, CAST(NULL AS VARCHAR) AS resolution, i * 2 AS base_id, 't' || i AS date, 4 AS n_headers, sha256(html) AS payload_sha256 FROM k
+UNION ALL
+SELECT i * 2 + 1, resolution, CASE WHEN resolution = 'resolved' THEN b.i * 2 END,
+  CASE WHEN resolution = 'resolved' AND i % 4 = 1 THEN 't' || b.i WHEN i % 4 <> 1 THEN 'r' || i END,
+  CASE WHEN resolution = 'resolved' THEN 4 WHEN i % 4 = 3 THEN 1 ELSE 2 END,
+  CASE WHEN resolution = 'resolved' THEN sha256(b.html) END FROM s"""
+
+
+@query("op10_warc_revisits", OP10_SQL)
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    found = resolve_revisits(captures(table(spark, folder, "pages")))
+    return found.select(
+        "record_id", "resolution", "base_id", F.col("headers")["date"].alias("date"), F.size("headers").alias("n_headers"),
+        sha256("payload").alias("payload_sha256"),
+    )
+
+
+@query("op8_chat_formatting")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    found = format_chats(table(spark, folder, "conversations"))
+    return found.select(
+        "conv_id", "turn", "action", "role_out", "cost", sha256("piece").alias("piece_sha256")
+    )
