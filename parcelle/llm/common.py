@@ -30,21 +30,23 @@ def kept_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def picked(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """Only the id and the text, under fixed names, whatever else the table holds."""
+def picked(df: DataFrame, id_column: str, text_column: str, carry: list[str] | None = None) -> DataFrame:
+    """Only the id and the text, under fixed names, whatever else the table holds; ``carry`` goes along in a struct."""
+    more = [F.struct(*[F.col(f"`{c}`") for c in carry]).alias("carried")] if carry else []
     return df.select(
+        *more,
         F.col(f"`{id_column}`").cast("long").alias("doc_id"),
         F.coalesce(F.col(f"`{text_column}`").cast("string"), F.lit("")).alias("text"),
     )
 
 
-def keyed(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
+def keyed(docs: DataFrame, id_column: str, text_column: str, carry: list[str] | None = None) -> DataFrame:
     """``(key, place, doc_id, text)``: a key for each row and its place in the order of ids (null ids last).
 
     The id is the key where it is unique; else rows are numbered in a written copy, so that a lost task
     finds the same numbers again.
     """
-    texts = picked(docs, id_column, text_column).withColumn("place", F.coalesce("doc_id", F.lit(LAST)))
+    texts = picked(docs, id_column, text_column, carry).withColumn("place", F.coalesce("doc_id", F.lit(LAST)))
     repeated = texts.groupBy("place").count().where("count > 1").limit(1).count()
     if not repeated:
         return texts.withColumn("key", F.col("place"))

@@ -53,9 +53,12 @@ def _windows(texts: DataFrame, min_lines: int) -> DataFrame:
     )
 
 
-def repeated_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_lines: int = MIN_LINES):
+def repeated_lines(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_lines: int = MIN_LINES,
+    carry: list[str] | None = None,
+) -> tuple[DataFrame, DataFrame]:
     """The keyed texts and ``(key, gone)``, the sorted places of the lines to delete."""
-    texts = keyed(docs, id_column, text_column)
+    texts = keyed(docs, id_column, text_column, carry)
     windows = kept_table(_windows(texts, min_lines), "line-runs")
     intervals = (
         windows.groupBy("a", "b").agg(F.min(F.struct("place", "key", "at")).alias("first"), F.count("*").alias("n"))
@@ -68,19 +71,21 @@ def repeated_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
 def line_dedup(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_lines: int = MIN_LINES,
+    carry: list[str] | None = None,
 ) -> DataFrame:
-    """``(doc_id, n_lines, n_removed, gone, kept_text)`` for each document."""
-    texts, gone = repeated_lines(docs, id_column, text_column, min_lines)
+    """``(doc_id, n_lines, n_removed, gone, kept_text)`` for each document, with the columns ``carry`` in ``carried``."""
+    texts, gone = repeated_lines(docs, id_column, text_column, min_lines, carry)
+    carried = ["carried"] if carry else []
     lines = F.split("text", "\n")
     cut = texts.join(gone, "key", "left").withColumn("lines", lines)
     stays = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.coalesce("gone", F.array().cast("array<int>")))
     kept = cut.select(
-        "doc_id", "text", "gone", "lines", F.size("lines").cast("long").alias("n_lines"),
+        *carried, "doc_id", "text", "gone", "lines", F.size("lines").cast("long").alias("n_lines"),
         F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"),
         F.when(F.col("gone").isNotNull(), stays).alias("stays"),
     )
     return kept.select(
-        "doc_id", "n_lines", "n_removed", "gone",
+        *carried, "doc_id", "n_lines", "n_removed", "gone",
         F.when(F.col("gone").isNull(), F.col("text"))
         .otherwise(F.array_join(F.transform("stays", lambda i: F.element_at("lines", i + 1)), "\n")).alias("kept_text"),
     )
