@@ -6,10 +6,18 @@ agree with a probability close to the Jaccard similarity. Bands of registers bri
 a likelihood estimate from the numbers of larger, smaller and equal registers sorts out distant ones,
 and the rest is confirmed on the full shingle sets.
 
-Documents with equal sets form one class; only class representatives are compared. Within a band's
-bucket all members are first compared with the bucket's least member (a star, linear in the bucket).
-Pairs of a bucket are looked at again only where they lie in different components, and not where the
-exact distances to the bucket's centre already exclude a link by the triangle inequality.
+Documents with equal sets form one class; only class representatives are compared. In a bucket of at most
+``SMALL`` members all pairs are compared, a bounded number for each member. In a larger one the member that meets most
+others is the hub, and all members are compared with it only. Let d be the exact distance (one less similarity) and a link
+d <= t. Then for members x, y:
+
+* if both are linked with the hub, they are connected already;
+* if d(x, hub) > 3t, y can only be linked with x if d(y, hub) > 2t; members beyond 2t (in the first rounds all that are
+  not linked) elect a hub of their own, and so on, until none or few are left;
+* else x is not linked with the hub, and a link of x and y forces them to share differences from it, that is shingles
+  both lack of the hub or both have beyond it, and more of them the more y has. So it is enough to join differences,
+  for y only the rarest ones, as in prefix filtering (``_by_differences`` has the bound). Copies with unrelated
+  edits share none, so a group of near copies does not yield its pairs.
 
 Nulls and empty texts: no shingles, linked with nothing. A row without an id takes the component of
 its text but names none. Repeated rows: each gives a row; equal texts are linked. Empty tables give
@@ -23,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelle.llm.common import components, kept_table, picked
@@ -42,6 +50,11 @@ _LOG_BASE = float(np.log(BASE))
 _SHIFT = 10_000
 # Standard deviations of the estimate allowed below the threshold before a pair is dropped.
 SLACK = 6.0
+# Members of a bucket whose pairs are all compared, rounds in which all that are not linked elect a new hub, rounds at most
+# (what is left then is compared directly).
+SMALL = 8
+EAGER = 3
+ROUNDS = 60
 
 
 def registers(code: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -134,7 +147,9 @@ def _likely(at_least: float):
     return run
 
 
-def _shared(shingle_words: int):
+def _shared(shingle_words: int, within: float | None = None):
+    """Sizes of intersection and union; of pairs up to the distance ``within`` also the differences of a from b."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw, offsets = buffers(batch.column("text_a"))
@@ -142,7 +157,7 @@ def _shared(shingle_words: int):
             for lo, hi in chunks(offsets + offsets_b):
                 code, first = shingle_sets(Words(raw, offsets[lo : hi + 1], lower=True), shingle_words)
                 other, second = shingle_sets(Words(raw_b, offsets_b[lo : hi + 1], lower=True), shingle_words)
-                both, total = [], []
+                both, total, more, less = [], [], [], []
                 for i in range(hi - lo):
                     x, y = code[first[i] : first[i + 1]], other[second[i] : second[i + 1]]
                     merged = np.concatenate((x, y))
@@ -150,37 +165,132 @@ def _shared(shingle_words: int):
                     shared = int((merged[1:] == merged[:-1]).sum())
                     both.append(shared)
                     total.append(len(merged) - shared)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("a").slice(lo, hi - lo), batch.column("b").slice(lo, hi - lo),
-                     pa.array(both, pa.int64()), pa.array(total, pa.int64())],
-                    names=["a", "b", "shared", "total"],
-                )
+                    if within is not None:
+                        close = total[-1] - shared <= within * total[-1]
+                        more.append(np.setdiff1d(x, y, assume_unique=True).view(np.int64) if close else None)
+                        less.append(np.setdiff1d(y, x, assume_unique=True).view(np.int64) if close else None)
+                columns = [batch.column("a").slice(lo, hi - lo), batch.column("b").slice(lo, hi - lo),
+                           pa.array(both, pa.int64()), pa.array(total, pa.int64())]
+                names = ["a", "b", "shared", "total"]
+                if within is not None:
+                    columns += [pa.array(np.diff(first)), pa.array(np.diff(second)),
+                                pa.array(more, pa.list_(pa.int64())), pa.array(less, pa.list_(pa.int64()))]
+                    names += ["n_a", "n_b", "more", "less"]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return run
 
 
-def _confirmed(pairs: DataFrame, sketches: DataFrame, texts: DataFrame, shingle_words: int, percent: int) -> DataFrame:
-    """Pairs ``(a, b)`` likely enough to link, with the sizes of intersection and union of their full sets."""
-    threshold = percent / 100
-    at_least = threshold - SLACK * (threshold * (1 - threshold) / REGISTERS) ** 0.5
-    side = lambda c: sketches.select(
-        F.col("node").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}")
+class _Tests:
+    """Comparisons of representatives by their sketches and full texts."""
+
+    def __init__(self, sketches: DataFrame, texts: DataFrame, shingle_words: int, percent: int):
+        self.sketches, self.texts, self.shingle_words, self.percent = sketches, texts, shingle_words, percent
+
+    def _with_texts(self, pairs: DataFrame, steady: bool) -> DataFrame:
+        # the large joins are planned alike at every size; small rounds are left to the planner
+        texts = self.texts.hint("merge") if steady else self.texts
+        half = lambda c: texts.select(F.col("doc_id").alias(c), F.col("text").alias(f"text_{c}"))
+        return pairs.join(half("a"), "a").join(half("b"), "b").select("a", "b", "text_a", "text_b")
+
+    def confirmed(self, pairs: DataFrame, steady: bool = False) -> DataFrame:
+        """Those of ``pairs(a, b)`` that are linked: likely by the sketches, then confirmed on the full sets."""
+        threshold = self.percent / 100
+        at_least = threshold - SLACK * (threshold * (1 - threshold) / REGISTERS) ** 0.5
+        side = lambda c: self.sketches.select(
+            F.col("node").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}")
+        )
+        sized = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * self.percent
+        likely = kept_table(
+            pairs.join(side("a"), "a").join(side("b"), "b").where(sized).mapInArrow(_likely(at_least), "a long, b long"),
+            "likely",
+        )
+        sizes = self._with_texts(likely, steady).mapInArrow(
+            _shared(self.shingle_words), "a long, b long, shared long, total long"
+        )
+        return kept_table(sizes.where(F.col("shared") * 100 >= F.col("total") * self.percent).select("a", "b"), "linked")
+
+    def measured(self, pairs: DataFrame, steady: bool) -> DataFrame:
+        """Exact sizes of members ``a`` and hubs ``b``, with the differences where they may matter."""
+        within = 3 * (1 - self.percent / 100) + 1e-9
+        return kept_table(
+            self._with_texts(pairs, steady).mapInArrow(
+                _shared(self.shingle_words, within),
+                "a long, b long, shared long, total long, n_a long, n_b long, more array<long>, less array<long>",
+            ),
+            "measured",
+        )
+
+
+def _small_pairs(members: DataFrame) -> DataFrame:
+    left, right = members.alias("l"), members.alias("r")
+    return left.join(right, (F.col("l.bucket") == F.col("r.bucket")) & (F.col("l.node") < F.col("r.node"))).select(
+        F.col("l.node").alias("a"), F.col("r.node").alias("b")
     )
-    sized = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
-    likely = kept_table(
-        pairs.join(side("a"), "a").join(side("b"), "b").where(sized)
-        .mapInArrow(_likely(at_least), "a long, b long"),
-        "likely",
+
+
+def _hub_rounds(members: DataFrame, tests: _Tests) -> tuple[list[DataFrame], list[DataFrame]]:
+    """Measured (member, hub) pairs of each round, and the pairs of groups that have become small."""
+    percent = tests.percent
+    degrees = members.groupBy("node").agg(F.sum("n").alias("degree"))
+    active = kept_table(members.select("bucket", "node").join(degrees, "node"), "active")
+    measured, direct = [], []
+    for k in range(ROUNDS):
+        hubs = active.groupBy("bucket").agg(F.max_by("node", F.struct("degree", -F.col("node"))).alias("hub"))
+        asked = kept_table(active.join(hubs, "bucket").where("node <> hub"), "asked")
+        pairs = kept_table(asked.select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct(), "hub-pairs")
+        found = tests.measured(pairs, steady=k == 0)
+        measured.append(found)
+        # beyond one link's distance in the first rounds, beyond two later
+        links = 1 if k < EAGER else 2
+        beyond = (F.col("total") - F.col("shared")) * 100 > F.col("total") * links * (100 - percent)
+        rest = asked.join(
+            found.where(beyond).select(F.col("a").alias("node"), F.col("b").alias("hub")), ["node", "hub"]
+        ).select("bucket", "node", "degree")
+        sized = rest.join(rest.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "bucket")
+        sized = kept_table(sized, "rest")
+        few = sized.where(F.col("n") <= SMALL) if k < ROUNDS - 1 else sized
+        direct.append(_small_pairs(few.select("bucket", "node")))
+        active = sized.where(F.col("n") > SMALL).select("bucket", "node", "degree")
+        if not active.limit(1).count():
+            break
+    return measured, direct
+
+
+def _by_differences(measured: DataFrame, component: DataFrame, percent: int) -> DataFrame:
+    """Pairs of members of one hub h that may be linked although not both are linked with it.
+
+    With m the shingles of h that a member lacks, u those it has beyond h, and c = percent / (100 + percent), x and y are
+    linked iff |x & y| >= c (|x| + |y|), that is iff they share at least
+    ``s(x) + c |u(y)| + (1 - c) |m(y)|`` differences, where ``s(x) = c (|x| + |h|) - |x & h|`` is above 0 unless x is linked with h.
+    So at least one of the shared ones is among y's first ``(1 - c) |u(y)| + c |m(y)| - s(x)`` and one more in any order;
+    rarest first leaves the fewest pairs. All terms are multiplied by 100 + percent to stay whole.
+    """
+    p = percent
+    short = (F.col("n_a") + F.col("n_b")) * p - F.col("shared") * (100 + p)
+    known = measured.where("more is not null").select(
+        F.col("a").alias("node"), F.col("b").alias("hub"), short.alias("short"),
+        (F.size("more") * 100 + F.size("less") * p).alias("bound"), "more", "less",
     )
-    nodes = likely.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    needed = kept_table(texts.join(nodes, "doc_id").groupBy("doc_id").agg(F.min("text").alias("text")), "texts")
-    half = lambda c: needed.select(F.col("doc_id").alias(c), F.col("text").alias(f"text_{c}"))
-    return kept_table(
-        likely.join(half("a"), "a").join(half("b"), "b")
-        .select("a", "b", "text_a", "text_b")
-        .mapInArrow(_shared(shingle_words), "a long, b long, shared long, total long"),
-        "tested",
+    open_hubs = known.where("short > 0").select("hub").distinct()
+    known = known.join(open_hubs, "hub").join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    marks = known.select(
+        "hub", "node", "component", "short", "bound",
+        F.explode(F.concat(F.transform("more", lambda x: F.struct(F.lit(1).alias("side"), x.alias("x"))),
+                           F.transform("less", lambda x: F.struct(F.lit(0).alias("side"), x.alias("x"))))).alias("d"),
     )
+    marks = kept_table(marks.select("hub", "node", "component", "short", "bound", "d.*"), "differences")
+    common = marks.groupBy("hub", "side", "x").agg(F.count("*").alias("df"))
+    order = Window.partitionBy("hub", "node").orderBy("df", "side", "x")
+    ranked = kept_table(
+        marks.join(common, ["hub", "side", "x"]).withColumn("r", F.row_number().over(order) - 1).where("df > 1"), "ranked"
+    )
+    x, y = ranked.where("short > 0").alias("p"), ranked.where(F.col("r") * (100 + p) < F.col("bound")).alias("q")
+    same = [F.col(f"p.{c}") == F.col(f"q.{c}") for c in ("hub", "side", "x")]
+    meet = same[0] & same[1] & same[2] & (F.col("p.component") != F.col("q.component")) & (
+        F.col("q.r") * (100 + p) + F.col("p.short") <= F.col("q.bound")
+    )
+    return x.join(y, meet).select(F.least("p.node", "q.node").alias("a"), F.greatest("p.node", "q.node").alias("b")).distinct()
 
 
 def near_duplicates(
@@ -208,41 +318,25 @@ def near_duplicates(
         "classes",
     )
     spread = classes.select(F.explode("bands").alias("bucket"), "node")
-    buckets = spread.groupBy("bucket").agg(F.min("node").alias("centre"), F.max("node").alias("last"))
-    members = kept_table(
-        spread.join(buckets.where("centre <> last").select("bucket", "centre"), "bucket"), "members"
-    )
+    sizes = spread.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    members = kept_table(spread.join(sizes, "bucket"), "members")
     sketches = classes.select("node", "n_shingles", "sketch").dropDuplicates(["node"])
-    stars = members.where("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
-    tested = _confirmed(stars, sketches, texts, shingle_words, percent)
-    linked = F.col("shared") * 100 >= F.col("total") * percent
-    first = kept_table(components(tested.where(linked).select("a", "b")), "components")
-
-    # pairs of a bucket whose components still differ
-    apart = 1 - F.col("shared") / F.col("total")
-    placed = (
-        members.join(first, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        .join(tested.select(F.col("a").alias("node"), F.col("b").alias("centre"), apart.alias("apart")),
-              ["node", "centre"], "left")
-    )
-    mixed = (
-        placed.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-        .where("x <> y").select("bucket")
-    )
-    open_members = kept_table(placed.join(mixed, "bucket").where("node <> centre"), "open")
-    left, right = open_members.alias("l"), open_members.alias("r")
-    # a distance obeys the triangle inequality: members whose distances to the centre differ by more
-    # than a link allows are not linked (a small margin covers rounding)
-    rest = (
-        left.join(
-            right,
-            (F.col("l.bucket") == F.col("r.bucket"))
-            & (F.col("l.component") < F.col("r.component"))
-            & (F.coalesce(F.abs(F.col("l.apart") - F.col("r.apart")), F.lit(0.0)) <= 1 - percent / 100 + 1e-9),
-        )
-        .select(F.col("l.node").alias("a"), F.col("r.node").alias("b")).distinct()
+    nodes = members.select(F.col("node").alias("doc_id")).distinct()
+    needed = kept_table(
+        texts.join(nodes.hint("merge"), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text")), "texts"
     )
-    second = _confirmed(rest, sketches, texts, shingle_words, percent).where(linked).select("a", "b")
+    tests = _Tests(sketches, needed, shingle_words, percent)
+    measured, direct = _hub_rounds(members.where(F.col("n") > SMALL), tests)
+    small = _small_pairs(members.where(F.col("n") <= SMALL).select("bucket", "node"))
+    for pairs in direct:
+        small = small.union(pairs)
+    links = tests.confirmed(small.distinct(), steady=True)
+    with_hubs = measured[0]
+    for found in measured[1:]:
+        with_hubs = with_hubs.unionByName(found)
+    hub_links = with_hubs.where(F.col("shared") * 100 >= F.col("total") * percent).select("a", "b")
+    first = kept_table(components(links.union(hub_links)), "components")
+    second = tests.confirmed(_by_differences(with_hubs, first, percent))
     named = first.select(F.col("node"), "component")
     bridges = (
         second.join(named.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left")
