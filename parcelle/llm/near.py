@@ -12,12 +12,13 @@ others is the hub, and all members are compared with it only. Let d be the exact
 d <= t. Then for members x, y:
 
 * if both are linked with the hub, they are connected already;
-* if d(x, hub) > 3t, y can only be linked with x if d(y, hub) > 2t; members beyond 2t (in the first rounds all that are
-  not linked) elect a hub of their own, and so on, until none or few are left;
-* else x is not linked with the hub, and a link of x and y forces them to share differences from it, that is shingles
-  both lack of the hub or both have beyond it, and more of them the more y has. So it is enough to join differences,
-  for y only the rarest ones, as in prefix filtering (``_by_differences`` has the bound). Copies with unrelated
-  edits share none, so a group of near copies does not yield its pairs.
+* if x is not linked with the hub and y is, a link of x and y forces them to share differences from the hub, that is
+  shingles both lack of it or both have beyond it, and more of them the more y has (and d(x, hub) <= 2t). So it is enough to
+  join differences, for y only the rarest ones, as in prefix filtering (``_by_differences`` has the bound). Copies with
+  unrelated edits share none, so a group of near copies does not yield its pairs;
+* if neither is linked with it, both go on to the next round, where the rest of the bucket has a hub of its own. Rests of at
+  most ``SMALL`` members are compared in pairs. What is left after ``ROUNDS`` rounds are texts that met by chance; they are
+  joined on their rarest shingles, which is the same bound with an empty hub.
 
 Nulls and empty texts: no shingles, linked with nothing. A row without an id takes the component of
 its text but names none. Repeated rows: each gives a row; equal texts are linked. Empty tables give
@@ -50,11 +51,9 @@ _LOG_BASE = float(np.log(BASE))
 _SHIFT = 10_000
 # Standard deviations of the estimate allowed below the threshold before a pair is dropped.
 SLACK = 6.0
-# Members of a bucket whose pairs are all compared, rounds in which all that are not linked elect a new hub, rounds at most
-# (what is left then is compared directly).
+# Members of a bucket whose pairs are all compared; rounds of hubs.
 SMALL = 8
-EAGER = 3
-ROUNDS = 60
+ROUNDS = 3
 
 
 def registers(code: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -181,6 +180,20 @@ def _shared(shingle_words: int, within: float | None = None):
     return run
 
 
+def _full(shingle_words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw, offsets = buffers(batch.column("text"))
+            for lo, hi in chunks(offsets):
+                code, first = shingle_sets(Words(raw, offsets[lo : hi + 1], lower=True), shingle_words)
+                lists = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(code.view(np.int64)))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("node").slice(lo, hi - lo), pa.array(np.diff(first)), lists], names=["a", "n_a", "more"]
+                )
+
+    return run
+
+
 class _Tests:
     """Comparisons of representatives by their sketches and full texts."""
 
@@ -210,9 +223,17 @@ class _Tests:
         )
         return kept_table(sizes.where(F.col("shared") * 100 >= F.col("total") * self.percent).select("a", "b"), "linked")
 
+    def sets(self, nodes: DataFrame) -> DataFrame:
+        """The full sets of ``nodes(node)``, as differences from an empty hub."""
+        own = nodes.join(self.texts.withColumnRenamed("doc_id", "node"), "node").select("node", "text")
+        return own.mapInArrow(_full(self.shingle_words), "a long, n_a long, more array<long>").select(
+            "a", F.lit(-1).cast("long").alias("b"), F.lit(0).cast("long").alias("shared"), "n_a",
+            F.lit(0).cast("long").alias("n_b"), "more", F.array().cast("array<long>").alias("less"),
+        )
+
     def measured(self, pairs: DataFrame, steady: bool) -> DataFrame:
         """Exact sizes of members ``a`` and hubs ``b``, with the differences where they may matter."""
-        within = 3 * (1 - self.percent / 100) + 1e-9
+        within = 2 * (1 - self.percent / 100) + 1e-9
         return kept_table(
             self._with_texts(pairs, steady).mapInArrow(
                 _shared(self.shingle_words, within),
@@ -229,9 +250,8 @@ def _small_pairs(members: DataFrame) -> DataFrame:
     )
 
 
-def _hub_rounds(members: DataFrame, tests: _Tests) -> tuple[list[DataFrame], list[DataFrame]]:
-    """Measured (member, hub) pairs of each round, and the pairs of groups that have become small."""
-    percent = tests.percent
+def _hub_rounds(members: DataFrame, tests: _Tests) -> tuple[list[DataFrame], list[DataFrame], DataFrame]:
+    """Measured (member, hub) pairs of each round, the pairs of rests that are small, and the nodes left."""
     degrees = members.groupBy("node").agg(F.sum("n").alias("degree"))
     active = kept_table(members.select("bucket", "node").join(degrees, "node"), "active")
     measured, direct = [], []
@@ -241,24 +261,18 @@ def _hub_rounds(members: DataFrame, tests: _Tests) -> tuple[list[DataFrame], lis
         pairs = kept_table(asked.select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct(), "hub-pairs")
         found = tests.measured(pairs, steady=k == 0)
         measured.append(found)
-        # beyond one link's distance in the first rounds, beyond two later
-        links = 1 if k < EAGER else 2
-        beyond = (F.col("total") - F.col("shared")) * 100 > F.col("total") * links * (100 - percent)
+        apart = F.col("shared") * 100 < F.col("total") * tests.percent
         rest = asked.join(
-            found.where(beyond).select(F.col("a").alias("node"), F.col("b").alias("hub")), ["node", "hub"]
+            found.where(apart).select(F.col("a").alias("node"), F.col("b").alias("hub")), ["node", "hub"]
         ).select("bucket", "node", "degree")
-        sized = rest.join(rest.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "bucket")
-        sized = kept_table(sized, "rest")
-        few = sized.where(F.col("n") <= SMALL) if k < ROUNDS - 1 else sized
-        direct.append(_small_pairs(few.select("bucket", "node")))
+        sized = kept_table(rest.join(rest.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "bucket"), "rest")
+        direct.append(_small_pairs(sized.where(F.col("n") <= SMALL).select("bucket", "node")))
         active = sized.where(F.col("n") > SMALL).select("bucket", "node", "degree")
-        if not active.limit(1).count():
-            break
-    return measured, direct
+    return measured, direct, active.select("node").distinct()
 
 
 def _by_differences(measured: DataFrame, component: DataFrame, percent: int) -> DataFrame:
-    """Pairs of members of one hub h that may be linked although not both are linked with it.
+    """Pairs of members x, y of one hub h that may be linked, where x is not linked with h but y is, or h is empty.
 
     With m the shingles of h that a member lacks, u those it has beyond h, and c = percent / (100 + percent), x and y are
     linked iff |x & y| >= c (|x| + |y|), that is iff they share at least
@@ -285,7 +299,8 @@ def _by_differences(measured: DataFrame, component: DataFrame, percent: int) ->
     ranked = kept_table(
         marks.join(common, ["hub", "side", "x"]).withColumn("r", F.row_number().over(order) - 1).where("df > 1"), "ranked"
     )
-    x, y = ranked.where("short > 0").alias("p"), ranked.where(F.col("r") * (100 + p) < F.col("bound")).alias("q")
+    x = ranked.where("short > 0").alias("p")
+    y = ranked.where("short <= 0 or hub = -1").where(F.col("r") * (100 + p) <= F.col("bound")).alias("q")
     same = [F.col(f"p.{c}") == F.col(f"q.{c}") for c in ("hub", "side", "x")]
     meet = same[0] & same[1] & same[2] & (F.col("p.component") != F.col("q.component")) & (
         F.col("q.r") * (100 + p) + F.col("p.short") <= F.col("q.bound")
@@ -326,7 +341,7 @@ def near_duplicates(
         texts.join(nodes.hint("merge"), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text")), "texts"
     )
     tests = _Tests(sketches, needed, shingle_words, percent)
-    measured, direct = _hub_rounds(members.where(F.col("n") > SMALL), tests)
+    measured, direct, left = _hub_rounds(members.where(F.col("n") > SMALL), tests)
     small = _small_pairs(members.where(F.col("n") <= SMALL).select("bucket", "node"))
     for pairs in direct:
         small = small.union(pairs)
@@ -336,7 +351,8 @@ def near_duplicates(
         with_hubs = with_hubs.unionByName(found)
     hub_links = with_hubs.where(F.col("shared") * 100 >= F.col("total") * percent).select("a", "b")
     first = kept_table(components(links.union(hub_links)), "components")
-    second = tests.confirmed(_by_differences(with_hubs, first, percent))
+    maybe = _by_differences(with_hubs.drop("total").unionByName(tests.sets(left)), first, percent)
+    second = tests.confirmed(maybe)
     named = first.select(F.col("node"), "component")
     bridges = (
         second.join(named.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left")

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from parcelle.llm import near
 from parcelle.llm.near import REGISTERS, estimate, near_duplicates, registers
 from tests.llm import brute
 
@@ -32,6 +33,24 @@ def test_equals_all_pairs(spark, n):
     check(spark, rows, n)
 
 
+@pytest.mark.parametrize(("small", "rounds"), [(1, 1), (1, 3), (3, 2)])
+def test_large_buckets(spark, monkeypatch, small, rounds):
+    monkeypatch.setattr(near, "SMALL", small)
+    monkeypatch.setattr(near, "ROUNDS", rounds)
+    rng = random.Random(rounds)
+    vocabulary = [f"w{i}" for i in range(900)]
+    bases = [[rng.choice(vocabulary) for _ in range(60)] for _ in range(3)]
+    bases.append(bases[0][:50] + bases[1][:10])
+    rows = []
+    for i in range(160):
+        words = list(rng.choice(bases))
+        for _ in range(rng.randint(0, 6)):
+            k = rng.randrange(len(words))
+            words[k : k + rng.randint(0, 1)] = rng.choice([[], [rng.choice(vocabulary)], [rng.choice(vocabulary[:9])]])
+        rows.append((i, " ".join(words)))
+    check(spark, rows, 2)
+
+
 def test_whole_small_table(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     check(spark, [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()], 2)
