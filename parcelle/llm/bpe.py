@@ -1,8 +1,8 @@
 """Byte-level BPE encoding and decoding by recursive DuckDB queries inside each partition.
 
-Encoding splits a text by the tokenizer's pattern and encodes each distinct piece once. Pieces are rows of
-(piece, position, token); a recursive query joins neighbouring tokens with the merge table and contracts each
-piece's leftmost pair of least rank, round by round, until no pair of the piece is in the table. Decoding joins
+Encoding splits a text by the tokenizer's pattern and encodes each distinct piece once. A recursive query spreads each
+piece into rows of (piece, position, token), joins neighbours with the merge table and contracts the piece's leftmost pair
+of least rank, round by round, until no pair of the piece is in the table. Decoding joins
 token rows with the vocabulary and adds their bytes up in order.
 
 The vocabulary is read on the driver (its size is fixed) and sent along; pieces seen before are kept in a bounded
@@ -33,41 +33,37 @@ from parcelle.llm.common import picked
 LONG = 512
 # Pieces in one recursive query, bytes of text and tokens handled at once, pieces remembered by a worker.
 BATCH = 25_000
-TEXT_BATCH = 4 << 20
+TEXT_BATCH = 2 << 20
 TOKEN_BATCH = 500_000
-REMEMBERED = 500_000
+REMEMBERED = 400_000
 
 ROUNDS = """
-WITH RECURSIVE t(w, p, tok, done) AS (
-  SELECT w, p, tok, false FROM start
+WITH RECURSIVE t(w, tok, done) AS (
+  SELECT w, tok, false FROM start
   UNION ALL
-  SELECT w, p, CASE WHEN p = best_at THEN best ELSE tok END, best_at IS NULL
-  FROM (
-    SELECT w, p, tok, best, best_at, lag(p) OVER (PARTITION BY w ORDER BY p) = best_at AS eaten
-    FROM (
-      SELECT w, p, tok, min(rank) OVER (PARTITION BY w) AS best,
-             arg_min(p, rank * 1048576::BIGINT + p) OVER (PARTITION BY w) AS best_at
-      FROM (
-        SELECT x.w, x.p, x.tok, m.rank
-        FROM (SELECT w, p, tok, lead(tok) OVER (PARTITION BY w ORDER BY p) AS following FROM t WHERE NOT done) x
-        LEFT JOIN merges m ON m.l = x.tok AND m.r = x.following
-      )
-    )
-  )
-  WHERE NOT coalesce(eaten, false)
+  SELECT t.w,
+         CASE WHEN b.best IS NULL THEN t.tok
+              ELSE t.tok[:(b.best % 1048576) - 1] || [CAST(b.best // 1048576 AS INTEGER)] || t.tok[(b.best % 1048576) + 2:] END,
+         b.best IS NULL
+  FROM t LEFT JOIN (
+    SELECT w, min(m.rank::BIGINT * 1048576 + p) AS best
+    FROM (SELECT w, unnest(tok[:-2]) AS l, unnest(tok[2:]) AS r, unnest(range(1, len(tok))) AS p FROM t WHERE NOT done) x
+    JOIN merges m ON m.l = x.l AND m.r = x.r
+    GROUP BY w
+  ) b ON b.w = t.w
+  WHERE NOT t.done
 )
-SELECT w, list(tok ORDER BY p) AS ids FROM t WHERE done GROUP BY w
+SELECT w, tok FROM t WHERE done
 """
 
 
-
 class Coder:
     """A vocabulary with its merge table in an in-memory database of this process."""
 
     def __init__(self, packed: bytes, pattern: str):
         self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, packed.splitlines())}
         self.pattern = regex.compile(pattern)
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}  # ids as 32-bit integers
         self.byte = np.array([self.ranks[bytes([i])] for i in range(256)], dtype=np.int32)
         rows = [
             (left, right, rank)
@@ -76,7 +72,7 @@ class Coder:
             if (left := self.ranks.get(token[:k])) is not None and (right := self.ranks.get(token[k:])) is not None
         ]
         self.pairs = {(a, b): r for a, b, r in rows}
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "250MB", "temp_directory": ""})
         merges = pa.table([pa.array(c, pa.int32()) for c in zip(*rows, strict=True)], names=["l", "r", "rank"])
         vocabulary = pa.table(
             [pa.array(list(self.ranks.values()), pa.int32()), pa.array([t.decode("latin-1") for t in self.ranks])],
@@ -91,15 +87,20 @@ class Coder:
     def _contract(self, pieces: list[str]) -> None:
         coded = [p.encode() for p in pieces]
         lengths = np.array([len(b) for b in coded])
-        w = np.repeat(np.arange(len(coded), dtype=np.int32), lengths)
-        p = np.arange(len(w), dtype=np.int32) - np.repeat(np.cumsum(lengths) - lengths, lengths).astype(np.int32)
-        start = pa.table({"w": w, "p": p, "tok": self.byte[np.frombuffer(b"".join(coded), np.uint8)]})
+        ends = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
+        tokens = self.byte[np.frombuffer(b"".join(coded), np.uint8)]
+        start = pa.table({
+            "w": pa.array(np.arange(len(coded), dtype=np.int32)),
+            "tok": pa.ListArray.from_arrays(pa.array(ends), pa.array(tokens)),
+        })
         self.db.register("start", start)
         found = self.db.sql(ROUNDS).to_arrow_table().combine_chunks()
         self.db.unregister("start")
-        ids = found.column("ids").to_pylist()
-        for i, tokens in zip(found.column("w").to_pylist(), ids, strict=True):
-            self.known[pieces[i]] = tokens
+        lists = found.column("tok").combine_chunks()
+        lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+        raw, cuts = lists.values.to_numpy().astype(np.int32).tobytes(), (lists.offsets.to_numpy() * 4).tolist()
+        for k, i in enumerate(found.column("w").to_pylist()):
+            self.known[pieces[i]] = raw[cuts[k] : cuts[k + 1]]
 
     def _heaped(self, piece: str) -> list[int]:
         """The same contraction with a heap of pairs, for a long piece."""
@@ -135,9 +136,9 @@ class Coder:
             coded = piece.encode()
             whole = self.ranks.get(coded)
             if whole is not None:
-                self.known[piece] = [whole]
+                self.known[piece] = np.int32(whole).tobytes()
             elif len(coded) > LONG:
-                self.known[piece] = self._heaped(piece)
+                self.known[piece] = np.array(self._heaped(piece), dtype=np.int32).tobytes()
             else:
                 rest.append(piece)
         for i in range(0, len(rest), BATCH):
@@ -184,15 +185,12 @@ def bpe_encode(
             while at < batch.num_rows:
                 end = max(at + 1, at + int(np.searchsorted(np.cumsum(sizes[at:]), TEXT_BATCH, side="right")))
                 split = code.encode(batch.column("text").slice(at, end - at).to_pylist())
-                known = code.known
-                ids, ends = [], [0]
-                for pieces in split:
-                    for piece in pieces:
-                        ids += known[piece]
-                    ends.append(len(ids))
+                coded = [b"".join(map(code.known.__getitem__, pieces)) for pieces in split]
+                ends = np.concatenate(([0], np.cumsum([len(c) // 4 for c in coded]))).astype(np.int32)
+                ids = np.frombuffer(b"".join(coded), dtype=np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(at, end - at),
-                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))],
+                     pa.ListArray.from_arrays(pa.array(ends), pa.array(ids))],
                     names=["doc_id", "ids"],
                 )
                 at = end
