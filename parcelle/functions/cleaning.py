@@ -87,10 +87,6 @@ def slug(c: Column) -> Column:
     return F.regexp_replace(dashed, "^-+|-+$", "")
 
 
-def year_of(c: Column) -> Column:
-    return F.year(c)
-
-
 def first_of_january(year: Column) -> Column:
     return F.make_date(year, F.lit(1), F.lit(1))
 

@@ -11,29 +11,36 @@ from pyspark.sql import functions as F
 from parcelle.params import STOPWORDS
 
 
-def _folding_table() -> tuple[str, str]:
-    """Every character whose decomposition is one ASCII letter plus marks, by rule.
+def _folding_table() -> tuple[str, str, dict[str, str]]:
+    """Every character whose decomposition is one ASCII letter plus marks, by rule, and those with several.
 
     Bare combining marks come last with no counterpart, so ``translate`` drops them.
     """
-    letters, plain = [], []
-    for point in range(0x80, 0xFFFF):
+    letters, plain, several = [], [], {}
+    for point in [*range(0x80, 0xD800), *range(0xE000, 0x20000)]:
         char = chr(point)
-        base = "".join(
-            c for c in unicodedata.normalize("NFKD", char) if not unicodedata.combining(c)
-        ).lower()
+        base = "".join(c for c in unicodedata.normalize("NFKD", char.lower()) if not unicodedata.combining(c))
         if len(base) == 1 and "a" <= base <= "z":
             letters.append(char)
             plain.append(base)
+        elif len(base) > 1 and any("a" <= b <= "z" for b in base):
+            several[char] = base
     marks = [chr(p) for p in range(0x0300, 0x0370) if unicodedata.combining(chr(p))]
-    return "".join(letters + marks), "".join(plain)
+    return "".join(letters + marks), "".join(plain), several
 
 
-_ACCENTED, _PLAIN = _folding_table()
+_ACCENTED, _PLAIN, _SEVERAL = _folding_table()
+# Letters that stand for several in ordinary text: ligatures and digraphs.
+_LIGATURES = {c: b for c, b in _SEVERAL.items() if b.isalpha() and b.isascii()}
 
 
 def fold_accents(c: Column) -> Column:
-    return F.translate(F.lower(c.cast("string")), _ACCENTED, _PLAIN)
+    text = F.lower(c.cast("string"))
+    pairs = F.array(*[F.struct(F.lit(c).alias("c"), F.lit(b).alias("b")) for c, b in _LIGATURES.items()])
+    spelt = F.aggregate(pairs, text, lambda x, p: F.replace(x, p.c, p.b))
+    # replacements only run for rows that hold one of them
+    whole = F.when(text.rlike("[" + "".join(_LIGATURES) + "]"), spelt).otherwise(text)
+    return F.translate(whole, _ACCENTED, _PLAIN)
 
 
 def tokens(c: Column, stopwords: Sequence[str] = STOPWORDS) -> Column:

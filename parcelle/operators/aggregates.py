@@ -14,7 +14,7 @@ from parcelle.operators.columns import is_4g, is_5g, resolve_by_pattern
 from parcelle.operators.filters import apartments
 from parcelle.operators.joins import equipment_categories
 from parcelle.params import (
-    EQUIPMENT_CODE_COLUMNS, EQUIPMENT_RANGES, NETWORK_CODE_COLUMNS, POI_TYPES,
+    EQUIPMENT_CODE_COLUMNS, EQUIPMENT_CODES, NETWORK_CODE_COLUMNS, POI_TYPES,
 )
 
 
@@ -33,7 +33,7 @@ def equipment_counts(equipment: DataFrame) -> DataFrame:
     rows = equipment.select(
         commune_code(F.col(code)).alias("code_commune"), F.upper(F.trim("TYPEQU")).alias("TYPEQU")
     ).join(F.broadcast(equipment_categories(equipment.sparkSession)), "TYPEQU")
-    return pivot_counts(rows, "code_commune", "category", {c: c for c in EQUIPMENT_RANGES})
+    return pivot_counts(rows, "code_commune", "category", {c: c for c in EQUIPMENT_CODES})
 
 
 def equipment_for_scores(counts: DataFrame) -> DataFrame:
@@ -182,8 +182,3 @@ def mean_of(df: DataFrame, column: str, digits: int, out: str) -> DataFrame:
 
 def means(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(*[F.avg(c).alias(c) for c in columns])
-
-
-def condition_share(condition: Column) -> Column:
-    """Per cent of all rows that meet the condition."""
-    return F.try_divide(F.count_if(condition) * 100.0, F.count(F.lit(1)))

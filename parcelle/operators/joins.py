@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelle.params import PROPERTY_TAX_DEFAULT, PROPERTY_TAX_RATES, equipment_codes
+from parcelle.params import EQUIPMENT_CODES, PROPERTY_TAX_DEFAULT, PROPERTY_TAX_RATES
 
 
 def with_region_names(communes: DataFrame, regions: DataFrame | None) -> DataFrame:
@@ -51,7 +51,7 @@ def literal_lookup(key: Column, table: Mapping[str, object], default=None) -> Co
 
 def equipment_categories(spark: SparkSession) -> DataFrame:
     """The fixed code table (TYPEQU, category), under 200 rows."""
-    rows = [F.struct(F.lit(code).alias("TYPEQU"), F.lit(name).alias("category")) for code, name in equipment_codes()]
+    rows = [F.struct(F.lit(code).alias("TYPEQU"), F.lit(name).alias("category")) for name, codes in EQUIPMENT_CODES.items() for code in codes]
     return spark.range(1).select(F.inline(F.array(*rows)))
 
 

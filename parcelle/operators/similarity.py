@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import add
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelle.functions.order_stats import fill_with_median
@@ -16,22 +14,22 @@ from parcelle.operators.filters import drop_all_null
 from parcelle.params import SCORE_COLUMNS
 
 
-def standardise(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Zero mean, unit population deviation; a constant column is only centred."""
-    moments = df.agg(
-        F.struct(
-            *[F.avg(c).alias(f"m_{c}") for c in columns],
-            *[F.stddev_pop(c).alias(f"s_{c}") for c in columns],
-        )
-    ).scalar()
+def _scales(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float | None, float]]:
+    """Mean and population deviation (1 if constant) of each column, from one aggregate row."""
+    row = df.agg(
+        *[F.avg(c).alias(f"m_{c}") for c in columns], *[F.stddev_pop(c).alias(f"s_{c}") for c in columns]
+    ).first()
+    return {c: (row[f"m_{c}"], row[f"s_{c}"] or 1.0) for c in columns}
 
-    def scaled(c: str):
-        spread = F.col(f"_moments.s_{c}")
-        return (F.col(c) - F.col(f"_moments.m_{c}")) / F.when(spread == 0, 1.0).otherwise(spread)
 
-    return (
-        df.withColumn("_moments", moments).withColumns({c: scaled(c) for c in columns}).drop("_moments")
-    )
+def _scaled(column: Column, mean: float | None, spread: float) -> Column:
+    return (column - F.lit(mean).cast("double")) / F.lit(spread)
+
+
+def standardise(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Zero mean, unit population deviation; a constant column is only centred."""
+    scales = _scales(df, columns)
+    return df.withColumns({c: _scaled(F.col(c), *scales[c]) for c in columns})
 
 
 def similar(
@@ -41,7 +39,7 @@ def similar(
     columns: Sequence[str] = SCORE_COLUMNS,
     key: str = "code_commune",
 ) -> DataFrame:
-    """The ``top`` nearest territories with a 0-100 similarity.
+    """The ``top`` nearest territories with a 0-100 similarity and their score columns.
 
     Empty when the code is unknown or fewer than two score columns exist. The
     target is one row found by key; the search is one scan with a top-k, so
@@ -51,18 +49,25 @@ def similar(
     carried = [c for c in ("nom_commune", "avg_price_m2") if c in df.columns]
     if len(used) < 2:
         return df.select(key).limit(0)
+    kept = drop_all_null(df, used)
+    # one aggregate row tells whether there are gaps; without any no median is needed
+    values = F.array(*[F.col(c).cast("double") for c in used])
+    gaps = kept.agg(F.max(F.exists(values, lambda x: x.isNull() | F.isnan(x)))).first()[0]
     known = first_per_key(
-        fill_with_median(drop_all_null(df, used), used).select(key, *carried, *used),
+        (fill_with_median(kept, used) if gaps else kept).select(key, *carried, *used),
         [key],
         [F.col(c).asc_nulls_last() for c in used],
     )
-    scaled = standardise(known, used)
-    target = scaled.where(F.col(key) == code).agg(
-        F.first(F.struct(*used)).alias("t")
-    ).scalar()
-    squares = [F.pow(F.col(c) - F.col(f"_target.{c}"), F.lit(2.0)) for c in used]
+    target = known.where(F.col(key) == code).first()
+    if target is None:
+        return known.select(key, *carried, F.lit(0.0).alias("similarity"), F.lit(0.0).alias("distance"), *used).limit(0)
+    scales = _scales(known, used)
+    # vectors as arrays: a sum over many columns makes the optimizer infer a constraint for each of them
+    mine = F.array(*[_scaled(F.col(c).cast("double"), *scales[c]) for c in used])
+    its = F.array(*[_scaled(F.lit(target[c]).cast("double"), *scales[c]) for c in used])
+    squares = F.aggregate(F.zip_with(mine, its, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x)
     ranked = (
-        scaled.withColumn("_target", target).withColumn("distance", F.sqrt(reduce(add, squares)))
+        known.withColumn("distance", F.sqrt(squares))
         .where(F.col("distance").isNotNull())
         .orderBy("distance", key)
         .limit(top + 1)
@@ -75,5 +80,5 @@ def similar(
         .where(F.col(key) != code)
         .orderBy("distance", key)
         .limit(top)
-        .select(key, *[c for c in carried], "similarity", "distance")
+        .select(key, *carried, "similarity", "distance", *used)
     )

@@ -25,7 +25,8 @@ def listing_texts(
     Repeated snapshots of a listing count once and postal codes are translated;
     ``latest_only=False`` and ``communes=None`` switch these off.
     """
-    rows = latest_snapshot(listings) if latest_only else listings
+    ties = [c for c in ("title", "description", "commune_code") if c in listings.columns]
+    rows = latest_snapshot(listings, ties=ties) if latest_only else listings
     if communes is not None:
         rows = translate_codes(rows, communes)
     parts = [F.col(c) for c in ("title", "description") if c in listings.columns]

@@ -16,7 +16,9 @@ from parcelle.sources.tables import lineage, write_bronze, write_partitioned
 def _previous(spark: SparkSession, root: str, year: int) -> DataFrame | None:
     try:
         return spark.read.parquet(f"{root}/gold/real_estate/annee={year}")
-    except AnalysisException:
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 

@@ -18,9 +18,6 @@ ADAPTIVE_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
 }
-STREAM_STATE_PROVIDER = (
-    "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-)
 
 
 def build_session(app: str = "parcelle", master: str | None = None, **settings: str) -> SparkSession:

@@ -15,14 +15,12 @@ DELIMITERS = ",;\t|"
 _OVERFLOW = "_overflow"
 
 
-def spread(df: DataFrame, at_most: int = 32) -> DataFrame:
-    """Evens out an input with fewer splits than cores (a gzip or one-group file).
+def spread(df: DataFrame) -> DataFrame:
+    """Evens out an input before costly parsing (a gzip or one-group file is one split).
 
-    Such an input is small or unsplittable, so the extra shuffle is cheap next to
-    parsing it in one task. An input with enough splits is returned as it is.
+    The rebalance hint deals rows round-robin into partitions of the advisory size, at any number of cores.
     """
-    wanted = min(df.sparkSession.sparkContext.defaultParallelism, at_most)
-    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
+    return df.hint("rebalance")
 
 
 def sniff_delimiter(header: str) -> str:

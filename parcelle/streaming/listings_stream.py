@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +17,7 @@ from parcelle.operators.filters import valid_listings
 from parcelle.operators.joins import translate_codes
 from parcelle.sources.tables import write_partitioned
 
+log = logging.getLogger(__name__)
 MESSAGE = (
     "listing_id string, source string, commune_code string, city string, price double, "
     "surface_m2 double, price_m2 double, rooms string, postal_code string, property_type string, "
@@ -29,13 +31,17 @@ def topic_names(sources: Sequence[str] | None = None, prefix: str = "listings")
     return [f"{prefix}.{s}" for s in chosen]
 
 
-def kafka_options(servers: str, topics: Sequence[str], max_rows: int = P.STREAM_BATCH_ROWS) -> dict[str, str]:
-    """Options of the Kafka reader: several topics, from the earliest offset."""
+def kafka_options(servers: str, topics: Sequence[str]) -> dict[str, str]:
+    """Options of the Kafka reader: several topics, from the earliest offset.
+
+    A batch starts with 500 messages or after 60 seconds, whichever is first, and takes all there are.
+    """
     return {
         "kafka.bootstrap.servers": servers,
         "subscribe": ",".join(topics),
         "startingOffsets": "earliest",
-        "maxOffsetsPerTrigger": str(max_rows * max(len(topics), 1)),
+        "minOffsetsPerTrigger": str(P.STREAM_BATCH_ROWS),
+        "maxTriggerDelay": f"{P.STREAM_BATCH_SECONDS}s",
     }
 
 
@@ -50,7 +56,8 @@ def read_kafka(spark: SparkSession, servers: str, topics: Sequence[str]) -> Data
 def decode(messages: DataFrame, now: Column | None = None) -> DataFrame:
     """JSON to listing columns. ``source_name`` defaults to unknown; unreadable
     messages keep their text in ``quarantine``."""
-    readable = F.try_parse_json("value").isNotNull()
+    # only an object is a listing; other valid JSON is kept aside like unreadable text
+    readable = F.coalesce(F.schema_of_variant(F.try_parse_json("value")).startswith("OBJECT"), F.lit(False))
     day = F.date_format(now if now is not None else F.current_timestamp(), "yyyy-MM-dd")
     parsed = computed_once(
         messages.select("value"),
@@ -81,7 +88,7 @@ def publish(listings: DataFrame, servers: str, topic: str) -> None:
 def _trigger(writer: DataStreamWriter, drain: bool) -> DataStreamWriter:
     if drain:
         return writer.trigger(availableNow=True)
-    return writer.trigger(processingTime=f"{P.STREAM_BATCH_SECONDS} seconds")
+    return writer.trigger(processingTime="1 second")
 
 
 def start_bronze(decoded: DataFrame, path: str, checkpoint: str, drain: bool = False):
@@ -108,8 +115,8 @@ def start_two_sinks(decoded: DataFrame, bronze: str, archive: str, checkpoint: s
         try:
             raw = tagged.select("source_name", "value", "quarantine", "batch_id")
             write_partitioned(raw, archive, ["batch_id"])
-        except Exception as problem:  # noqa: BLE001
-            print(f"archive of batch {batch_id} skipped: {problem}")
+        except Exception:  # noqa: BLE001
+            log.exception("archive of batch %s skipped", batch_id)
         finally:
             tagged.unpersist()
 

@@ -15,7 +15,7 @@ def _points(spark, folder):
     step = (F.col("l_orderkey") * 7_919 + F.col("l_linenumber") * 104_729 + F.col("l_partkey") * 31) % 1_000_003
     kind = F.element_at(F.array(*[F.lit(t) for t in POI_TYPES]), (step % 10 + 1).cast("int"))
     return S.table(spark, folder, "lineitem").select(
-        "l_orderkey", "l_linenumber",
+        "l_orderkey", "l_linenumber", "l_partkey",
         F.lpad((F.col("l_partkey") % 25).cast("string"), 2, "0").alias("code_departement"),
         ((step % 10_007 + 41_000) / 1_000.0).alias("lat"),
         ((step * 13 % 14_009 - 5_000) / 1_000.0).alias("lon"),
@@ -24,32 +24,32 @@ def _points(spark, folder):
 
 
 POINTS = f"""points AS (
-    SELECT l_orderkey, l_linenumber, lpad(CAST(l_partkey % 25 AS VARCHAR), 2, '0') AS code_departement,
+    SELECT l_orderkey, l_linenumber, l_partkey, lpad(CAST(l_partkey % 25 AS VARCHAR), 2, '0') AS code_departement,
            CAST(step % 10007 + 41000 AS DOUBLE) / 1000.0 AS lat, CAST(step * 13 % 14009 - 5000 AS DOUBLE) / 1000.0 AS lon,
            ['{"', '".join(POI_TYPES)}'][CAST(step % 10 + 1 AS INTEGER)] AS poi_type
     FROM (SELECT *, (l_orderkey * 7919 + l_linenumber * 104729 + l_partkey * 31) % 1000003 AS step FROM lineitem))"""
-_ID = ["l_orderkey", "l_linenumber"]
+_ID = ["l_orderkey", "l_linenumber", "l_partkey", "copy"]
 
 
 def _numbered(spark, folder):
-    """Points with a key: (order, line) may repeat, so equal ones are one point."""
-    return _points(spark, folder).groupBy(*_ID).agg(
-        F.min(F.struct("code_departement", "lat", "lon", "poi_type")).alias("p")
-    ).select(*_ID, "p.*")
+    """All points with a key: rows equal in order, line and part lie at one place and are numbered as copies."""
+    counted = _points(spark, folder).groupBy("l_orderkey", "l_linenumber", "l_partkey").agg(
+        F.min(F.struct("code_departement", "lat", "lon", "poi_type")).alias("p"), F.count("*").alias("n")
+    )
+    return counted.select(
+        "l_orderkey", "l_linenumber", "l_partkey", "p.*", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("copy")
+    )
 
 
 NUMBERED = f"""{POINTS}, numbered AS (
-    SELECT l_orderkey, l_linenumber, p.code_departement AS code_departement, p.lat AS lat, p.lon AS lon, p.poi_type AS poi_type
-    FROM (SELECT l_orderkey, l_linenumber,
-                 min({{'code_departement': code_departement, 'lat': lat, 'lon': lon, 'poi_type': poi_type}}) AS p
-          FROM points GROUP BY 1, 2))"""
+    SELECT *, CAST(row_number() OVER (PARTITION BY l_orderkey, l_linenumber, l_partkey) AS INTEGER) AS copy FROM points)"""
 
 
 def _nearest_sql(extra: str) -> str:
     return f"""nearest AS (
-        SELECT l_orderkey, l_linenumber, arg_min(c.code_commune, ((p.lat - latitude) * (p.lat - latitude)
+        SELECT l_orderkey, l_linenumber, l_partkey, copy, arg_min(c.code_commune, ((p.lat - latitude) * (p.lat - latitude)
                + (p.lon - longitude) * (p.lon - longitude), c.code_commune)) AS code_commune
-        FROM numbered p JOIN communes c ON c.latitude IS NOT NULL {extra} GROUP BY 1, 2)"""
+        FROM numbered p JOIN communes c ON c.latitude IS NOT NULL {extra} GROUP BY 1, 2, 3, 4)"""
 
 
 @query(
@@ -74,7 +74,7 @@ _POI = ", ".join(f"CAST(count(poi_type) FILTER (poi_type = '{t}') AS INTEGER) AS
     "poi_counts",
     f"""WITH {NUMBERED}, {S.COMMUNES}, {_nearest_sql('AND c.code_departement = p.code_departement')}
         SELECT c.code_commune, {_POI} FROM communes c LEFT JOIN (SELECT n.code_commune, p.poi_type FROM nearest n
-        JOIN numbered p USING (l_orderkey, l_linenumber)) q ON q.code_commune = c.code_commune GROUP BY 1""",
+        JOIN numbered p USING (l_orderkey, l_linenumber, l_partkey, copy)) q ON q.code_commune = c.code_commune GROUP BY 1""",
 )
 def poi_counts(spark, folder):
     """Assigned points counted by type; every commune appears."""

@@ -200,9 +200,9 @@ def equipment(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _equipment_values() -> str:
-    from parcelle.params import equipment_codes
+    from parcelle.params import EQUIPMENT_CODES
 
-    return ", ".join(f"('{code}', '{category}')" for code, category in equipment_codes())
+    return ", ".join(f"('{code}', '{category}')" for category, codes in EQUIPMENT_CODES.items() for code in codes)
 
 
 EQUIPMENT = f"""equipment AS (
@@ -257,26 +257,31 @@ INCOMES = f"""incomes AS (
 
 
 def rents(spark: SparkSession, folder: str) -> DataFrame:
-    """Observed rents for two thirds of the communes."""
+    """Rents of all communes; a third of them have no observation, all nulls."""
     key = F.col("p_partkey")
-    return table(spark, folder, "part").where(key % 3 != 0).select(
-        code_of("p_partkey").alias("code_commune"),
-        (F.col("p_size") / 4.0 + 6).alias("loyer_m2_app"),
-        (F.col("p_size") / 4.0 + 4).alias("loyer_m2_app_min"),
-        (F.col("p_size") / 4.0 + 8).alias("loyer_m2_app_max"),
-        (F.col("p_size") / 4.0 + 7).alias("loyer_m2_app12"),
-        (F.col("p_size") / 4.0 + 5).alias("loyer_m2_app3"),
-        (key % 40).cast("int").alias("nb_annonces_app"),
-        (key % 40 > 0).alias("marche_locatif_actif"),
+    columns = {
+        "loyer_m2_app": F.col("p_size") / 4.0 + 6,
+        "loyer_m2_app_min": F.col("p_size") / 4.0 + 4,
+        "loyer_m2_app_max": F.col("p_size") / 4.0 + 8,
+        "loyer_m2_app12": F.col("p_size") / 4.0 + 7,
+        "loyer_m2_app3": F.col("p_size") / 4.0 + 5,
+        "nb_annonces_app": (key % 40).cast("int"),
+        "marche_locatif_actif": key % 40 > 0,
+    }
+    return table(spark, folder, "part").select(
+        code_of("p_partkey").alias("code_commune"), *[F.when(key % 3 != 0, c).alias(n) for n, c in columns.items()]
     )
 
 
+_OBSERVED = {
+    "loyer_m2_app": "p_size / 4.0 + 6", "loyer_m2_app_min": "p_size / 4.0 + 4", "loyer_m2_app_max": "p_size / 4.0 + 8",
+    "loyer_m2_app12": "p_size / 4.0 + 7", "loyer_m2_app3": "p_size / 4.0 + 5",
+    "nb_annonces_app": "CAST(p_partkey % 40 AS INTEGER)", "marche_locatif_actif": "p_partkey % 40 > 0",
+}
 RENTS = f"""rents AS (
-    SELECT {CODE_SQL.format('p_partkey')} AS code_commune, p_size / 4.0 + 6 AS loyer_m2_app,
-           p_size / 4.0 + 4 AS loyer_m2_app_min, p_size / 4.0 + 8 AS loyer_m2_app_max,
-           p_size / 4.0 + 7 AS loyer_m2_app12, p_size / 4.0 + 5 AS loyer_m2_app3,
-           CAST(p_partkey % 40 AS INTEGER) AS nb_annonces_app, p_partkey % 40 > 0 AS marche_locatif_actif
-    FROM part WHERE p_partkey % 3 <> 0)"""
+    SELECT {CODE_SQL.format('p_partkey')} AS code_commune,
+           {', '.join(f'CASE WHEN p_partkey % 3 <> 0 THEN {c} END AS {n}' for n, c in _OBSERVED.items())}
+    FROM part)"""
 
 
 def property_tax(spark: SparkSession, folder: str) -> DataFrame:
@@ -397,11 +402,3 @@ TERRITORY_INPUTS = ", ".join(
     [SALES, GOLD, PRICES, COMMUNES, REGIONS, EQUIPMENT, NETWORK, INCOMES, RENTS, PROPERTY_TAX]
 )
 TERRITORY_ALL = f"{TERRITORY_INPUTS}, {TERRITORY}"
-
-
-def select_rounded(columns: list[str], relation: str, doubles: dict[str, int] | None = None) -> str:
-    """SELECT list with the same rounding as ``rounded``."""
-    doubles = doubles or {}
-    return "SELECT " + ", ".join(
-        f"rnd({c}, {doubles[c]}) AS {c}" if c in doubles else c for c in columns
-    ) + f" FROM {relation}"

@@ -57,6 +57,13 @@ def test_changes_keep_latest_over_batches(spark, tmp_path):
 def test_topics(spark):
     assert stream.topic_names(["seloger", "other"]) == ["listings.seloger"] and len(stream.topic_names()) == 4
     options = stream.kafka_options("h:1", stream.topic_names())
-    assert options["startingOffsets"] == "earliest" and options["maxOffsetsPerTrigger"] == "2000"
+    assert options["startingOffsets"] == "earliest" and options["minOffsetsPerTrigger"] == "500"
+    assert options["maxTriggerDelay"] == "60s" and "maxOffsetsPerTrigger" not in options
     sent = stream.encode(spark.createDataFrame([("s", None, "75056")], "source string, listing_id string, commune_code string")).first()
     assert sent.key == "s_75056" and json.loads(sent.value)["source"] == "s"
+
+
+def test_only_objects_are_listings(spark):
+    messages = spark.createDataFrame([("5",), ('{"source": "s"}',), ("[1]",), ("x{",)], "value string")
+    kept = {r.value for r in stream.decode(messages).collect() if r.quarantine is not None}
+    assert kept == {"5", "[1]", "x{"}
