@@ -12,13 +12,14 @@ others is the hub, and all members are compared with it only. Let d be the exact
 d <= t. Then for members x, y:
 
 * if both are linked with the hub, they are connected already;
-* if x is not linked with the hub and y is, a link of x and y forces them to share differences from the hub, that is
-  shingles both lack of it or both have beyond it, and more of them the more y has (and d(x, hub) <= 2t). So it is enough to
+* if x is not linked with the hub, a link of x and y forces them to share differences from the hub, that is
+  shingles both lack of it or both have beyond it, and more of them the more y has. So for members up to 2t it is enough to
   join differences, for y only the rarest ones, as in prefix filtering (``_by_differences`` has the bound). Copies with
   unrelated edits share none, so a group of near copies does not yield its pairs;
-* if neither is linked with it, both go on to the next round, where the rest of the bucket has a hub of its own. Rests of at
-  most ``SMALL`` members are compared in pairs. What is left after ``ROUNDS`` rounds are texts that met by chance; they are
-  joined on their rarest shingles, which is the same bound with an empty hub.
+* if x is beyond 2t, y is not linked with the hub either. All that are not linked go on to the next round, where the rest of
+  the bucket has a hub of its own. Rests of at most ``SMALL`` members are compared in pairs. What is left after ``ROUNDS``
+  rounds are texts that met by chance; those beyond 2t of their first hub are joined with all left on their rarest
+  shingles, which is the same bound with an empty hub.
 
 Nulls and empty texts: no shingles, linked with nothing. A row without an id takes the component of
 its text but names none. Repeated rows: each gives a row; equal texts are linked. Empty tables give
@@ -224,9 +225,11 @@ class _Tests:
         return kept_table(sizes.where(F.col("shared") * 100 >= F.col("total") * self.percent).select("a", "b"), "linked")
 
     def sets(self, nodes: DataFrame) -> DataFrame:
-        """The full sets of ``nodes(node)``, as differences from an empty hub."""
+        """The full sets of ``nodes(node, far)``, as differences from an empty hub."""
         own = nodes.join(self.texts.withColumnRenamed("doc_id", "node"), "node").select("node", "text")
-        return own.mapInArrow(_full(self.shingle_words), "a long, n_a long, more array<long>").select(
+        sets = own.mapInArrow(_full(self.shingle_words), "a long, n_a long, more array<long>")
+        return sets.join(nodes.select(F.col("node").alias("a"), "far"), "a").select(
+            "far",
             "a", F.lit(-1).cast("long").alias("b"), F.lit(0).cast("long").alias("shared"), "n_a",
             F.lit(0).cast("long").alias("n_b"), "more", F.array().cast("array<long>").alias("less"),
         )
@@ -253,7 +256,7 @@ def _small_pairs(members: DataFrame) -> DataFrame:
 def _hub_rounds(members: DataFrame, tests: _Tests) -> tuple[list[DataFrame], list[DataFrame], DataFrame]:
     """Measured (member, hub) pairs of each round, the pairs of rests that are small, and the nodes left."""
     degrees = members.groupBy("node").agg(F.sum("n").alias("degree"))
-    active = kept_table(members.select("bucket", "node").join(degrees, "node"), "active")
+    active = kept_table(members.select("bucket", "node").join(degrees, "node").withColumn("far", F.lit(False)), "active")
     measured, direct = [], []
     for k in range(ROUNDS):
         hubs = active.groupBy("bucket").agg(F.max_by("node", F.struct("degree", -F.col("node"))).alias("hub"))
@@ -262,17 +265,21 @@ def _hub_rounds(members: DataFrame, tests: _Tests) -> tuple[list[DataFrame], lis
         found = tests.measured(pairs, steady=k == 0)
         measured.append(found)
         apart = F.col("shared") * 100 < F.col("total") * tests.percent
+        # without differences measured, a member is beyond two links of its hub
+        beyond = F.col("more").isNull() if k == 0 else F.lit(False)
         rest = asked.join(
-            found.where(apart).select(F.col("a").alias("node"), F.col("b").alias("hub")), ["node", "hub"]
-        ).select("bucket", "node", "degree")
+            found.where(apart).select(F.col("a").alias("node"), F.col("b").alias("hub"), beyond.alias("beyond")), ["node", "hub"]
+        ).select("bucket", "node", "degree", (F.col("far") | F.col("beyond")).alias("far"))
         sized = kept_table(rest.join(rest.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "bucket"), "rest")
         direct.append(_small_pairs(sized.where(F.col("n") <= SMALL).select("bucket", "node")))
-        active = sized.where(F.col("n") > SMALL).select("bucket", "node", "degree")
-    return measured, direct, active.select("node").distinct()
+        active = sized.where(F.col("n") > SMALL).select("bucket", "node", "degree", "far")
+        if not active.limit(1).count():
+            break
+    return measured, direct, active.groupBy("node").agg(F.max("far").alias("far"))
 
 
 def _by_differences(measured: DataFrame, component: DataFrame, percent: int) -> DataFrame:
-    """Pairs of members x, y of one hub h that may be linked, where x is not linked with h but y is, or h is empty.
+    """Pairs of members x, y of one hub h that may be linked, where x is not linked with h, or h is empty and x is ``far``.
 
     With m the shingles of h that a member lacks, u those it has beyond h, and c = percent / (100 + percent), x and y are
     linked iff |x & y| >= c (|x| + |y|), that is iff they share at least
@@ -284,23 +291,22 @@ def _by_differences(measured: DataFrame, component: DataFrame, percent: int) ->
     short = (F.col("n_a") + F.col("n_b")) * p - F.col("shared") * (100 + p)
     known = measured.where("more is not null").select(
         F.col("a").alias("node"), F.col("b").alias("hub"), short.alias("short"),
-        (F.size("more") * 100 + F.size("less") * p).alias("bound"), "more", "less",
+        (F.size("more") * 100 + F.size("less") * p).alias("bound"), "far", "more", "less",
     )
     open_hubs = known.where("short > 0").select("hub").distinct()
     known = known.join(open_hubs, "hub").join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
     marks = known.select(
-        "hub", "node", "component", "short", "bound",
+        "hub", "node", "component", "short", "bound", "far",
         F.explode(F.concat(F.transform("more", lambda x: F.struct(F.lit(1).alias("side"), x.alias("x"))),
                            F.transform("less", lambda x: F.struct(F.lit(0).alias("side"), x.alias("x"))))).alias("d"),
     )
-    marks = kept_table(marks.select("hub", "node", "component", "short", "bound", "d.*"), "differences")
+    marks = kept_table(marks.select("hub", "node", "component", "short", "bound", "far", "d.*"), "differences")
     common = marks.groupBy("hub", "side", "x").agg(F.count("*").alias("df"))
     order = Window.partitionBy("hub", "node").orderBy("df", "side", "x")
     ranked = kept_table(
         marks.join(common, ["hub", "side", "x"]).withColumn("r", F.row_number().over(order) - 1).where("df > 1"), "ranked"
     )
-    x = ranked.where("short > 0").alias("p")
-    y = ranked.where("short <= 0 or hub = -1").where(F.col("r") * (100 + p) <= F.col("bound")).alias("q")
+    x, y = ranked.where("short > 0 and far").alias("p"), ranked.where(F.col("r") * (100 + p) <= F.col("bound")).alias("q")
     same = [F.col(f"p.{c}") == F.col(f"q.{c}") for c in ("hub", "side", "x")]
     meet = same[0] & same[1] & same[2] & (F.col("p.component") != F.col("q.component")) & (
         F.col("q.r") * (100 + p) + F.col("p.short") <= F.col("q.bound")
@@ -351,7 +357,7 @@ def near_duplicates(
         with_hubs = with_hubs.unionByName(found)
     hub_links = with_hubs.where(F.col("shared") * 100 >= F.col("total") * percent).select("a", "b")
     first = kept_table(components(links.union(hub_links)), "components")
-    maybe = _by_differences(with_hubs.drop("total").unionByName(tests.sets(left)), first, percent)
+    maybe = _by_differences(with_hubs.drop("total").withColumn("far", F.lit(True)).unionByName(tests.sets(left)), first, percent)
     second = tests.confirmed(maybe)
     named = first.select(F.col("node"), "component")
     bridges = (
