@@ -18,7 +18,7 @@ from __future__ import annotations
 import base64
 import heapq
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, cached_property
 
 import duckdb
 import numpy as np
@@ -32,10 +32,10 @@ from parcelle.llm.common import picked
 
 LONG = 512
 # Pieces in one recursive query, bytes of text and tokens handled at once, pieces remembered by a worker.
-BATCH = 25_000
-TEXT_BATCH = 2 << 20
-TOKEN_BATCH = 500_000
-REMEMBERED = 400_000
+BATCH = 15_000
+TEXT_BATCH = 1 << 20
+TOKEN_BATCH = 300_000
+REMEMBERED = 200_000
 
 ROUNDS = """
 WITH RECURSIVE t(w, tok, done) AS (
@@ -65,26 +65,40 @@ class Coder:
         self.pattern = regex.compile(pattern)
         self.known: dict[str, bytes] = {}  # ids as 32-bit integers
         self.byte = np.array([self.ranks[bytes([i])] for i in range(256)], dtype=np.int32)
-        rows = [
-            (left, right, rank)
-            for token, rank in self.ranks.items()
-            for k in range(1, len(token))
-            if (left := self.ranks.get(token[:k])) is not None and (right := self.ranks.get(token[k:])) is not None
-        ]
-        self.pairs = {(a, b): r for a, b, r in rows}
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "250MB", "temp_directory": ""})
-        merges = pa.table([pa.array(c, pa.int32()) for c in zip(*rows, strict=True)], names=["l", "r", "rank"])
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "200MB", "temp_directory": ""})
         vocabulary = pa.table(
             [pa.array(list(self.ranks.values()), pa.int32()), pa.array([t.decode("latin-1") for t in self.ranks])],
             names=["id", "piece"],
         )
-        self.db.register("given", merges)
-        self.db.execute("CREATE TABLE merges AS SELECT * FROM given")
         self.db.register("given", vocabulary)
         self.db.execute("CREATE TABLE vocabulary AS SELECT * FROM given")
         self.db.unregister("given")
+        self.merging = False
+
+    def _pairs(self) -> Iterator[tuple[int, int, int]]:
+        """(left, right, token) of each way to put a token together from two."""
+        for token, rank in self.ranks.items():
+            for k in range(1, len(token)):
+                left, right = self.ranks.get(token[:k]), self.ranks.get(token[k:])
+                if left is not None and right is not None:
+                    yield left, right, rank
+
+    def _merges(self) -> None:
+        """The merge table, made when it is first needed: decoding has no use for it."""
+        if not self.merging:
+            rows = list(self._pairs())
+            given = pa.table([pa.array(c, pa.int32()) for c in zip(*rows, strict=True)], names=["l", "r", "rank"])
+            self.db.register("given", given)
+            self.db.execute("CREATE TABLE merges AS SELECT * FROM given")
+            self.db.unregister("given")
+            self.merging = True
+
+    @cached_property
+    def pairs(self) -> dict[tuple[int, int], int]:
+        return {(a, b): r for a, b, r in self._pairs()}
 
     def _contract(self, pieces: list[str]) -> None:
+        self._merges()
         coded = [p.encode() for p in pieces]
         lengths = np.array([len(b) for b in coded])
         ends = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
@@ -198,7 +212,7 @@ def bpe_encode(
     return picked(docs, id_column, text_column).mapInArrow(run, "doc_id long, ids array<int>")
 
 
-def bpe_decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
+def bpe_decode(encoded: DataFrame, path: str, pattern: str, token_batch: int = TOKEN_BATCH) -> DataFrame:
     """``(doc_id, ids, decoded)``: the bytes that the ids of each row stand for."""
     packed = _packed(path)
 
@@ -206,18 +220,23 @@ def bpe_decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
         code = coder(packed, pattern)
         for batch in batches:
             lists = batch.column("ids")
-            ends = lists.offsets.to_numpy()
-            token = lists.values.to_numpy()
-            decoded: list[list[bytes]] = [[] for _ in range(batch.num_rows)]
-            owner = np.repeat(np.arange(batch.num_rows), np.diff(ends))
-            for a in range(int(ends[0]), int(ends[-1]), TOKEN_BATCH):
-                b = min(a + TOKEN_BATCH, int(ends[-1]))
-                for w, piece in code.decode(owner[a - ends[0] : b - ends[0]], token[a:b]):
-                    decoded[w].append(piece)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), lists, pa.array([b"".join(d) for d in decoded], pa.binary())],
-                names=["doc_id", "ids", "decoded"],
-            )
+            ends, token = lists.offsets.to_numpy(), lists.values.to_numpy()
+            at = 0
+            while at < batch.num_rows:
+                # rows of about token_batch tokens together; a longer row stands alone and is decoded in parts
+                end = max(at + 1, int(np.searchsorted(ends, ends[at] + token_batch, side="right")) - 1)
+                decoded: list[list[bytes]] = [[] for _ in range(at, end)]
+                owner = np.repeat(np.arange(end - at, dtype=np.int32), np.diff(ends[at : end + 1]))
+                for a in range(0, len(owner), token_batch):
+                    part = token[ends[at] + a : min(ends[at] + a + token_batch, ends[end])]
+                    for w, piece in code.decode(owner[a : a + token_batch], part):
+                        decoded[w].append(piece)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").slice(at, end - at), lists.slice(at, end - at),
+                     pa.array([b"".join(d) for d in decoded], pa.binary())],
+                    names=["doc_id", "ids", "decoded"],
+                )
+                at = end
 
     rows = encoded.select("doc_id", F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
     return rows.mapInArrow(run, "doc_id long, ids array<int>, decoded binary")

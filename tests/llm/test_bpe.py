@@ -32,6 +32,15 @@ def test_equals_library(spark, reference):
     assert bpe_encode(df.limit(0), PATH, public_tokenizers.PATTERN).collect() == []
 
 
+def test_long_rows_are_decoded_in_parts(spark):
+    rows = [(1, list(range(50))), (2, []), (3, None), (4, [256, 256]), (5, list(range(20)))]
+    df = spark.createDataFrame(rows, "doc_id long, ids array<int>")
+    code = bpe.coder(bpe._packed(PATH), public_tokenizers.PATTERN)
+    back = {r: t for t, r in code.ranks.items()}
+    got = {r.doc_id: bytes(r.decoded) for r in bpe_decode(df, PATH, public_tokenizers.PATTERN, token_batch=7).collect()}
+    assert got == {i: b"".join(back[x] for x in ids or []) for i, ids in rows}
+
+
 def test_heap_equals_rounds():
     code = bpe.coder(bpe._packed(PATH), public_tokenizers.PATTERN)
     rng = random.Random(2)
