@@ -229,7 +229,7 @@ class _Tests:
         own = nodes.join(self.texts.withColumnRenamed("doc_id", "node"), "node").select("node", "text")
         sets = own.mapInArrow(_full(self.shingle_words), "a long, n_a long, more array<long>")
         return sets.join(nodes.select(F.col("node").alias("a"), "far"), "a").select(
-            "far",
+            "far", F.lit(True).alias("any"),
             "a", F.lit(-1).cast("long").alias("b"), F.lit(0).cast("long").alias("shared"), "n_a",
             F.lit(0).cast("long").alias("n_b"), "more", F.array().cast("array<long>").alias("less"),
         )
@@ -263,7 +263,8 @@ def _hub_rounds(members: DataFrame, tests: _Tests) -> tuple[list[DataFrame], lis
         asked = kept_table(active.join(hubs, "bucket").where("node <> hub"), "asked")
         pairs = kept_table(asked.select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct(), "hub-pairs")
         found = tests.measured(pairs, steady=k == 0)
-        measured.append(found)
+        # two members that are both not linked are joined for their first hub only; later ones see them again as ``far``
+        measured.append(found.withColumn("any", F.lit(k == 0)))
         apart = F.col("shared") * 100 < F.col("total") * tests.percent
         # without differences measured, a member is beyond two links of its hub
         beyond = F.col("more").isNull() if k == 0 else F.lit(False)
@@ -291,22 +292,23 @@ def _by_differences(measured: DataFrame, component: DataFrame, percent: int) ->
     short = (F.col("n_a") + F.col("n_b")) * p - F.col("shared") * (100 + p)
     known = measured.where("more is not null").select(
         F.col("a").alias("node"), F.col("b").alias("hub"), short.alias("short"),
-        (F.size("more") * 100 + F.size("less") * p).alias("bound"), "far", "more", "less",
+        (F.size("more") * 100 + F.size("less") * p).alias("bound"), "far", "any", "more", "less",
     )
     open_hubs = known.where("short > 0").select("hub").distinct()
     known = known.join(open_hubs, "hub").join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
     marks = known.select(
-        "hub", "node", "component", "short", "bound", "far",
+        "hub", "node", "component", "short", "bound", "far", "any",
         F.explode(F.concat(F.transform("more", lambda x: F.struct(F.lit(1).alias("side"), x.alias("x"))),
                            F.transform("less", lambda x: F.struct(F.lit(0).alias("side"), x.alias("x"))))).alias("d"),
     )
-    marks = kept_table(marks.select("hub", "node", "component", "short", "bound", "far", "d.*"), "differences")
+    marks = kept_table(marks.select("hub", "node", "component", "short", "bound", "far", "any", "d.*"), "differences")
     common = marks.groupBy("hub", "side", "x").agg(F.count("*").alias("df"))
     order = Window.partitionBy("hub", "node").orderBy("df", "side", "x")
     ranked = kept_table(
         marks.join(common, ["hub", "side", "x"]).withColumn("r", F.row_number().over(order) - 1).where("df > 1"), "ranked"
     )
-    x, y = ranked.where("short > 0 and far").alias("p"), ranked.where(F.col("r") * (100 + p) <= F.col("bound")).alias("q")
+    x = ranked.where("short > 0 and far").alias("p")
+    y = ranked.where("short <= 0 or `any`").where(F.col("r") * (100 + p) <= F.col("bound")).alias("q")
     same = [F.col(f"p.{c}") == F.col(f"q.{c}") for c in ("hub", "side", "x")]
     meet = same[0] & same[1] & same[2] & (F.col("p.component") != F.col("q.component")) & (
         F.col("q.r") * (100 + p) + F.col("p.short") <= F.col("q.bound")
