@@ -105,6 +105,10 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def of_kind(kind: str):
+    return lambda span: span.kind == kind
+
+
 @query("op6_personal_data")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     found = personal_data(table(spark, folder, "documents"))
@@ -112,7 +116,7 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     told = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.end)), ",")
     return found.select(
         "doc_id",
-        *[F.size(F.filter(base, lambda s, k=k: s.kind == k)).cast("long").alias(f"n_{k}") for k in KINDS],
+        *[F.size(F.filter(base, of_kind(k))).cast("long").alias(f"n_{k}") for k in KINDS],
         F.sha2(told(base).cast("binary"), 256).alias("base_sha256"),
         told(F.col("spans")).alias("spans"),
     )
