@@ -47,8 +47,8 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold an item of the benchmark go."""
-    gone = contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
+    """Documents that hold an item of the benchmark go, also those that differ in capitals."""
+    gone = contaminated(docs, table(spark, sf_dir, "benchmark"), any_case=True).select("doc_id").distinct()
     return docs.join(small_or_shuffled(gone, BROADCAST_IDS), "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns])
 
 

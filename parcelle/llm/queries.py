@@ -125,7 +125,7 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
 @query("op7_decontamination")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
-    found = contaminated(docs, table(spark, folder, "benchmark")).groupBy("doc_id").agg(
+    found = contaminated(docs, table(spark, folder, "benchmark"), any_case=True).groupBy("doc_id").agg(
         F.array_sort(F.collect_set("item_id")).alias("items")
     )
     return docs.select("doc_id").join(found, "doc_id", "left").select(

@@ -8,6 +8,10 @@ value of the item stands for one value in the document and the other way round.
 when the runs hold at least ``SHARE`` of the item's distinct windows. Items of fewer words than a window are one window;
 items with fewer than ``LITERALS`` plain words say too little and match nothing.
 
+With ``any_case`` an item also counts by its literal windows, words as they are but lower-cased and no slots: capitals
+make name slots, so a copy in capitals has no template windows, and one in small letters has other ones. Full windows
+need no plain words then; shorter items need ``LITERALS`` words that are neither numbers nor units.
+
 Nulls are empty texts and match nothing; repeated items count once for each item id, repeated documents by id.
 Empty tables give no contamination.
 """
@@ -43,6 +47,7 @@ _STOP[[ord(c) for c in ".!?:"]] = True
 _DIGIT = np.zeros(256, dtype=bool)
 _DIGIT[48:58] = True
 _NUMBER, _NAME, _UNIT = U(0xA0761D6478BD642F), U(0xE7037ED1A0B428DB), U(0x8EBC6AF09C88C6E3)
+_LITERAL = U(0x589965CC75374CC3)
 
 
 class Templates(Words):
@@ -72,6 +77,7 @@ class Templates(Words):
         unit[first_words] = False
         name = capital & ~opens & ~number & ~unit
         self.slot = number | name | unit
+        self.value = number | unit
         self.token = np.where(number, _NUMBER, np.where(unit, _UNIT, np.where(name, _NAME, self.code)))
 
     def windows(self, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -83,6 +89,17 @@ class Templates(Words):
         good = (owner[at] == owner[at + length - 1]) & (plain[at + length] - plain[at] >= LITERALS) if len(codes) else at > 0
         return at[good], codes[good] ^ U(length)
 
+    def literal_windows(self, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places and codes of all case-blind windows inside one text; short ones need enough plain words."""
+        owner = self.owner()
+        codes = ngrams(self.code, length)
+        at = np.arange(len(codes))
+        good = owner[at] == owner[at + length - 1] if len(codes) else at > 0
+        if length < WINDOW and len(codes):
+            plain = np.concatenate(([0], np.cumsum(~self.value)))
+            good &= plain[at + length] - plain[at] >= LITERALS
+        return at[good], codes[good] ^ U(length) ^ _LITERAL
+
     def slots(self, at: int, length: int) -> list[str]:
         """Values of the slots of a window, each with its distance from the window's start."""
         return [
@@ -107,26 +124,33 @@ def _unit_codes() -> np.ndarray:
     return _UNITS[0]
 
 
-def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        raw, offsets = buffers(batch.column("text"))
-        ids = batch.column("doc_id").to_pylist()
-        out = []
-        for i in range(batch.num_rows):
-            item = Templates(raw, offsets[i : i + 2])
-            length = min(WINDOW, len(item.token))
-            at, codes = item.windows(length) if length else ((), ())
-            out += [(ids[i], int(a), length, int(np.int64(c.view(np.int64))), item.slots(a, length))
-                    for a, c in zip(at, codes, strict=True)]
-        if out:
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.string()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(v, k) for v, k in zip(zip(*out, strict=True), kinds, strict=True)],
-                names=["item_id", "at", "length", "code", "slots"],
-            )
-
-
-def _doc_windows(wanted: np.ndarray, lengths: list[int]):
+def _item_windows(any_case: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw, offsets = buffers(batch.column("text"))
+            ids = batch.column("doc_id").to_pylist()
+            out = []
+            for i in range(batch.num_rows):
+                item = Templates(raw, offsets[i : i + 2])
+                length = min(WINDOW, len(item.token))
+                if not length:
+                    continue
+                out += [(ids[i], False, int(a), length, int(c.view(np.int64)), item.slots(a, length))
+                        for a, c in zip(*item.windows(length), strict=True)]
+                if any_case:
+                    out += [(ids[i], True, int(a), length, int(c.view(np.int64)), [])
+                            for a, c in zip(*item.literal_windows(length), strict=True)]
+            if out:
+                kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.string()))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(v, k) for v, k in zip(zip(*out, strict=True), kinds, strict=True)],
+                    names=["item_id", "literal", "at", "length", "code", "slots"],
+                )
+
+    return run
+
+
+def _doc_windows(wanted: np.ndarray, lengths: list[int], any_case: bool):
     """Windows of documents whose code is among the sorted ``wanted``."""
     shift = U(64 - 22)
     marked = np.zeros(1 << 22, dtype=bool)
@@ -139,8 +163,8 @@ def _doc_windows(wanted: np.ndarray, lengths: list[int]):
             for lo, hi in chunks(offsets, 1 << 20):
                 words = Templates(raw, offsets[lo : hi + 1])
                 owner = words.owner()
-                for length in lengths:
-                    at, codes = words.windows(length)
+                for length, literal in ((n, k) for n in lengths for k in ((False, True) if any_case else (False,))):
+                    at, codes = words.literal_windows(length) if literal else words.windows(length)
                     likely = marked[(codes >> shift).astype(np.int64)]
                     at, codes = at[likely], codes[likely]
                     spot = np.searchsorted(wanted, codes)
@@ -151,7 +175,7 @@ def _doc_windows(wanted: np.ndarray, lengths: list[int]):
                         yield pa.RecordBatch.from_arrays(
                             [pa.array(ids[lo + text]), pa.array((at - words.first[text]).astype(np.int64)),
                              pa.array(codes.view(np.int64)),
-                             pa.array([words.slots(int(a), length) for a in at], pa.list_(pa.string()))],
+                             pa.array([[] if literal else words.slots(int(a), length) for a in at], pa.list_(pa.string()))],
                             names=["doc_id", "place", "code", "values"],
                         )
 
@@ -161,15 +185,20 @@ def _doc_windows(wanted: np.ndarray, lengths: list[int]):
 def contaminated(
     docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     item_column: str = "item_id", item_text: str = "text", share: float = SHARE, block: int = BLOCK,
+    any_case: bool = False,
 ) -> DataFrame:
-    """``(doc_id, item_id, share)`` for each document and item it is contaminated by; documents without an id are left out."""
+    """``(doc_id, item_id, share)`` for each document and item it is contaminated by; documents without an id are left out.
+
+    With ``any_case`` copies that differ in capitals are found too; the share is the greater one of both kinds of windows.
+    """
     items = kept_table(
         picked(benchmark, item_column, item_text)
-        .mapInArrow(_item_windows, "item_id long, at long, length int, code long, slots array<string>")
-        .groupBy("item_id", "code").agg(F.min_by(F.struct("at", "length", "slots"), "at").alias("w")).select("item_id", "code", "w.*"),
+        .mapInArrow(_item_windows(any_case), "item_id long, literal boolean, at long, length int, code long, slots array<string>")
+        .groupBy("item_id", "literal", "code").agg(F.min_by(F.struct("at", "length", "slots"), "at").alias("w"))
+        .select("item_id", "literal", "code", "w.*"),
         "items",
     )
-    sizes = items.groupBy("item_id").agg(F.count("*").alias("windows"))
+    sizes = items.groupBy("item_id", "literal").agg(F.count("*").alias("windows"))
     texts = picked(docs, id_column, text_column).where("doc_id is not null")
     codes = items.select("code").distinct()
     passes = -(-codes.count() // block)
@@ -182,25 +211,25 @@ def contaminated(
             continue
         wanted = wanted if len(wanted) else np.array([0], dtype=U)
         found = texts.mapInArrow(
-            _doc_windows(wanted, lengths), "doc_id long, place long, code long, values array<string>"
+            _doc_windows(wanted, lengths, any_case), "doc_id long, place long, code long, values array<string>"
         )
         hits = found if hits is None else hits.unionByName(found)
     paired = hits.join(items, "code").select(
-        "doc_id", "item_id", "code", (F.col("place") - F.col("at")).alias("diagonal"),
+        "doc_id", "item_id", "literal", "code", (F.col("place") - F.col("at")).alias("diagonal"),
         F.arrays_zip(F.col("slots").alias("mine"), F.col("values").alias("theirs")).alias("pairs"),
     )
-    runs = paired.groupBy("doc_id", "item_id", "diagonal").agg(
+    runs = paired.groupBy("doc_id", "item_id", "literal", "diagonal").agg(
         F.collect_set("code").alias("codes"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs")
     )
     whole = F.size("pairs")
     consistent = (F.size(F.array_distinct(F.col("pairs.mine"))) == whole) & (
         F.size(F.array_distinct(F.col("pairs.theirs"))) == whole
     )
-    counted = runs.where(consistent).groupBy("doc_id", "item_id").agg(
+    counted = runs.where(consistent).groupBy("doc_id", "item_id", "literal").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("codes")))).alias("matched")
     )
     return (
-        counted.join(sizes, "item_id")
-        .select("doc_id", "item_id", (F.col("matched") / F.col("windows")).alias("share"))
+        counted.join(sizes, ["item_id", "literal"])
+        .groupBy("doc_id", "item_id").agg(F.max(F.col("matched") / F.col("windows")).alias("share"))
         .where(F.col("share") >= share)
     )

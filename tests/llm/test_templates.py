@@ -79,3 +79,23 @@ def test_whole_small_table(spark):
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()]
     want = brute(docs, items)
     assert want and run(spark, docs, items) == want
+
+
+def test_any_case(spark):
+    other = "what is the weight of a stone that falls from a tower of some height"
+    docs = [(1, ITEM.upper()), (2, ITEM.lower()), (3, "x " + other.upper() + " Y"), (4, other.title()), (5, "IF ANNA BUYS NOTHING"), (6, ITEM)]
+    docs += [(7, "FOUR PLAIN WORDS HERE"), (8, "PAGE 7 OF 9")]
+    items = [(1, ITEM), (2, other), (3, "four plain words here"), (4, "page 7 of 9")]
+    want = {(1, 1), (2, 1), (6, 1), (3, 2), (4, 2), (7, 3)}
+    assert run(spark, docs, items, any_case=True) == want == run(spark, docs, items, any_case=True, block=3)
+    assert run(spark, [(1, ITEM)], [(1, ITEM.upper())], any_case=True) == {(1, 1)}
+
+
+def test_query_finds_copies_in_capitals(spark, tmp_path):
+    from parcelle.llm.queries import QUERIES
+
+    docs = [(1, ITEM.upper(), 1, "x"), (2, ITEM.lower(), 1, "x"), (3, "none of it", 1, "x")]
+    spark.createDataFrame(docs, SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(5, ITEM)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = QUERIES["op7_decontamination"](spark, str(tmp_path)).collect()
+    assert {r.doc_id: r["items"] for r in got} == {1: "5", 2: "5", 3: ""}
