@@ -262,14 +262,22 @@ def _hub_rounds(members: DataFrame, tests: _Tests) -> tuple[list[DataFrame], lis
         hubs = active.groupBy("bucket").agg(F.max_by("node", F.struct("degree", -F.col("node"))).alias("hub"))
         asked = kept_table(active.join(hubs, "bucket").where("node <> hub"), "asked")
         pairs = kept_table(asked.select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct(), "hub-pairs")
-        found = tests.measured(pairs, steady=k == 0)
+        # a hub of one bucket can be a later hub of another one, so a pair may come again; it is measured once, as a second
+        # row would count its differences twice and halve the prefix of ``_by_differences``
+        again = None
+        for earlier in measured:
+            known = earlier.select("a", "b", "shared", "total").join(pairs, ["a", "b"])
+            again = known if again is None else again.unionByName(known)
+        new = pairs if again is None else pairs.join(again.select("a", "b"), ["a", "b"], "left_anti")
+        found = tests.measured(new, steady=k == 0)
         # two members that are both not linked are joined for their first hub only; later ones see them again as ``far``
         measured.append(found.withColumn("any", F.lit(k == 0)))
         apart = F.col("shared") * 100 < F.col("total") * tests.percent
         # without differences measured, a member is beyond two links of its hub
         beyond = F.col("more").isNull() if k == 0 else F.lit(False)
+        judged = found if again is None else found.select("a", "b", "shared", "total").unionByName(again)
         rest = asked.join(
-            found.where(apart).select(F.col("a").alias("node"), F.col("b").alias("hub"), beyond.alias("beyond")), ["node", "hub"]
+            judged.where(apart).select(F.col("a").alias("node"), F.col("b").alias("hub"), beyond.alias("beyond")), ["node", "hub"]
         ).select("bucket", "node", "degree", (F.col("far") | F.col("beyond")).alias("far"))
         sized = kept_table(rest.join(rest.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "bucket"), "rest")
         direct.append(_small_pairs(sized.where(F.col("n") <= SMALL).select("bucket", "node")))

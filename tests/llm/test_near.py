@@ -71,3 +71,23 @@ def test_registers_merge_and_estimate():
     assert (np.maximum(rows[0], rows[1]) == rows[2]).all() and rows.shape[1] == REGISTERS
     fit = estimate(rows[:1], rows[1:2], np.array([2000.0]), np.array([2500.0]))[0]
     assert abs(fit - 0.5) < 0.2
+
+
+def test_hub_measured_once_over_rounds(spark, monkeypatch):
+    """1 is the first hub of bucket 1 and, after 9, the second of bucket 2; 2 and 3 are linked by differences from it alone."""
+    monkeypatch.setattr(near, "SMALL", 1)
+    base = [f"w{i}" for i in range(100)]
+    both, own, lone = [[f"{c}{i}" for i in range(n)] for c, n in (("s", 6), ("x", 6), ("y", 4))]
+    words = {1: base, 2: base[13:] + both + own, 3: base[5:] + both + lone, 9: [f"g{i}" for i in range(50)]}
+    texts = spark.createDataFrame([(i, " ".join(w)) for i, w in words.items()], "doc_id long, text string")
+    members = [(1, 1, 3), (1, 2, 3), (1, 3, 3), (2, 1, 4), (2, 2, 4), (2, 3, 4), (2, 9, 99)]
+    tests = near._Tests(None, texts, 1, 80)
+    measured, _, left = near._hub_rounds(spark.createDataFrame(members, "bucket long, node long, n long"), tests)
+    rows = measured[0]
+    for found in measured[1:]:
+        rows = rows.unionByName(found)
+    pairs = [(r.a, r.b) for r in rows.collect()]
+    assert {(2, 1), (3, 1)} <= set(pairs) and len(pairs) == len(set(pairs))
+    component = spark.createDataFrame([(1, 1), (3, 1)], "node long, component long")
+    known = rows.drop("total").withColumn("far", F.lit(True)).unionByName(tests.sets(left))
+    assert (2, 3) in {(r.a, r.b) for r in near._by_differences(known, component, 80).collect()}
