@@ -1,9 +1,9 @@
 """Personal data: fixed patterns plus a linear-chain conditional random field over word shapes.
 
 The patterns find emails, addresses, cards and phones. The field is trained on the small labelled table
-below, labels words with begin/inside tags and is decoded by Viterbi in numpy batches. It reads every
-word within ``REACH`` words of a word with a digit or an ``@``; other words carry no such data and are
-outside by definition. Its spans are added where they touch no pattern's span and hold up to their
+below, labels words with begin/inside tags and is decoded by Viterbi in numpy batches. It reads
+every word of every text. Words that the best labelling leaves outside whatever their neighbours' labels part a text
+into short runs, so that only the runs between them need decoding; the labels are those of the whole text. Its spans are added where they touch no pattern's span and hold up to their
 kind's plain checks; the patterns' spans stay as they are.
 
 Nulls are empty texts; repeated rows give equal rows; an empty table gives an empty result. All scans are
@@ -23,7 +23,8 @@ from pyspark.sql import DataFrame
 from parcelle.llm.common import picked
 
 KINDS = ("email", "ip", "card", "phone")
-REACH = 6
+KNOWN_WORDS = 300_000
+BLOCK = 100_000
 
 # The labelled table: [kind|words] marks personal data, all other words are outside.
 LABELLED = """\
@@ -237,22 +238,67 @@ def model(rounds: int = 120, penalty: float = 0.02, rate: float = 0.2):
     return number, weight, move
 
 
-def viterbi(sentences: list[list[list[int]]], weight: np.ndarray, move: np.ndarray) -> list[np.ndarray]:
-    """Best tags of each sentence; sentences of like length are decoded together, padded at the end."""
-    out: list[np.ndarray] = [np.zeros(0, dtype=np.int64)] * len(sentences)
-    order = sorted(range(len(sentences)), key=lambda i: len(sentences[i]))
+class _Known(dict):
+    """A word's features as one number: shape, plain word, digits, ``@`` and colons; shapes and words not trained on are 0."""
+
+    def __init__(self, shapes: dict[str, int], plains: dict[str, int]):
+        super().__init__()
+        self.shapes, self.plains = shapes, plains
+
+    def __missing__(self, word: str) -> int:
+        digits = min(sum(c in "0123456789" for c in word), 20)
+        plain = "#" if digits else word.strip(".,;:!?()[]\"'").lower()
+        code = (self.shapes.get(shape(word.rstrip(".,;!?")), 0) | self.plains.get(plain, 0) << 12 | digits << 24
+                | ("@" in word) << 29 | (word.count(":") > 1) << 30)
+        if len(self) < KNOWN_WORDS:
+            self[word] = code
+        return code
+
+
+@cache
+def _field():
+    """Known words, the emissions of word codes at given places, and the lead that makes a word outside for certain."""
+    number, weight, move = model()
+    row = lambda f: weight[number[f]] if f in number else np.zeros(len(TAGS))
+    after = lambda *heads: sorted({f[len(h):] for f in number for h in heads if f.startswith(h)})
+    shapes = {x: k for k, x in enumerate(after("s0=", "s-=", "s+="), 1)}
+    plains = {x: k for k, x in enumerate(after("w0=", "w-=", "w--=", "w+="), 1)}
+    of = lambda head, names: np.array([np.zeros(len(TAGS)), *(row(head + x) for x in names)])
+    both = lambda head: np.array([[row(f"{head}{x}|{y}") for y in ("\0", *shapes)] for x in ("\0", *shapes)])
+    s0, s_, s1 = (of(h, shapes) for h in ("s0=", "s-=", "s+="))
+    w0, w_, w__, w1 = (of(h, plains) for h in ("w0=", "w-=", "w--=", "w+="))
+    d0 = np.array([row(f"d0={d}") for d in range(21)])
+    around = np.array([[row(f"d-+={x},{y}") for y in range(21)] for x in range(21)])
+    total = np.array([row(f"sum={d}") for d in range(17)])
+    ahead, behind = both("s0s+="), both("s-s0=")
+    signs = np.array([[row(f"@={a}") + row(f"::={c}") + row("bias") for c in (False, True)] for a in (False, True)])
+
+    def emissions(code: np.ndarray, at: np.ndarray) -> np.ndarray:
+        near = [code[at + k] for k in (-2, -1, 0, 1, 2)]
+        s, w, d = ([(c >> up) & mask for c in near] for up, mask in ((0, 4095), (12, 4095), (24, 31)))
+        return (
+            s0[s[2]] + s_[s[1]] + s1[s[3]] + w0[w[2]] + w_[w[1]] + w__[w[0]] + w1[w[3]] + d0[d[2]] + around[d[1], d[3]]
+            + total[np.minimum(sum(d), 16)] + ahead[s[2], s[3]] + behind[s[1], s[2]] + signs[(near[2] >> 29) & 1, near[2] >> 30]
+        )
+
+    lead = np.maximum((move - move[:, :1]).max(0), 0) + np.maximum((move - move[:1]).max(1), 0) + 1e-6
+    return _Known(shapes, plains), emissions, lead[1:]
+
+
+def viterbi(runs: list[np.ndarray], move: np.ndarray) -> list[np.ndarray]:
+    """Best tags of each run of emissions; runs of like length are decoded together, padded at the end."""
+    out: list[np.ndarray] = [np.zeros(0, dtype=np.int64)] * len(runs)
+    order = sorted(range(len(runs)), key=lambda i: len(runs[i]))
     at = 0
     while at < len(order):
         size, end = 0, at
-        while end < len(order) and (end == at or (end - at + 1) * len(sentences[order[end]]) <= 50_000):
+        while end < len(order) and (end == at or (end - at + 1) * len(runs[order[end]]) <= 50_000):
             end += 1
         group = order[at:end]
-        size = len(sentences[group[-1]])
+        size = len(runs[group[-1]])
         emit = np.zeros((len(group), size, len(TAGS)))
         for k, i in enumerate(group):
-            for j, known in enumerate(sentences[i]):
-                if known:
-                    emit[k, j] = weight[known].sum(0)
+            emit[k, : len(runs[i])] = runs[i]
         back = np.zeros(emit.shape, dtype=np.int8)
         score = emit[:, 0]
         best = [score]
@@ -261,7 +307,7 @@ def viterbi(sentences: list[list[list[int]]], weight: np.ndarray, move: np.ndarr
             back[:, j] = step.argmax(1)
             score = step.max(1) + emit[:, j]
             best.append(score)
-        lengths = np.array([len(sentences[i]) for i in group])
+        lengths = np.array([len(runs[i]) for i in group])
         final = np.stack(best, 1)[np.arange(len(group)), lengths - 1].argmax(1)
         for k, i in enumerate(group):
             path = np.zeros(lengths[k], dtype=np.int64)
@@ -284,34 +330,31 @@ def _plausible(kind: str, text: str) -> bool:
     return text.count(":") >= 2 and bool(re.fullmatch(r"[0-9A-Fa-f:.]+", text))
 
 
-def windows(text: str) -> list[list[tuple[int, int]]]:
-    """Maximal runs of words within ``REACH`` words of a word with a digit or an ``@``."""
-    if not TRIGGER.search(text):
-        return []
-    words = [m.span() for m in WORD.finditer(text)]
-    out: list[list[tuple[int, int]]] = []
-    last = -1
-    for i, (a, b) in enumerate(words):
-        if TRIGGER.search(text, a, b):
-            lo = max(i - REACH, last)
-            if out and lo <= last:
-                out[-1].extend(words[last : i + REACH + 1])
-            else:
-                out.append(words[lo if lo > 0 else 0 : i + REACH + 1])
-            last = min(len(words), i + REACH + 1)
-    return out
+def uncertain_runs(codes: list[int]) -> tuple[list[tuple[int, int]], list[np.ndarray]]:
+    """Runs of words of one text that may be labelled, each with a certainly outside word on either side, and their emissions."""
+    known, emissions, lead = _field()
+    code = np.array([known["<"]] * 2 + codes + [known[">"]] * 2, dtype=np.int64)
+    maybe = np.zeros(len(codes) + 2, dtype=np.int8)
+    for lo in range(0, len(codes), BLOCK):
+        emit = emissions(code, np.arange(lo, min(lo + BLOCK, len(codes))) + 2)
+        maybe[lo + 1 : lo + 1 + len(emit)] = (emit[:, :1] - emit[:, 1:] <= lead).any(1)
+    turns = np.flatnonzero(np.diff(maybe))
+    runs = [(max(int(a) - 1, 0), min(int(b) + 1, len(codes))) for a, b in zip(turns[::2], turns[1::2], strict=True)]
+    return runs, [emissions(code, np.arange(a, b) + 2) for a, b in runs]
 
 
 def added_spans(texts: list[str], base: list[list[tuple[str, int, int]]]) -> list[list[tuple[str, int, int]]]:
     """The field's spans of each text that touch none of the patterns' spans."""
-    number, weight, move = model()
+    known, move = _field()[0], model()[2]
     where, sentences = [], []
     for i, text in enumerate(texts):
-        for run in windows(text):
-            where.append((i, run))
-            sentences.append([[number[f] for f in fs if f in number] for fs in features([text[a:b] for a, b in run])])
+        runs, emits = uncertain_runs([known[w] for w in WORD.findall(text)])
+        if runs:
+            words = [m.span() for m in WORD.finditer(text)]
+            where += [(i, words[a:b]) for a, b in runs]
+            sentences += emits
     out: list[list[tuple[str, int, int]]] = [[] for _ in texts]
-    for (i, run), path in zip(where, viterbi(sentences, weight, move), strict=True):
+    for (i, run), path in zip(where, viterbi(sentences, move), strict=True):
         taken = sorted((a, b) for _, a, b in base[i])
         k = 0
         while k < len(path):

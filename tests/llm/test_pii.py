@@ -1,6 +1,9 @@
 import random
 import re
 
+import numpy as np
+
+from parcelle.llm import pii
 from parcelle.llm.pii import added_spans, base_spans, luhn, model, personal_data, read_labelled
 
 PATTERNS = {
@@ -73,3 +76,25 @@ def test_rows(spark):
     got = sorted((r.doc_id, [(s.kind, s.start, s.end, s.base) for s in r.spans]) for r in personal_data(df).collect())
     assert got == [(1, []), (1, [("email", 21, 29, True), ("phone", 5, 17, False)]), (2, []), (3, [])]
     assert personal_data(df.limit(0)).collect() == []
+
+
+def test_spelled_out_emails_without_digits():
+    for words, tags in read_labelled(HELD_OUT[3:5]):
+        told = " ".join(w for w, t in zip(words, tags, strict=True) if t != "O")
+        text = "plain words come first and go on . " + " ".join(words) + " and many more plain words come after it"
+        assert [(k, text[a:b]) for k, a, b in added_spans([text], [[]])[0]] == [("email", told)]
+
+
+def test_runs_equal_whole_decoding():
+    number, weight, move = model()
+    rng = random.Random(6)
+    pool = [w for line in (*pii.LABELLED, *HELD_OUT) for w in re.sub(r"\[\w+\||\]", " ", line).split()] + ["other", "<", ">", "Zz9"]
+    for _ in range(300):
+        words = [rng.choice(pool) for _ in range(rng.randint(1, 40))]
+        emit = np.array([sum(weight[number[f]] for f in fs if f in number) for fs in pii.features(words)])
+        want = pii.viterbi([emit], move)[0]
+        got = np.zeros(len(words), dtype=int)
+        runs, emits = pii.uncertain_runs([pii._field()[0][w] for w in words])
+        for (a, b), path in zip(runs, pii.viterbi(emits, move), strict=True):
+            got[a:b] = path
+        assert got.tolist() == want.tolist(), words
