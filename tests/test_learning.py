@@ -41,3 +41,15 @@ def test_similar(spark):
     assert [r.code_commune for r in got] and got[-1].similarity == 0.0 and "1" not in [r.code_commune for r in got]
     assert similarity.similar(df, "x").count() == 0
     assert similarity.similar(df.select("code_commune", "green_score"), "1").count() == 0
+
+
+def test_registered_forest_is_whole(spark, monkeypatch):
+    from parcelle.workloads import learning
+
+    asked, fitted = [], []
+    monkeypatch.setattr(learning.S, "gold", lambda *_: _history(spark))
+    monkeypatch.setattr(learning, "stored", lambda df, _: df)
+    monkeypatch.setattr(forecast.RandomForestRegressor, "fit", lambda self, _: fitted.append((self.getNumTrees(), self.getMaxDepth())))
+    monkeypatch.setattr(learning.forecast, "forecast", lambda history, year, **more: asked.append(forecast.fit_forest(forecast.training_set(history), **more)))
+    learning.rf_forecast(spark, "")
+    assert len(asked) == 1 and fitted == [(200, 30)]
