@@ -1,14 +1,13 @@
 """Line dedup, in DataFrame functions only: later copies of runs of ``MIN_LINES`` lines are deleted.
 
-Each text is a sequence of line names over its lines with a word (lines without one are left alone). Prefix
-doubling names the first h, then 2h lines of every suffix from the names of two halves, up to ``MIN_LINES``; the
-halves lie in the same row, so a round needs no shuffle. Suffixes sorted by their final name fall into the
-intervals whose longest common prefix is at least ``MIN_LINES`` lines; within an interval the first occurrence (by id, then
-place) stays, and every line of a later one is deleted. Neighbouring occurrences merge into the maximal run.
+Each text is a sequence of line names over its lines with a word (lines without one are left alone). Hashed windows of
+``MIN_LINES`` lines replace a suffix array: whether a run of that many lines occurred before is all the rule asks, so
+neither suffix order nor common prefixes nor maximal runs are computed. Windows are named within their row by
+combining shorter ones, without a shuffle, and grouped by name; the first occurrence (by id, then place) stays, and every
+line of a later one is deleted. Runs of fewer lines are never deleted, whatever their length.
 
-Names are 128-bit codes instead of dense ranks: any order in which equal names meet serves, and codes need no
-global numbering. Intervals are added up with map-side combination, so a hot run costs one row per task, and
-its occurrences come back by a join whose hot keys adaptive execution splits.
+Names are 128-bit codes and need no global numbering. Groups are added up with map-side combination, so a hot run costs
+one row per task, and its occurrences come back by a join whose hot keys adaptive execution splits.
 
 Nulls are empty texts; null ids come last. Repeated rows are later copies of each other. A run may overlap
 itself: each occurrence but the first is deleted. Empty tables give empty results.
