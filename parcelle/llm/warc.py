@@ -48,7 +48,8 @@ def _tag(value: Column) -> Column:
 
 
 def resolve_revisits(records: DataFrame, rows_per_part: int = ROWS_PER_PART) -> DataFrame:
-    """A row for each record: ``record_id, kind, time, resolution, base_id, headers, payload``.
+    """A row for each record id; records without an id, as of pages without one, are left out:
+    ``record_id, kind, time, resolution, base_id, headers, payload``.
 
     ``records``: record_id long, kind string, url string, time long, status int, headers map, payload.
     Responses keep their own headers and payload and have no resolution.

@@ -68,3 +68,10 @@ def test_round_trip(spark):
     got = {r.record_id: r for r in resolve_revisits(captures(pages)).collect()}
     assert [got[2 * i + 1].payload for i in (0, 1, 4, 5)] == [f"<p>{i}" for i in (0, 1, 4, 5)]
     assert got[19].resolution == "no-response" and got[5].resolution == "mismatch" and got[7].resolution == "unvalidated"
+
+
+def test_records_without_id_are_left_out(spark):
+    from parcelle.llm.warc import captures, resolve_revisits
+
+    pages = spark.createDataFrame([(None, "http://a/x", "h"), (4, "http://a/x", "h")], "page_id long, url string, html string")
+    assert sorted(r.record_id for r in resolve_revisits(captures(pages)).collect()) == [8, 9]
