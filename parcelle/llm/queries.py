@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 
 from parcelle.llm.bpe import bpe_decode, bpe_encode
 from parcelle.llm.chat import format_chats
+from parcelle.llm.codes import ROUNDS, coded_vectors
 from parcelle.llm.common import table
 from parcelle.llm.lines import MIN_LINES, line_dedup
 from parcelle.llm.near import near_duplicates
 from parcelle.llm.pii import KINDS, personal_data
 from parcelle.llm.quality import MAX_RATE, quality_rules
+from parcelle.llm.simhash import near_by_simhash
+from parcelle.llm.structure import damaged_and_repaired
 from parcelle.llm.substrings import substring_dedup
 from parcelle.llm.suffixes import suffix_dedup
 from parcelle.llm.templates import contaminated
@@ -210,3 +213,90 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         "conv_id", "turn", "action", "role_out", "cost", sha256("piece").alias("piece_sha256")
     )
+
+
+# Initials may be kept where the grammar wants them; an empty turn may come before each turn. States: 0 none yet, 1 s, 2 u, 3 a.
+OP11_SQL = r"""
+WITH RECURSIVE b AS (SELECT list_transform(range(256), lambda x: list_reduce(list_prepend(x::BIGINT, range(8)),
+    lambda a, k: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) AS crc),
+o AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS name FROM conversations),
+p AS (SELECT o.*, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(name, ''), lambda c: ascii(c)::BIGINT)),
+    lambda a, k: xor(a >> 8, b.crc[(xor(a, k) & 255) + 1])), 4294967295) % 20 AS pick FROM o, b),
+d AS (SELECT conv_id, turn, CASE pick WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE pick WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE pick WHEN 3 THEN [0, 1] ELSE [0] END) AS twice FROM p WHERE pick <> 0),
+n AS (SELECT dense_rank() OVER (ORDER BY conv_id) AS c, *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM d),
+f AS (SELECT *, left(role, 1) AS ini, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank,
+    row_number() OVER (PARTITION BY c, role, text ORDER BY i) > 1 AS again,
+    regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) NOT IN ('.', '!', '?') AS cut,
+    lag(left(role, 1)) OVER (PARTITION BY c ORDER BY i) || left(role, 1) AS pair FROM n),
+g AS (SELECT *, blank OR again AS gone, CASE WHEN cut THEN 5 ELSE 0 END AS more FROM f),
+r AS (SELECT DISTINCT c, 0::BIGINT AS i, 0 AS st, struct_pack(cost := 0, audit := '', lines := []::VARCHAR[]) AS v FROM g
+  UNION ALL
+  SELECT c, i, st, min(v) AS v FROM (
+    SELECT g.c, g.i, CASE act WHEN 'D' THEN s WHEN 'S' THEN 1 ELSE nx END AS st, struct_pack(
+      cost := cost + CASE act WHEN 'D' THEN 2 WHEN 'R' THEN 1 + more ELSE more END,
+      audit := audit || CASE act WHEN 'S' THEN 'K' ELSE act END,
+      lines := CASE act WHEN 'D' THEN lines WHEN 'R' THEN list_append(lines, CASE nx WHEN 2 THEN 'user' ELSE 'assistant' END || ':' || text)
+        ELSE list_append(lines, role || ':' || text) END) AS v
+    FROM (SELECT c, i, s, CASE s WHEN 2 THEN 3 ELSE 2 END AS nx, cost, audit, lines FROM (
+        SELECT c, i, st AS s, v.cost AS cost, v.audit AS audit, v.lines AS lines FROM r
+        UNION ALL SELECT c, i, CASE st WHEN 2 THEN 3 ELSE 2 END, v.cost + 5, v.audit || 'I',
+          list_append(v.lines, CASE st WHEN 2 THEN 'assistant:' ELSE 'user:' END) FROM r)) x
+    JOIN g ON g.c = x.c AND g.i = x.i + 1, (SELECT unnest(['D', 'R', 'K', 'S']) AS act)
+    WHERE act = 'D' OR (NOT gone AND (act = 'R' OR (act = 'K' AND ini = CASE nx WHEN 2 THEN 'u' ELSE 'a' END) OR (act = 'S' AND s = 0 AND ini = 's'))))
+  GROUP BY c, i, st),
+e AS (SELECT c, min(struct_pack(cost := v.cost + CASE st WHEN 1 THEN 10 WHEN 2 THEN 5 ELSE 0 END,
+    audit := v.audit || CASE st WHEN 1 THEN 'II' WHEN 2 THEN 'I' ELSE '' END,
+    lines := v.lines || CASE st WHEN 1 THEN ['user:', 'assistant:'] WHEN 2 THEN ['assistant:'] ELSE []::VARCHAR[] END)) AS v
+  FROM r JOIN (SELECT c, max(i) AS i FROM g GROUP BY c) USING (c, i) GROUP BY c),
+h AS (SELECT conv_id, c, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, sum(blank::INT) AS blank,
+    sum((again AND NOT blank)::INT) AS duplicate, sum((cut AND NOT gone)::INT) AS truncated,
+    sum((pair IS NOT NULL AND pair NOT IN ('su', 'ua', 'au'))::INT) AS illegal FROM g GROUP BY conv_id, c)
+SELECT q.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank,
+  CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated,
+  CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(v.cost, 0) AS BIGINT) AS cost, coalesce(v.audit, '') AS audit,
+  sha256(coalesce(array_to_string(v.lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) q LEFT JOIN h ON q.conv_id IS NOT DISTINCT FROM h.conv_id LEFT JOIN e ON e.c = h.c"""
+
+
+@query("op11_structure_repair", OP11_SQL)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return damaged_and_repaired(table(spark, folder, "conversations"))
+
+
+@query("op12_simhash")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return near_by_simhash(table(spark, folder, "documents"))
+
+
+def _op13_sql() -> str:
+    apart = "list_sum(list_transform(list_zip(p.x, c.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    parts = [
+        """r AS MATERIALIZED (SELECT vec_id, label, v, row_number() OVER (ORDER BY vec_id NULLS LAST, v) AS k FROM (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(1024 * x::DOUBLE) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)),
+p AS MATERIALIZED (SELECT k, j, v[j * (len(v) // 4) + 1 : (j + 1) * (len(v) // 4)] AS x FROM r, (SELECT unnest(range(4)) AS j)),
+c0 AS MATERIALIZED (SELECT j, k - 1 AS e, x FROM p WHERE k <= 256)"""
+    ]
+    for t in range(ROUNDS + 1):
+        parts.append(
+            f"a{t} AS MATERIALIZED (SELECT p.k, p.j, p.x, min(struct_pack(d := {apart}, e := c.e)) AS best FROM p JOIN c{t} c USING (j) GROUP BY p.k, p.j, p.x)"
+        )
+        if t < ROUNDS:
+            parts.append(
+                f"""m{t} AS MATERIALIZED (SELECT j, e, list((s - ((s % n) + n) % n) // n ORDER BY i) AS x FROM (
+  SELECT j, best.e AS e, i, sum(y)::BIGINT AS s, count(*) AS n FROM (SELECT j, best, unnest(x) AS y, unnest(range(len(x))) AS i FROM a{t}) GROUP BY j, best.e, i)
+  GROUP BY j, e),
+c{t + 1} AS MATERIALIZED (SELECT c.j, c.e, coalesce(m.x, c.x) AS x FROM c{t} c LEFT JOIN m{t} m ON c.j = m.j AND c.e = m.e)"""
+            )
+    return "WITH " + ",\n".join(parts) + f""",
+w AS (SELECT k, string_agg(printf('%02x', best.e), '' ORDER BY j) AS code, CAST(sum(best.d) AS BIGINT) AS error FROM a{ROUNDS} GROUP BY k)
+SELECT r.vec_id, w.code, w.error, CAST(sum(w.error) OVER (PARTITION BY r.label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY j, e)) FROM c{ROUNDS}) AS codebooks_sha256 FROM r JOIN w USING (k)"""
+
+
+@query("op13_vector_codes", _op13_sql())
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return coded_vectors(table(spark, folder, "embeddings"))
