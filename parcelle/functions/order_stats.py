@@ -1,11 +1,12 @@
 """Exact medians and percentile ranks that no single task has to hold.
 
-The built-in ``median`` and an ordered window both bring a whole group to one
-task. Here a group is cut by value instead: equal values are counted first
-(map-side combined), the distinct values fall into narrow value buckets, and a
-value's position is its position inside the bucket plus the size of all lower
-buckets. The bucket is a monotone function of the value alone, so it needs no
-sampling pass and is the same on every re-computation.
+The built-in ``median`` and an ordered window both bring a whole group to one task. Here a group is cut by value
+instead: equal values are counted first (map-side combined). While a group or a part of one holds more than ``LARGEST``
+distinct values, its own least and greatest value give splitters that cut it into parts, and parts that are still too
+large are cut again with splitters of their own. A value's position is its position inside the last part plus the size
+of all lower parts. Splitters are spread evenly over the floating numbers between both ends, so each round narrows a part
+by its number of parts, whatever the range or clustering of the values: a part of equal values is one distinct value,
+and narrow, wide and clustered ranges all end after a few rounds. No task sorts more than ``LARGEST`` distinct values.
 """
 
 from __future__ import annotations
@@ -19,54 +20,93 @@ from pyspark.sql import functions as F
 
 from parcelle.functions.scores import present, steady_round
 from parcelle.params import NEUTRAL_SCORE
+from parcelle.session import stored
 
-# One bucket spans a 1/16384 relative step. Prices between 200 and 30 000 touch
-# about 82 000 buckets, so the running total over buckets is small for any data.
-BUCKETS_PER_E = 16_384.0
+# Distinct values of a part, that is rows a task sorts at once.
+LARGEST = 65_536
+# A part is cut into at least so many parts, and into enough to expect a quarter of ``LARGEST`` in each.
+LEAST_PARTS = 16
+# Infinite values count as the greatest number when splitters are spread.
+GREATEST = 1.7976931348623157e308
 
 # A value that holds a thousandth of its metric is heavy: at most 1000 per metric.
 HEAVY_SHARE = 1_000
 HEAVY_SALTS = 64
 
-# Groups above this many rows are not sorted in one task. At most rows / HOT_ROWS
-# keys can be hot (a trillion rows: one million short keys), which bounds the
-# broadcast of those keys.
+# Groups above this many rows are not sorted in one task.
 HOT_ROWS = 1_000_000
 
 
-def value_bucket(x: Column) -> Column:
-    return F.floor(F.signum(x) * F.log1p(F.abs(x)) * F.lit(BUCKETS_PER_E))
+def _spread(x: Column) -> Column:
+    """A number that grows evenly over the floating numbers: sign, exponent and fraction, piecewise linear in the value."""
+    size = F.abs(x)
+    exponent = F.floor(F.log2(size))
+    return F.when(x == 0, F.lit(0.0)).otherwise(F.signum(x) * (1_100 + exponent + size / F.pow(F.lit(2.0), exponent)))
 
 
-def ordered_values(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+def _part(x: Column, low: Column, high: Column, parts: Column) -> Column:
+    """The part of ``x`` between ``low`` and ``high``; the ends fall into the first and the last part."""
+    # within a factor of two, floating numbers lie evenly
+    even = ((low > 0) & (high <= 2 * low)) | ((high < 0) & (low >= 2 * high))
+    bounded = [F.greatest(F.least(v, F.lit(GREATEST)), F.lit(-GREATEST)) for v in (x, low, high)]
+    at, start, end = (F.when(even, v).otherwise(_spread(v)) for v in bounded)
+    place = F.floor((at - start) / (end - start) * parts)
+    return F.when(x == low, 0).when(x == high, parts - 1).otherwise(F.greatest(F.least(place, parts - 1), F.lit(0))).cast("int")
+
+
+def _cut(counts: DataFrame, keys: Sequence[str], value: str, largest: int) -> DataFrame:
+    """``counts`` with the ``_path`` of its part: the numbers of the parts it falls into, from the widest on."""
+    level, done = counts.withColumn("_path", F.array().cast("array<int>")), None
+    while True:
+        whole = level.groupBy(*keys, "_path").agg(
+            F.min(value).alias("_low"), F.max(value).alias("_high"), F.count(F.lit(1)).alias("_values")
+        ).where(F.col("_values") > largest)
+        whole = stored(whole, "large-parts")
+        if not whole.limit(1).count():
+            return level if done is None else done.unionByName(level)
+        named = whole.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_path").alias("_k_path"), "_low", "_high",
+                             F.greatest(F.ceil(F.col("_values") * 4 / largest), F.lit(LEAST_PARTS)).alias("_parts"))
+        match = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys], F.col("_path") == F.col("_k_path"))
+        cut = stored(level.join(named, match, "left"), "cut-values")
+        columns = [*keys, value, "n", "_path"]
+        small = cut.where(F.col("_parts").isNull()).select(*columns)
+        done = small if done is None else done.unionByName(small)
+        inner = _part(F.col(value), F.col("_low"), F.col("_high"), F.col("_parts"))
+        level = cut.where(F.col("_parts").isNotNull()).withColumn("_path", F.concat("_path", F.array(inner))).select(*columns)
+
+
+def ordered_values(df: DataFrame, keys: Sequence[str], value: str, largest: int | None = None) -> DataFrame:
     """Distinct values per group with ``n``, ``before`` (rows below) and ``total``."""
-    counts = (
-        df.select(*keys, present(F.col(value)).alias(value))
+    counts = stored(
+        df.select(*keys, present(F.col(value)).cast("double").alias(value))
         .where(F.col(value).isNotNull())
-        .withColumn("_bucket", value_bucket(F.col(value)))
-        .groupBy(*keys, "_bucket", value)
-        .agg(F.count(F.lit(1)).alias("n"))
+        # equal zeros are one value
+        .withColumn(value, F.col(value) + F.lit(0.0))
+        .groupBy(*keys, value)
+        .agg(F.count(F.lit(1)).alias("n")),
+        "counted-values",
     )
+    parts = _cut(counts, keys, value, largest or LARGEST)
     whole = Window.partitionBy(*keys)
-    up_to_bucket = whole.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    lower = whole.orderBy("_path").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     offsets = (
-        counts.groupBy(*keys, "_bucket")
+        parts.groupBy(*keys, "_path")
         .agg(F.sum("n").alias("_size"))
         .select(
             *[F.col(k).alias(f"_o_{k}") for k in keys],
-            F.col("_bucket").alias("_o_bucket"),
-            (F.sum("_size").over(up_to_bucket) - F.col("_size")).alias("_offset"),
+            F.col("_path").alias("_o_path"),
+            (F.sum("_size").over(lower) - F.col("_size")).alias("_offset"),
             F.sum("_size").over(whole).alias("total"),
         )
     )
     inside = (
-        Window.partitionBy(*keys, "_bucket")
+        Window.partitionBy(*keys, "_path")
         .orderBy(value)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    placed = counts.withColumn("_inside", F.sum("n").over(inside) - F.col("n"))
+    placed = parts.withColumn("_inside", F.sum("n").over(inside) - F.col("n"))
     match = [F.col(k).eqNullSafe(F.col(f"_o_{k}")) for k in keys]
-    match.append(F.col("_bucket") == F.col("_o_bucket"))
+    match.append(F.col("_path") == F.col("_o_path"))
     return placed.join(offsets, reduce(and_, match)).select(
         *keys, value, "n", (F.col("_offset") + F.col("_inside")).alias("before"), "total"
     )
@@ -97,24 +137,24 @@ def grouped_stats(
 ) -> DataFrame:
     """Aggregates plus exact medians (``out -> column``) per group.
 
-    Groups up to ``hot_rows`` rows are sorted inside their task (the sort spills),
-    which measured twice as fast as the built-in ``median`` buffer. Larger ones,
-    found by a key-only count, are cut by value. With no hot group adaptive
-    execution drops the second branch before it reads anything. ``accuracy`` asks
-    for the approximate median instead.
+    Groups up to ``hot_rows`` rows are sorted inside their task (the sort spills), which measured twice as fast as the
+    built-in ``median`` buffer. Larger ones, found by a key-only count beforehand, are cut by splitters of their own values;
+    without any, the plan holds no trace of them. ``accuracy`` asks for the approximate median instead.
     """
     if accuracy is not None:
         approx = [F.percentile_approx(c, 0.5, accuracy).alias(o) for o, c in medians.items()]
         return df.groupBy(*keys).agg(*aggregates, *approx)
-    hot = (
+    hot = stored(
         df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_rows"))
         .where(F.col("_rows") > hot_rows)
-        .select(*[F.col(k).alias(f"_h_{k}") for k in keys])
+        .select(*[F.col(k).alias(f"_h_{k}") for k in keys]),
+        "large-groups",
     )
+    some_hot = hot.limit(1).count() > 0
+    # no hint: broadcast only if measured to be small, else shuffled
     is_hot = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_h_{k}")) for k in keys])
-    hot_keys = F.broadcast(hot)
-    ordinary_rows = df.join(hot_keys, is_hot, "left_anti")
+    ordinary_rows = df.join(hot, is_hot, "left_anti") if some_hot else df
     # The windows and the group-by share one partitioning, and both window
     # functions one ordering: a single shuffle and a single sort.
     for out, column in medians.items():
@@ -134,7 +174,9 @@ def grouped_stats(
     ordinary = ordinary_rows.groupBy(*keys).agg(
         *aggregates, *[F.avg(f"_mid_{o}").alias(o) for o in medians]
     )
-    large_rows = df.join(hot_keys, is_hot, "left_semi")
+    if not some_hot:
+        return ordinary
+    large_rows = df.join(hot, is_hot, "left_semi")
     grouped = large_rows.groupBy(*keys)
     large = grouped.agg(*aggregates) if aggregates else large_rows.select(*keys).distinct()
     for out, column in medians.items():

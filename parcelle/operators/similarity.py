@@ -12,6 +12,11 @@ from parcelle.functions.scores import steady_round
 from parcelle.operators.dedup import first_per_key
 from parcelle.operators.filters import drop_all_null
 from parcelle.params import SCORE_COLUMNS
+from parcelle.session import fan_out, stored
+
+# Reference points of the all-keys search: the square root of the number of rows, up to this many. They and a
+# few distances for each are all that is broadcast.
+MOST_PIVOTS = 256
 
 
 def _scales(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float | None, float]]:
@@ -32,6 +37,19 @@ def standardise(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns({c: _scaled(F.col(c), *scales[c]) for c in columns})
 
 
+def _known(df: DataFrame, used: Sequence[str], carried: Sequence[str], key: str) -> DataFrame:
+    """One row per key with all scores: rows without any go, gaps take the median."""
+    kept = drop_all_null(df, used)
+    # one aggregate row tells whether there are gaps; without any no median is needed
+    values = F.array(*[F.col(c).cast("double") for c in used])
+    gaps = kept.agg(F.max(F.exists(values, lambda x: x.isNull() | F.isnan(x)))).first()[0]
+    return first_per_key(
+        (fill_with_median(kept, used) if gaps else kept).select(key, *carried, *used),
+        [key],
+        [F.col(c).asc_nulls_last() for c in used],
+    )
+
+
 def similar(
     df: DataFrame,
     code: str,
@@ -49,15 +67,7 @@ def similar(
     carried = [c for c in ("nom_commune", "avg_price_m2") if c in df.columns]
     if len(used) < 2:
         return df.select(key).limit(0)
-    kept = drop_all_null(df, used)
-    # one aggregate row tells whether there are gaps; without any no median is needed
-    values = F.array(*[F.col(c).cast("double") for c in used])
-    gaps = kept.agg(F.max(F.exists(values, lambda x: x.isNull() | F.isnan(x)))).first()[0]
-    known = first_per_key(
-        (fill_with_median(kept, used) if gaps else kept).select(key, *carried, *used),
-        [key],
-        [F.col(c).asc_nulls_last() for c in used],
-    )
+    known = _known(df, used, carried, key)
     target = known.where(F.col(key) == code).first()
     if target is None:
         return known.select(key, *carried, F.lit(0.0).alias("similarity"), F.lit(0.0).alias("distance"), *used).limit(0)
@@ -82,3 +92,96 @@ def similar(
         .limit(top)
         .select(key, *carried, "similarity", "distance", *used)
     )
+
+
+def _distance(x: Column, y: Column) -> Column:
+    return F.sqrt(F.aggregate(F.zip_with(x, y, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, d: s + d))
+
+
+def _nearest(pairs: DataFrame, count: int) -> DataFrame:
+    """The first ``count`` neighbours of each query by (distance, key)."""
+    order = Window.partitionBy("query").orderBy("distance", "neighbour")
+    return pairs.withColumn("place", F.row_number().over(order)).where(F.col("place") <= count)
+
+
+def similar_all(
+    df: DataFrame,
+    top: int = 5,
+    columns: Sequence[str] = SCORE_COLUMNS,
+    key: str = "code_commune",
+    queries: Column | None = None,
+) -> DataFrame:
+    """``similar`` for all keys, or those that meet ``queries``: ``(key, place, neighbour, similarity, distance)``.
+
+    Exact. Rows belong to the nearest of some pivots. A query's distances to the pivots, the cells' radii and the distances of
+    each cell's innermost members bound the distance of its last neighbour; its own cell is searched first and lowers the
+    bound; the triangle inequality then rules out whole cells, and in the others all members outside a ring around the pivot.
+    Of equal vectors only the ``top + 2`` least keys can be anybody's neighbour, so frequent vectors don't multiply.
+    Empty with fewer than two score columns; a key that is alone has no row.
+    """
+    used = [c for c in columns if c in df.columns]
+    schema = f"{key} string, place int, neighbour string, similarity double, distance double"
+    if len(used) < 2:
+        return df.sparkSession.createDataFrame([], schema)
+    known = stored(_known(df, used, [], key), "known-scores")
+    scales = _scales(known, used)
+    vector = F.array(*[_scaled(F.col(c).cast("double"), *scales[c]) for c in used])
+    asked = queries if queries is not None else F.lit(True)
+    points = stored(known.select(F.col(key).alias("neighbour"), vector.alias("v"), asked.alias("asked")), "score-vectors")
+    count = top + 1
+    rows = points.count()
+    first = F.row_number().over(Window.partitionBy("v").orderBy("neighbour"))
+    members = points.select("neighbour", "v").withColumn("copy", first).where(F.col("copy") <= count + 1).drop("copy")
+    wanted = min(MOST_PIVOTS, max(1, int(rows**0.5)))
+    # one row of at most MOST_PIVOTS vectors
+    pivots = members.orderBy(F.xxhash64("neighbour"), "neighbour").limit(wanted).agg(
+        F.collect_list(F.struct(F.col("neighbour").alias("cell"), "v")).alias("pivots")
+    )
+    pivots = stored(pivots, "pivots")
+    away = F.transform("pivots", lambda p: F.struct(_distance(F.col("v"), p.v).alias("away"), p.cell.alias("cell")))
+    placed = stored(
+        members.crossJoin(F.broadcast(pivots)).select("neighbour", "v", F.array_min(away).alias("near")).select("neighbour", "v", "near.*"),
+        "placed-vectors",
+    )
+    inner = placed.withColumn("r", F.row_number().over(Window.partitionBy("cell").orderBy("away"))).where(F.col("r") <= count)
+    reach = placed.groupBy("cell").agg(F.max("away").alias("radius"))
+    bounds = inner.groupBy("cell").agg(F.array_sort(F.collect_list("away")).alias("innermost")).join(reach, "cell").agg(
+        F.map_from_entries(F.collect_list(F.struct("cell", F.struct("radius", "innermost")))).alias("bounds")
+    )
+    queried = points.where("asked").select(F.col("neighbour").alias("query"), "v")
+    cells = F.filter(
+        F.transform(away, lambda a: F.struct(a.away.alias("away"), a.cell.alias("cell"), F.try_element_at("bounds", a.cell).alias("b"))),
+        lambda c: c.b.isNotNull(),
+    )
+    known_bounds = F.array_sort(F.flatten(F.transform("cells", lambda c: F.transform(c.b.innermost, lambda d: c.away + d))))
+    # bounds are compared with room for rounding
+    slack = lambda bound: bound * (1 + 1e-9) + 1e-9
+    started = stored(
+        queried.crossJoin(F.broadcast(pivots)).crossJoin(F.broadcast(bounds)).withColumn("cells", cells)
+        .select("query", "v", F.array_min(F.transform("cells", lambda c: F.struct(c.away, c.cell))).getField("cell").alias("own"), "cells",
+                F.coalesce(F.get(known_bounds, F.lit(count - 1)), F.lit(float("inf"))).alias("bound")),
+        "asked-vectors",
+    )
+    theirs = placed.select("cell", "neighbour", F.col("v").alias("w"), F.col("away").alias("ring"))
+
+    def searched(asked_cells: DataFrame) -> DataFrame:
+        met = fan_out(asked_cells, "cell").join(theirs, "cell").where(F.abs(F.col("away") - F.col("ring")) <= slack(F.col("bound")))
+        return met.select("query", "neighbour", _distance(F.col("v"), F.col("w")).alias("distance"))
+
+    cell_rows = started.select("query", "v", "own", "bound", F.explode("cells").alias("c")).select(
+        "query", "v", "own", "bound", "c.cell", "c.away", F.col("c.b.radius").alias("radius")
+    )
+    own = stored(_nearest(searched(cell_rows.where("cell = own")), count), "own-cell")
+    lowered = own.where(F.col("place") == count).select("query", F.col("distance").alias("lower"))
+    others = cell_rows.where("cell <> own").join(lowered, "query", "left").withColumn(
+        "bound", F.least("bound", F.coalesce("lower", "bound"))
+    ).where(F.col("away") - F.col("radius") <= slack(F.col("bound")))
+    found = _nearest(own.drop("place").unionByName(searched(others)), count)
+    farthest = F.max("distance").over(Window.partitionBy("query"))
+    unit = F.when(farthest == 0, 1.0).otherwise(farthest)
+    placed_again = Window.partitionBy("query").orderBy("place")
+    return (
+        found.withColumn("similarity", steady_round((1 - F.col("distance") / unit) * 100, 0))
+        .where("query <> neighbour").withColumn("place", F.row_number().over(placed_again)).where(F.col("place") <= top)
+        .select(F.col("query").alias(key), "place", "neighbour", "similarity", "distance")
+    )

@@ -4,21 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from parcelle.session import fan_out
+from parcelle.session import fan_out, stored
 
 GRID_DIGITS = 2
-# A cell is 360 / 2^19 degrees wide at level 0 and twice as wide at each next
-# level, so at the last level every centroid of a group is within reach.
+# A cell is 360 / 2^19 degrees wide at level 0 and twice as wide at each next level, so that four cells hold
+# everything at the last one.
 LEVELS = 20
 CELL = 360.0 / 2 ** (LEVELS - 1)
-# The search starts at the widest level where a centroid shares its cell with one
-# other on average, as the centroids see it. A dense cluster pulls this down.
-CROWD = 2.0
-# A cell with more points than this is split. At most points / HOT_CELL cells are,
-# which bounds the broadcast of their keys.
+# The search ends at the widest level where a centroid shares its cell with one other on average, as the centroids see
+# it (a dense cluster pulls this down), and begins at the narrowest one where a group has at most ROOTS cells on average.
+CROWD, ROOTS = 2.0, 4
+# A cell with more points than this is split.
 HOT_CELL = 100_000
 HOT_SALTS = 64
 
@@ -53,18 +52,90 @@ def code_counts(points: DataFrame, code: Column, out: str) -> DataFrame:
     )
 
 
-def _cell(c: Column, level: Column | int) -> Column:
-    size = F.lit(CELL) * F.pow(F.lit(2.0), level if isinstance(level, Column) else F.lit(level))
-    return F.floor(c / size)
+def _cell(c: Column, level: int) -> Column:
+    return F.floor(c / F.lit(CELL * 2.0**level))
 
 
-def _block(radius: int) -> Column:
-    steps = [F.lit(s) for s in range(-radius, radius + 1)]
-    return F.explode(
-        F.flatten(F.array(*[F.array(*[F.struct(a.alias("dx"), b.alias("dy")) for b in steps]) for a in steps]))
+def _boxes(df: DataFrame, lat: str, lon: str, level: int, prefix: str) -> DataFrame:
+    """Occupied cells of a level with the box their places really fill."""
+    return df.groupBy(
+        "_g", _cell(F.col(lon), level).alias(f"{prefix}x"), _cell(F.col(lat), level).alias(f"{prefix}y")
+    ).agg(
+        F.min(lat).alias(f"{prefix}s"), F.max(lat).alias(f"{prefix}n"), F.min(lon).alias(f"{prefix}w"),
+        F.max(lon).alias(f"{prefix}e"), F.count(F.lit(1)).alias(f"{prefix}count"),
     )
 
 
+def _wider(cells: DataFrame, prefix: str) -> DataFrame:
+    """Cells of the next level and their boxes from those of a level."""
+    p = prefix
+    return cells.groupBy(
+        "_g", F.shiftright(f"{p}x", 1).alias(f"{p}x"), F.shiftright(f"{p}y", 1).alias(f"{p}y")
+    ).agg(
+        F.min(f"{p}s").alias(f"{p}s"), F.max(f"{p}n").alias(f"{p}n"), F.min(f"{p}w").alias(f"{p}w"), F.max(f"{p}e").alias(f"{p}e"),
+        F.sum(f"{p}count").alias(f"{p}count"),
+    )
+
+
+def _at_least(low: str, high: str, c_low: str, c_high: str) -> Column:
+    return F.greatest(F.col(c_low) - F.col(high), F.col(low) - F.col(c_high), F.lit(0.0))
+
+
+def _bounded(pairs: DataFrame) -> DataFrame:
+    """Pairs of a point cell and a centroid cell that may hold a nearest one.
+
+    A centroid cell is no nearer than the gap between both boxes. As each side of its box touches a centroid, some
+    centroid is no farther than the nearer side of one axis and the farther corner of the other one, from the worst
+    place in the point box. Cells beyond the least such distance of their point cell go; equal ones stay for ties.
+    """
+    up, across = _at_least("qs", "qn", "cs", "cn"), _at_least("qw", "qe", "cw", "ce")
+    farthest = lambda low, high, c: F.greatest(F.abs(F.col(low) - F.col(c)), F.abs(F.col(high) - F.col(c)))
+    side_up = F.least(farthest("qs", "qn", "cs"), farthest("qs", "qn", "cn"))
+    side_across = F.least(farthest("qw", "qe", "cw"), farthest("qw", "qe", "ce"))
+    corner_up = F.greatest(farthest("qs", "qn", "cs"), farthest("qs", "qn", "cn"))
+    corner_across = F.greatest(farthest("qw", "qe", "cw"), farthest("qw", "qe", "ce"))
+    reach = F.least(side_up * side_up + corner_across * corner_across, corner_up * corner_up + side_across * side_across)
+    point_cell = Window.partitionBy("_g", "qx", "qy")
+    return (
+        pairs.withColumn("_gap", up * up + across * across)
+        .withColumn("_reach", F.min(reach).over(point_cell))
+        .where(F.col("_gap") <= F.col("_reach"))
+        .select("_g", "qx", "qy", "cx", "cy")
+    )
+
+
+def nearest_cells(places: DataFrame, cents: DataFrame) -> tuple[DataFrame, int]:
+    """``(_g, qx, qy, cx, cy)``: for each cell of ``places(_g, _lat, _lon)`` the cells of ``cents(_g, _clat, _clon)`` that may
+    hold the nearest centroid of one of its places, and the level of the cells.
+
+    Branch and bound on both sides at once: pairs of cells are bounded by the boxes they really fill, halved into the
+    occupied pairs of the next level, and bounded again, so a place far from all centroids meets the few in front.
+    """
+    levels = cents.select("_g", F.posexplode(F.array(*[F.struct(_cell(F.col("_clon"), k).alias("x"), _cell(F.col("_clat"), k).alias("y"))
+                                                       for k in range(LEVELS)])).alias("_level", "c"))
+    n = F.col("n")
+    # one row for each level
+    seen = (
+        levels.groupBy("_g", "_level", "c").agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("_g", "_level").agg(F.sum(n * n).alias("nn"), F.sum(n).alias("n"), F.count(F.lit(1)).alias("cells"))
+        .groupBy("_level").agg((F.sum("nn") / F.sum("n")).alias("crowd"), F.max("cells").alias("cells")).collect()
+    )
+    bottom = max((r._level for r in seen if r.crowd <= CROWD), default=0)
+    top = max(min((r._level for r in seen if r.cells <= ROOTS), default=LEVELS - 1), bottom)
+    q = [stored(_boxes(places, "_lat", "_lon", bottom, "q"), "point-cells")]
+    c = [stored(_boxes(cents, "_clat", "_clon", bottom, "c"), "centroid-cells")]
+    for _ in range(bottom, top):
+        q.append(_wider(q[-1], "q"))
+        c.append(_wider(c[-1], "c"))
+    found = _bounded(q[-1].join(c[-1], "_g"))
+    for level in range(top - bottom - 1, -1, -1):
+        halves = lambda cells, p: cells.withColumns({f"{p}px": F.shiftright(f"{p}x", 1), f"{p}py": F.shiftright(f"{p}y", 1)})
+        wide = found.toDF("_g", "qpx", "qpy", "cpx", "cpy")
+        pairs = wide.join(halves(q[level], "q"), ["_g", "qpx", "qpy"]).join(halves(c[level], "c"), ["_g", "cpx", "cpy"])
+        found = _bounded(fan_out(pairs, "_g", "qx", "qy"))
+    return found.join(q[0].select("_g", "qx", "qy", "qcount"), ["_g", "qx", "qy"]), bottom
+
+
 def nearest(
     points: DataFrame,
     centroids: DataFrame,
@@ -75,82 +146,32 @@ def nearest(
 ) -> DataFrame:
     """Nearest centroid per point (squared degrees, smaller code on a tie).
 
-    Exact, without pairing every point with every centroid. For each occupied
-    point cell the narrowest level is found whose 3x3 block holds a centroid.
-    That centroid is at most 2*sqrt(2) cells away, so the nearest one lies in the
-    7x7 block of the same level. Only those few centroids meet the points.
+    Exact, and for no point against all centroids: ``nearest_cells`` leaves each occupied point cell few centroid cells, and
+    their centroids meet the cell's points. Cells with very many points are salted.
     """
     group = F.col(within) if within else F.lit(0)
-    top = F.lit(LEVELS - 1)
     cents = centroids.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()).groupBy(
-        group.alias("_g"), F.col("latitude").alias("_clat"), F.col("longitude").alias("_clon")
+        group.alias("_g"), F.col("latitude").cast("double").alias("_clat"), F.col("longitude").cast("double").alias("_clon")
     ).agg(F.min("code_commune").alias("code_commune"))
-    leveled = cents.withColumn("_level", F.explode(F.sequence(F.lit(0), top))).withColumns(
-        {"_x": _cell(F.col("_clon"), F.col("_level")), "_y": _cell(F.col("_clat"), F.col("_level"))}
+    located = points.where(F.col(lat).isNotNull() & F.col(lon).isNotNull() & group.isNotNull()).select(
+        *point_id, group.alias("_g"), F.col(lat).cast("double").alias("_lat"), F.col(lon).cast("double").alias("_lon")
     )
-    n = F.col("n")
-    start = F.coalesce(
-        leveled.groupBy("_g", "_level", "_x", "_y").agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("_level").agg((F.sum(n * n) / F.sum(n)).alias("crowd"))
-        .where(F.col("crowd") <= CROWD).agg(F.max("_level")).scalar(),
-        F.lit(0),
-    )
-    located = (
-        points.where(F.col(lat).isNotNull() & F.col(lon).isNotNull())
-        .select(
-            *point_id, group.alias("_g"), F.col(lat).alias("_lat"), F.col(lon).alias("_lon"),
-            start.alias("_start"),
-        )
-        .withColumns(
-            {"_px": _cell(F.col("_lon"), F.col("_start")), "_py": _cell(F.col("_lat"), F.col("_start"))}
-        )
-    )
-    near = (
-        leveled.where(F.col("_level") >= start)
-        .select("_g", "_level", "_x", "_y")
-        .distinct()
-        .withColumn("_d", _block(1))
-        .select("_g", "_level", (F.col("_x") + F.col("_d.dx")).alias("_x"), (F.col("_y") + F.col("_d.dy")).alias("_y"))
-        .distinct()
-    )
-    # A start cell lies wholly inside one cell of every higher level.
-    shrink = F.pow(F.lit(2.0), F.col("_level") - F.col("_start"))
-    parent = {"_x": F.floor(F.col("_px") / shrink), "_y": F.floor(F.col("_py") / shrink)}
-    cells = located.groupBy("_g", "_px", "_py", "_start").agg(
-        (F.count(F.lit(1)) > HOT_CELL).alias("_hot")
-    )
-    narrowest = (
-        cells.withColumn("_level", F.explode(F.sequence(F.col("_start"), top)))
-        .withColumns(parent)
-        .join(near, ["_g", "_level", "_x", "_y"], "left_semi")
-        .groupBy("_g", "_px", "_py", "_start")
-        .agg(F.min("_level").alias("_level"), F.first("_hot").alias("_hot"))
-    )
-    candidates = (
-        fan_out(narrowest, "_g", "_px", "_py")
-        .withColumns(parent)
-        .withColumn("_d", _block(3))
-        .select(
-            "_g", "_px", "_py", "_level", "_hot",
-            (F.col("_x") + F.col("_d.dx")).alias("_x"), (F.col("_y") + F.col("_d.dy")).alias("_y"),
-        )
-        .join(leveled, ["_g", "_level", "_x", "_y"])
-        .select(
-            "_g", "_px", "_py", "_clat", "_clon", "code_commune",
-            F.explode(
-                F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(HOT_SALTS - 1))).otherwise(F.array(F.lit(0)))
-            ).alias("_salt"),
-        )
+    cells, level = nearest_cells(located, cents.where(F.col("_g").isNotNull()))
+    cells = stored(cells, "cell-pairs")
+    in_cell = cents.withColumns({"cx": _cell(F.col("_clon"), level), "cy": _cell(F.col("_clat"), level)})
+    salts = F.when(F.col("qcount") > HOT_CELL, F.sequence(F.lit(0), F.lit(HOT_SALTS - 1))).otherwise(F.array(F.lit(0)))
+    candidates = fan_out(cells, "_g", "cx", "cy").join(in_cell, ["_g", "cx", "cy"]).select(
+        "_g", "qx", "qy", "_clat", "_clon", "code_commune", F.explode(salts).alias("_salt")
     )
-    hot = F.broadcast(cells.where("_hot").select("_g", "_px", "_py", "_hot"))
+    placed = located.withColumns({"qx": _cell(F.col("_lon"), level), "qy": _cell(F.col("_lat"), level)})
+    hot = cells.where(F.col("qcount") > HOT_CELL).select("_g", "qx", "qy", F.lit(True).alias("_hot")).distinct()
     salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(*point_id), F.lit(HOT_SALTS))).otherwise(0)
     salted = fan_out(
-        located.join(hot, ["_g", "_px", "_py"], "left").withColumn("_salt", salt.cast("int")),
-        "_g", "_px", "_py", "_salt",
+        placed.join(hot, ["_g", "qx", "qy"], "left").withColumn("_salt", salt.cast("int")), "_g", "qx", "qy", "_salt"
     )
     dlat, dlon = F.col("_lat") - F.col("_clat"), F.col("_lon") - F.col("_clon")
     return (
-        salted.join(candidates, ["_g", "_px", "_py", "_salt"])
+        salted.join(candidates, ["_g", "qx", "qy", "_salt"])
         .withColumn("_dist", dlat * dlat + dlon * dlon)
         .groupBy(*point_id)
         .agg(F.min(F.struct("_dist", "code_commune")).alias("_best"))

@@ -32,6 +32,19 @@ def rank_pct_inverse(spark, folder):
     return rank_scores(events, "event_id", {"score": x}, inverse=["score"]).select("event_id", "score")
 
 
+@query(
+    "rank_pct_narrow",
+    f"""WITH t AS (SELECT o_orderkey, 1e9 + o_orderkey / 1000 AS x, 1e9 + o_custkey / 1000 AS y FROM orders)
+        SELECT o_orderkey, {S.score_sql('x')} AS score, {S.score_sql('y')} AS tied_score FROM t""",
+)
+def rank_pct_narrow(spark, folder):
+    """Values in a relative range of a few millionths."""
+    orders = S.table(spark, folder, "orders")
+    near = lambda c: F.lit(1e9) + F.col(c) / 1000
+    scored = rank_scores(orders, "o_orderkey", {"score": near("o_orderkey"), "tied_score": near("o_custkey")})
+    return scored.select("o_orderkey", "score", "tied_score")
+
+
 _SPREAD = "(x - min(x) OVER ()) / (max(x) OVER () - min(x) OVER ())"
 
 

@@ -53,3 +53,23 @@ def test_registered_forest_is_whole(spark, monkeypatch):
     monkeypatch.setattr(learning.forecast, "forecast", lambda history, year, **more: asked.append(forecast.fit_forest(forecast.training_set(history), **more)))
     learning.rf_forecast(spark, "")
     assert len(asked) == 1 and fitted == [(200, 30)]
+
+
+def test_similar_all_equals_brute_force(spark):
+    rng = random.Random(11)
+    centres = [[rng.uniform(0, 100) for _ in range(3)] for _ in range(8)]
+    rows = [(f"k{i:03d}", *[x + rng.gauss(0, 3) for x in rng.choice(centres)]) for i in range(260)]
+    rows += [(f"e{i:02d}", 50.0, 50.0, 50.0) for i in range(20)] + [("gap", 10.0, None, 20.0), ("none", None, None, None)]
+    df = spark.createDataFrame(rows, "code_commune string, a double, b double, c double")
+    got = {}
+    for r in similarity.similar_all(df, top=4, columns=["a", "b", "c"]).collect():
+        got.setdefault(r.code_commune, []).append((r.place, r.neighbour, r.similarity, round(r.distance, 9)))
+    assert len(got) == len(rows) - 1
+    for code in ("k000", "k100", "e00", "e19", "gap"):
+        want = similarity.similar(df, code, top=4, columns=["a", "b", "c"]).collect()
+        assert sorted(got[code]) == [(k + 1, r.code_commune, r.similarity, round(r.distance, 9)) for k, r in enumerate(want)]
+    pool = {r.code_commune: (r.a, r.b, r.c) for r in similarity.standardise(
+        similarity._known(df, ["a", "b", "c"], [], "code_commune"), ["a", "b", "c"]).collect()}
+    for code, v in pool.items():
+        near = sorted((sum((x - y) ** 2 for x, y in zip(v, w)), k) for k, w in pool.items())[:5]
+        assert [n for _, n, _, _ in sorted(got[code])] == [k for _, k in near if k != code][:4]

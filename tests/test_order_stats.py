@@ -69,3 +69,27 @@ def test_row_mean_and_weights(spark):
     assert [r[0] for r in df.select(row_mean([F.col("a"), F.col("b")])).collect()] == [1.0, None, 3.0]
     got = [r[0] for r in df.select(weighted_score({"a": 0.3, "b": 0.1, "absent": 0.6}, df.columns)).collect()]
     assert got == [round((0.3 * 1 + 0.1 * 50) / 0.4, 2), 50.0, 2.5]
+
+
+def test_parts_are_bounded_for_any_range(spark):
+    """Narrow, wide, clustered and mixed ranges: no part above the bound, ranks as pandas has them."""
+    rng = random.Random(9)
+    ranges = {
+        "narrow": [1e9 + k / 1000 for k in range(900)],
+        "wide": [rng.choice([-1, 1]) * 10.0 ** rng.uniform(-300, 300) for _ in range(700)] + [0.0, math.inf, -math.inf],
+        "clustered": [2.0**-k + j * 2.0 ** (-k - 45) for k in range(0, 60, 6) for j in range(60)],
+        "one": [7.0] * 400,
+    }
+    rows = [(g, x) for g, values in ranges.items() for x in values for _ in range(rng.choice([1, 1, 3]))]
+    df = spark.createDataFrame(rows, "g string, x double")
+    counts = df.groupBy("g", "x").agg(F.count(F.lit(1)).alias("n"))
+    parts = o._cut(counts, ["g"], "x", 20)
+    assert parts.groupBy("g", "_path").count().where("count > 20").count() == 0
+    bounds = parts.groupBy("g", "_path").agg(F.min("x").alias("a"), F.max("x").alias("z")).orderBy("g", "_path").collect()
+    assert all(p.z < q.a for p, q in zip(bounds, bounds[1:]) if p.g == q.g)
+    got = o.ordered_values(df, ["g"], "x", largest=20).collect()
+    for g in ranges:
+        all_values = sorted(x for h, x in rows if h == g)
+        mine = [r for r in got if r.g == g]
+        assert len(mine) == len(set(all_values)) and {r.total for r in mine} == {len(all_values)}
+        assert all(all_values.index(r.x) == r.before and all_values.count(r.x) == r.n for r in mine)

@@ -43,3 +43,16 @@ def test_grid_counts_fan_out(spark):
     communes = spark.createDataFrame([("a", 45.0, 5.0), ("b", 45.004, 5.0), ("c", 10.0, 10.0)], "code_commune string, latitude double, longitude double")
     got = {r[0]: r[1] for r in spatial.grid_counts(points, communes, "lat", "lon", "n").collect()}
     assert got == {"a": 2, "b": 2}
+
+
+def test_far_points_meet_few_centroids(spark):
+    rng = random.Random(5)
+    centroids = [(f"c{i}", "01", rng.uniform(42, 51), rng.uniform(-5, 8)) for i in range(1000)]
+    points = [(i, "01", rng.uniform(-80, -60), rng.uniform(100, 170)) for i in range(200)]
+    assert _run(spark, points, centroids) == _brute(points, centroids)
+    places = spark.createDataFrame([p[1:] for p in points], "_g string, _lat double, _lon double")
+    cents = spark.createDataFrame([c[1:] for c in centroids], "_g string, _clat double, _clon double")
+    cells, level = spatial.nearest_cells(places, cents)
+    assert cells.join(
+        cents.withColumns({"cx": spatial._cell(cents._clon, level), "cy": spatial._cell(cents._clat, level)}), ["_g", "cx", "cy"]
+    ).count() < 6 * len(points)
