@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import csv
+import io
 from collections import Counter
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parcelle.operators.columns import clean_headers
+from parcelle.sources.records import heads, raw_lines, records
 
 DELIMITERS = ",;\t|"
 _OVERFLOW = "_overflow"
@@ -45,37 +49,69 @@ def _decoded(c: Column) -> Column:
     return F.coalesce(F.try_validate_utf8(as_utf8), c)
 
 
-def _decode_name(name: str) -> str:
-    raw = name.encode("latin-1", "replace")
-    try:
-        return raw.decode("utf-8-sig")
-    except UnicodeDecodeError:
-        return name
+def _header(text: str, sep: str | None) -> tuple[str, tuple[str, ...]]:
+    """Delimiter and column names of a header record, quoted or not."""
+    text = text.removeprefix("\ufeff").rstrip("\r\n")
+    used = sep or sniff_delimiter(text)
+    names = next(csv.reader(io.StringIO(text, newline=""), delimiter=used), [])
+    return used, tuple(n.strip().strip('"') for n in names)
 
 
-def read_csv_flexible(spark: SparkSession, path: str, sep: str | None = None) -> DataFrame:
-    """Any delimiter, UTF-8 or Latin-1, gzip or plain; over-long lines are skipped.
+def _fields(names: Sequence[str]) -> T.StructType:
+    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])
+    return schema.add(_OVERFLOW, T.StringType())
+
+
+def _named(rows: DataFrame, names: Sequence[str], cell) -> DataFrame:
+    # the first of equal names counts
+    places = {n: i for i, n in reversed(list(enumerate(names)))}
+    return rows.select(*[cell(f"c{i}").alias(n) for n, i in sorted(places.items(), key=lambda p: p[1])], "source_file")
+
+
+def read_csv_flexible(spark: SparkSession, path: str | Sequence[str], sep: str | None = None) -> DataFrame:
+    """CSV files of any delimiter and header, UTF-8 or Latin-1, gzip or plain, joined by column name.
 
-    All columns are texts. ``source_file`` names the file. Only the header line
-    comes to the driver. A gzip file is one split: ``spread`` it before wide work.
+    Each file has its own header and delimiter; columns come in the order of their first file, and a file without a column
+    has nulls there. Quoted fields, headers included, may hold delimiters and line breaks. Over-long records and blank lines
+    are skipped. All columns are texts; ``source_file`` names the file.
+
+    One pass over the lines finds headers and quoted line breaks; only a header for each file comes to the driver. Files of one
+    layout are one scan, splittable unless compressed; files with quoted line breaks go through ``records``.
+    A gzip file is one split: ``spread`` it before wide work.
     """
-    head = spark.read.option("encoding", "ISO-8859-1").text(path).head()
-    if head is None:
+    paths = [path] if isinstance(path, str) else list(path)
+    found = heads(raw_lines(spark, paths)).orderBy("source_file").collect()
+    if not found:
         raise ValueError(f"no rows found in {path}")
-    header = head[0].rstrip("\r\n")
-    used = sep or sniff_delimiter(header)
-    names = [_decode_name(n.strip().strip('"')) for n in header.split(used)]
-    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])
-    schema = schema.add(_OVERFLOW, T.StringType())
-    lines = (
-        spark.read.schema(schema)
-        .options(sep=used, header=True, encoding="ISO-8859-1", mode="PERMISSIVE", enforceSchema=True)
-        .csv(path)
-    )
-    return lines.where(F.col(_OVERFLOW).isNull()).select(
-        *[_decoded(F.col(f"c{i}")).alias(n) for i, n in enumerate(names)],
-        F.col("_metadata.file_path").alias("source_file"),
-    )
+    broken = [r.source_file for r in found if r.broken]
+    first = {r.source_file: r.head for r in found}
+    whole = None
+    if broken:
+        whole = records(raw_lines(spark, [unquote(f) for f in broken]))
+        first |= {r.source_file: r.record for r in whole.where("number = 1").collect()}
+    layouts: dict[tuple, list[str]] = {}
+    for r in found:
+        layouts.setdefault((*_header(first[r.source_file], sep), r.broken), []).append(r.source_file)
+    parts = []
+    for (used, names, in_records), members in layouts.items():
+        if in_records:
+            cells = F.from_csv("record", F.lit(_fields(names).simpleString()[7:-1].replace(":", " ")), {"sep": used, "mode": "PERMISSIVE", "escape": "\""})
+            rows = whole.where((F.col("number") > 1) & F.col("source_file").isin(members) & (F.trim("record") != "")).select(
+                cells.alias("c"), "source_file"
+            ).select("c.*", "source_file")
+            parts.append(_named(rows.where(F.col(_OVERFLOW).isNull()), names, F.col))
+        else:
+            # bytes are read as Latin-1, which loses nothing, and decoded value by value
+            rows = (
+                spark.read.schema(_fields(names))
+                .options(sep=used, header=True, encoding="ISO-8859-1", mode="PERMISSIVE", enforceSchema=True, escape="\"")
+                .csv([unquote(f) for f in members])
+            ).select("*", F.col("_metadata.file_path").alias("source_file"))
+            parts.append(_named(rows.where(F.col(_OVERFLOW).isNull()), names, lambda c: _decoded(F.col(c))))
+    joined = parts[0]
+    for part in parts[1:]:
+        joined = joined.unionByName(part, allowMissingColumns=True)
+    return joined.select(*[c for c in joined.columns if c != "source_file"], "source_file")
 
 
 def read_csv_strings(spark: SparkSession, path: str, sep: str = ";", case: str = "lower") -> DataFrame:

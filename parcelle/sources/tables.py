@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from parcelle.plans.silver import bronze_sales
+from parcelle.sources.commits import by_commits, sync_partitions
 
 # --- fixed values: declared tables ------------------------------------------------
 TABLES = {
@@ -34,7 +35,7 @@ TABLES = {
     "bronze_listings": (
         "listing_id STRING, source STRING, commune_code STRING, city STRING, price DOUBLE, surface_m2 DOUBLE, "
         "price_m2 DOUBLE, rooms INT, postal_code STRING, property_type STRING, url STRING, scraped_at STRING, "
-        "source_name STRING, source_date STRING", ("source_name", "source_date"),
+        "source_name STRING, source_date STRING, batch_id BIGINT", ("source_name", "source_date", "batch_id"),
     ),
     "silver_listings": (
         "code_commune STRING, listing_count BIGINT, avg_listing_price_m2 DOUBLE, "
@@ -91,24 +92,37 @@ def lineage(spark: SparkSession, table: str, source: str, dataset: str, year: in
     row.write.mode("append").parquet(table)
 
 
-def register_tables(spark: SparkSession, root: str, names: Sequence[str] | None = None) -> None:
-    """External Parquet tables under ``root``, partitions discovered."""
+def register_tables(spark: SparkSession, root: str, names: Sequence[str] | None = None, database: str | None = None) -> None:
+    """External Parquet tables under ``root`` with their partitions: those of the commit log where there is one (what streams
+    write), else the folders found. A ``database`` is made if need be."""
+    if database:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for name in names or TABLES:
         columns, by = TABLES[name]
+        full = f"{database}.{name}" if database else name
         partitioned = f"PARTITIONED BY ({', '.join(by)})" if by else ""
         spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING PARQUET {partitioned} LOCATION '{root}/{name}'"
+            f"CREATE TABLE IF NOT EXISTS {full} ({columns}) USING PARQUET {partitioned} LOCATION '{root}/{name}'"
         )
         if by:
-            repair(spark, name)
+            repair(spark, full, f"{root}/{name}")
 
 
-def repair(spark: SparkSession, name: str) -> None:
-    """Picks up partition folders written since."""
+def repair(spark: SparkSession, name: str, path: str) -> None:
+    """Picks up partition folders written since, and lets go of those a compaction replaced."""
+    if by_commits(spark, path):
+        sync_partitions(spark, name, path)
+        return
     spark.sql(f"MSCK REPAIR TABLE {name}")
     spark.catalog.refreshTable(name)
 
 
+def as_declared(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with the columns that table ``name`` declares in their types (null where a text is no such value)."""
+    types = {c.split()[0]: c.split()[1] for c in TABLES[name][0].split(", ")}
+    return df.withColumns({c: F.col(c).try_cast(t) for c, t in types.items() if c in df.columns})
+
+
 def register_views(spark: SparkSession) -> None:
     """The two serving views; sorting is left to the reader."""
     spark.sql(

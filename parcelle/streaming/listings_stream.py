@@ -15,7 +15,9 @@ from parcelle.operators.columns import computed_once
 from parcelle.operators.dedup import latest_snapshot
 from parcelle.operators.filters import valid_listings
 from parcelle.operators.joins import translate_codes
-from parcelle.sources.tables import write_partitioned
+from parcelle.sources.commits import append_batch
+from parcelle.sources.commits import compact as compact_folders
+from parcelle.sources.tables import as_declared, write_partitioned
 
 log = logging.getLogger(__name__)
 MESSAGE = (
@@ -24,6 +26,8 @@ MESSAGE = (
     "energy_class string, url string, title string, description string, latitude double, "
     "longitude double, scraped_at string"
 )
+BRONZE = MESSAGE.replace("rooms string", "rooms int") + ", source_name string, source_date string"
+BRONZE_BY = ["source_name", "source_date"]
 
 
 def topic_names(sources: Sequence[str] | None = None, prefix: str = "listings") -> list[str]:
@@ -91,39 +95,45 @@ def _trigger(writer: DataStreamWriter, drain: bool) -> DataStreamWriter:
     return writer.trigger(processingTime="1 second")
 
 
+def _bronze_rows(batch: DataFrame) -> DataFrame:
+    return as_declared(batch.where(F.col("quarantine").isNull()).drop("quarantine", "value"), "bronze_listings")
+
+
 def start_bronze(decoded: DataFrame, path: str, checkpoint: str, drain: bool = False):
-    """Readable messages to Parquet by source and date, exactly once."""
-    rows = decoded.where(F.col("quarantine").isNull()).drop("quarantine", "value")
-    writer = (
-        rows.writeStream.format("parquet").partitionBy("source_name", "source_date")
-        .option("path", path).option("checkpointLocation", checkpoint)
-    )
+    """Readable messages to Parquet by source and date, each batch committed once (``sources.commits``)."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        append_batch(_bronze_rows(batch), path, BRONZE_BY, batch_id)
+
+    writer = decoded.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return _trigger(writer, drain).start()
 
 
 def start_two_sinks(decoded: DataFrame, bronze: str, archive: str, checkpoint: str, drain: bool = False):
     """Bronze plus an archive of the raw texts.
 
-    A batch replaces its own ``batch_id`` folders, so a retried batch writes
-    nothing twice. The archive is best effort: its failure does not stop the stream.
+    A batch that was committed is not written again. The archive is best effort: its failure does not stop the stream.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        tagged = batch.withColumn("batch_id", F.lit(batch_id)).persist()
-        good = tagged.where(F.col("quarantine").isNull()).drop("quarantine", "value")
-        write_partitioned(good, bronze, ["source_name", "source_date", "batch_id"])
+        held = batch.persist()
+        append_batch(_bronze_rows(held), bronze, BRONZE_BY, batch_id)
         try:
-            raw = tagged.select("source_name", "value", "quarantine", "batch_id")
-            write_partitioned(raw, archive, ["batch_id"])
+            append_batch(held.select("source_name", "value", "quarantine"), archive, ["source_name"], batch_id)
         except Exception:  # noqa: BLE001
             log.exception("archive of batch %s skipped", batch_id)
         finally:
-            tagged.unpersist()
+            held.unpersist()
 
     writer = decoded.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return _trigger(writer, drain).start()
 
 
+def compact_bronze(spark: SparkSession, path: str, most: int = 8) -> int:
+    """Brings the many small folders of a source's day together, in place."""
+    return compact_folders(spark, path, BRONZE, BRONZE_BY, most)
+
+
 def start_changes(listings: DataFrame, path: str, checkpoint: str, drain: bool = False):
     """Keep-latest change table: each batch adds its newest row per listing.
 

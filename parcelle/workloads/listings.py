@@ -10,9 +10,11 @@ from parcelle.operators import aggregates, columns, dedup, filters, joins
 from parcelle.operators import listings as L
 from parcelle.plans import serving
 from parcelle.session import work_folder
+from parcelle.sources import tables
+from parcelle.streaming import listing_mart
 from parcelle.streaming import listings_stream as stream
 from parcelle.workloads import standins as S
-from parcelle.workloads.registry import query, rounded
+from parcelle.workloads.registry import ORACLES, query, rounded
 
 BATCH = f"{S.LISTINGS}, {S.VALID}, {S.LATEST}, {S.LISTING_STATS}"
 STATS = """SELECT source_name, code_commune, listing_count, rnd(avg_listing_price_m2, 4) AS avg_listing_price_m2,
@@ -393,7 +395,10 @@ def _event_stream(spark, folder):
     """The events table as a stream of JSON messages, some broken or without source."""
     schema = spark.read.parquet(f"{folder}/events.parquet").schema
     events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(folder)
-    key = F.col("event_id")
+    return events.select(_message(F.col("event_id")).alias("value"))
+
+
+def _message(key):
     message = F.to_json(F.struct(
         F.when(key % 13 == 0, F.lit("")).otherwise(F.get_json_object("props", "$.k")).alias("listing_id"),
         F.when(key % 29 != 0, F.col("event_type")).alias("source"),
@@ -401,7 +406,7 @@ def _event_stream(spark, folder):
         F.col("value").alias("price_m2"),
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("scraped_at"),
     ))
-    return events.select(F.when(key % 31 == 0, F.lit("{broken")).otherwise(message).alias("value"))
+    return F.when(key % 31 == 0, F.lit("{broken")).otherwise(message)
 
 
 def _drained(query_handle):
@@ -444,6 +449,44 @@ def stream_listing_stats(spark, folder):
     return rounded(aggregates.listing_stats(stream.current_listings(spark, f"{place}/table")))
 
 
+@query("stream_listing_refresh", ORACLES["stream_listing_stats"])
+def stream_listing_refresh(spark, folder):
+    """Figures kept by the stream over five files: four shares of the messages in no order of time, then a replay."""
+    place = f"{work_folder(spark)}/mart-{uuid.uuid4().hex}"
+    key = F.col("event_id")
+    sent = S.table(spark, folder, "events").select(key, _message(key).alias("value"))
+    for share in [key % 4 == k for k in (2, 0, 3, 1)] + [(key % 10 < 3) & (key % 13 != 0)]:
+        sent.where(share).select("value").coalesce(1).write.mode("append").text(f"{place}/inbox")
+    texts = spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).text(f"{place}/inbox")
+    decoded = stream.decode(texts).where(F.col("quarantine").isNull())
+    listings = filters.valid_listings(decoded.withColumn("source", F.col("source_name")).select(
+        "listing_id", "source", "commune_code", "price_m2", "scraped_at"
+    ))
+    _drained(listing_mart.start_mart(listings, f"{place}/table", f"{place}/checkpoint", drain=True, most=2))
+    return rounded(listing_mart.current_figures(spark, f"{place}/table"))
+
+
+@query(
+    "bronze_table_counts",
+    """SELECT CASE WHEN event_id % 29 = 0 THEN 'unknown' ELSE event_type END AS source_name, count(*) AS messages,
+       count(DISTINCT user_id) AS communes, rnd(sum(value), 2) AS total FROM events WHERE event_id % 31 <> 0 GROUP BY 1""",
+)
+def bronze_table_counts(spark, folder):
+    """The registered table over what the stream wrote, before and after a compaction in place."""
+    name = uuid.uuid4().hex
+    place = f"{work_folder(spark)}/bronze-{name}"
+    path, database = f"{place}/bronze_listings", f"bronze_{name}"
+    decoded = stream.decode(_event_stream(spark, folder))
+    _drained(stream.start_bronze(decoded, path, f"{place}/checkpoint", drain=True))
+    tables.register_tables(spark, place, ["bronze_listings"], database)
+    stream.compact_bronze(spark, path, most=0)
+    tables.repair(spark, f"{database}.bronze_listings", path)
+    rows = spark.table(f"{database}.bronze_listings")
+    return rounded(rows.groupBy("source_name").agg(
+        F.count(F.lit(1)).alias("messages"), F.count_distinct("commune_code").alias("communes"), F.sum("price_m2").alias("total")
+    ), 2)
+
+
 @query(
     "topic_messages",
     f"""SELECT event_type || '_' || CAST(json_extract_string(props, '$.k') AS VARCHAR) AS key, count(*) AS n,

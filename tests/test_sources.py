@@ -70,3 +70,40 @@ def test_star(spark, tmp_path):
     assert facts.count() == 1 and str(facts.first().valeur_fonciere) == "10.01"
     assert {r.code_departement: r.code_region for r in spark.read.parquet(f"{tmp_path}/departements").collect()} == {"01": "1", "02": None}
     assert spark.read.parquet(f"{tmp_path}/territorial_scores").first().global_score == 5.0
+
+
+def test_csv_by_name_and_with_quoted_breaks(spark, tmp_path):
+    folder = tmp_path / "raw"
+    folder.mkdir()
+    (folder / "a.csv").write_text("Prix;Commune\n1;Évry\n2;Lyon\n", encoding="utf-8")
+    (folder / "b.csv").write_bytes("Commune,Prix,Note\nÉvry,3,x\n\nLyon,4,\"y,z\"\n".encode("latin-1"))
+    with gzip.open(folder / "c.csv.gz", "wt", encoding="utf-8") as out:
+        out.write('"Com""mune;\nune"\t"Prix"\n"deux\nlignes ""et"" É"\t5\n\nseul\t6\nlong\t7\t8\n')
+    (folder / "d.csv").write_text('Commune,Prix\n5" tube,7\nfin,8\n')  # a stray quote
+    rows = files.read_csv_flexible(spark, str(folder)).collect()
+    assert list(rows[0].asDict()) == ["Prix", "Commune", "Note", 'Com"mune;\nune', "source_file"]
+    assert sorted(tuple(str(x) for x in r[:4]) for r in rows if not r.source_file.endswith("d.csv")) == sorted([
+        ("1", "Évry", "None", "None"), ("2", "Lyon", "None", "None"), ("3", "Évry", "x", "None"), ("4", "Lyon", "y,z", "None"),
+        ("5", "None", "None", 'deux\nlignes "et" É'), ("6", "None", "None", "seul"),
+    ])
+    assert [r.Prix for r in rows if r.source_file.endswith("d.csv")][-1] == "8"
+
+
+def test_records_across_splits(spark, tmp_path):
+    """The same records whatever the size of the splits."""
+    lines = ["id,text"]
+    want = {}
+    for k in range(400):
+        text = "\n".join(f'{k} "line" {j}' for j in range(k % 5 + 1))
+        want[str(k)] = text
+        quoted = text.replace('"', '""')
+        lines.append(f'{k},"{quoted}"')
+    (tmp_path / "x.csv").write_text("\n".join(lines))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("700b", "128m"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            got = files.read_csv_flexible(spark, str(tmp_path / "x.csv")).collect()
+            assert {r.id: r.text for r in got} == want and len(got) == 400
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
