@@ -34,13 +34,19 @@ _ACCENTED, _PLAIN, _SEVERAL = _folding_table()
 _LIGATURES = {c: b for c, b in _SEVERAL.items() if b.isalpha() and b.isascii()}
 
 
+# Stands for any of these until a text is known to hold one.
+_MARKER = "\ue000"
+_WITH_MARKERS = _ACCENTED[: len(_PLAIN)] + "".join(_LIGATURES) + _ACCENTED[len(_PLAIN) :]
+
+
 def fold_accents(c: Column) -> Column:
+    """Lower case without accents, ligatures spelt out. One ``translate`` does all texts without a ligature."""
     text = F.lower(c.cast("string"))
+    folded = F.translate(text, _WITH_MARKERS, _PLAIN + _MARKER * len(_LIGATURES))
     pairs = F.array(*[F.struct(F.lit(c).alias("c"), F.lit(b).alias("b")) for c, b in _LIGATURES.items()])
     spelt = F.aggregate(pairs, text, lambda x, p: F.replace(x, p.c, p.b))
     # replacements only run for rows that hold one of them
-    whole = F.when(text.rlike("[" + "".join(_LIGATURES) + "]"), spelt).otherwise(text)
-    return F.translate(whole, _ACCENTED, _PLAIN)
+    return F.when(F.contains(folded, F.lit(_MARKER)), F.translate(spelt, _ACCENTED, _PLAIN)).otherwise(folded)
 
 
 def tokens(c: Column, stopwords: Sequence[str] = STOPWORDS) -> Column:

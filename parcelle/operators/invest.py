@@ -5,14 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelle import params as P
 from parcelle.functions import finance as fin
 from parcelle.functions.scores import clip, steady_round
-from parcelle.operators.columns import ensure_columns
-from parcelle.session import fan_out
+from parcelle.operators.columns import computed_once, ensure_columns
 
 
 @dataclass(frozen=True)
@@ -237,9 +236,9 @@ def project(
 ) -> DataFrame:
     """One property per commune, scenario and year.
 
-    Reads the columns of ``rental_metrics`` and ``taux_vacance``. The monthly loan
-    loop is replaced by its closed form, so a row fans out to scenarios x years
-    and only the running cash-flow needs its key together (``horizon`` rows).
+    Reads the columns of ``rental_metrics`` and ``taux_vacance``. The monthly loan loop is replaced by its closed form. The
+    years of a scenario are built as an array inside their row, the running cash-flow along it, and unfolded last, so
+    nothing is shuffled or sorted.
     """
     p = assumptions
     cases = F.array(
@@ -256,36 +255,38 @@ def project(
         key, "prix_bien_possible", "montant_emprunte", "mensualite_commune", "loyer_estime",
         "charges_tot_annuelles", "taux_vacance", F.inline(cases),
     )
-    # A key of its own, so that the fan-out is not merged into an earlier shuffle;
-    # the running sum below asks for the same partitioning.
-    spread_out = fan_out(base, key, "scenario")
-    years = spread_out.withColumn("annee", F.explode(F.sequence(F.lit(1), F.lit(horizon))))
-    before = F.col("annee") - 1
-    rent = F.col("loyer_estime") * 12 * F.pow(1 + F.col("rent_pct") / 100, before)
-    charges = F.col("charges_tot_annuelles") * F.pow(1 + F.col("charge_pct") / 100, before)
-    years = years.withColumns(
-        {
-            "loyer_annuel": rent * (1 - F.col("taux_vacance")),
-            "charges": charges,
-            "dette": fin.remaining_debt(loan, p.rate, p.years, F.col("annee") * 12),
-            "valeur": value * F.pow(F.lit(1 + appreciation_pct / 100), F.col("annee")),
-            "credit": F.when(F.col("annee") < p.years, F.col("mensualite_commune") * 12).otherwise(0.0),
-        }
-    )
     furniture = (p.furniture if p.furnished else 0.0) * P.FURNITURE_AMORTISATION
-    years = years.withColumn(
-        "impot",
-        fin.yearly_tax(
-            p.regime, rent, charges, F.col("dette") * (p.rate / 100),
-            value * P.PROPERTY_AMORTISATION + furniture, p.tax_share,
-        ),
-    ).withColumn("cashflow", F.col("loyer_annuel") - F.col("credit") - F.col("charges") - F.col("impot"))
-    running = (
-        Window.partitionBy(key, "scenario").orderBy("annee")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+    def year_row(year: Column) -> Column:
+        before = year - 1
+        rent = F.col("loyer_estime") * 12 * F.pow(1 + F.col("rent_pct") / 100, before)
+        received = rent * (1 - F.col("taux_vacance"))
+        charges = F.col("charges_tot_annuelles") * F.pow(1 + F.col("charge_pct") / 100, before)
+        debt = fin.remaining_debt(loan, p.rate, p.years, year * 12)
+        credit = F.when(year < p.years, F.col("mensualite_commune") * 12).otherwise(0.0)
+        tax = fin.yearly_tax(
+            p.regime, rent, charges, debt * (p.rate / 100), value * P.PROPERTY_AMORTISATION + furniture, p.tax_share
+        )
+        return F.struct(
+            year.alias("annee"), received.alias("loyer_annuel"), charges.alias("charges"), credit.alias("credit"), tax.alias("impot"),
+            (received - credit - charges - tax).alias("cashflow"), debt.alias("dette"),
+            (value * F.pow(F.lit(1 + appreciation_pct / 100), year)).alias("valeur"),
+        )
+
+    years = computed_once(base, {"_years": F.transform(F.sequence(F.lit(1), F.lit(horizon)), year_row)})
+
+    def added(totals: Column, row: Column) -> Column:
+        # like a running sum: missing flows are passed over
+        last = F.get(totals, F.size(totals) - 1)
+        return F.concat(totals, F.array(F.coalesce(last + row["cashflow"], last, row["cashflow"])))
+
+    totals = F.aggregate("_years", F.array().cast("array<double>"), added)
+    with_total = F.zip_with("_years", totals, lambda row, total: F.struct(row.alias("y"), total.alias("cashflow_cumule")))
+    unfolded = years.select(key, "scenario", "gain_pct", "prix_bien_possible", F.inline(with_total)).select(
+        key, "scenario", "gain_pct", "prix_bien_possible", "y.*", "cashflow_cumule"
     )
     gain_tax = F.greatest(F.col("valeur") - value, F.lit(0.0)) * F.col("gain_pct") / 100
-    return years.withColumn("cashflow_cumule", F.sum("cashflow").over(running)).select(
+    return unfolded.select(
         key, "scenario", "annee", "loyer_annuel", "charges", "credit", "impot", "cashflow",
         "cashflow_cumule", "dette", "valeur",
         (F.col("valeur") - F.col("dette") + F.col("cashflow_cumule")).alias("patrimoine_net"),

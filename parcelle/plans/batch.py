@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelle.operators.quality import gate, gold_checks
-from parcelle.plans.gold import commune_prices, with_previous
+from parcelle.plans.gold import commune_prices, counted_prices, with_previous
 from parcelle.plans.silver import silver_sales
 from parcelle.sources.files import read_csv_flexible
 from parcelle.sources.tables import lineage, write_bronze, write_partitioned
 
+log = logging.getLogger(__name__)
+
 
 def _previous(spark: SparkSession, root: str, year: int) -> DataFrame | None:
     try:
@@ -23,7 +27,8 @@ def _previous(spark: SparkSession, root: str, year: int) -> DataFrame | None:
 
 
 def run_batch(spark: SparkSession, raw: str, root: str, year: int) -> DataFrame:
-    """Lands bronze, silver and gold under ``root``, then runs the quality gate.
+    """Lands bronze, silver and gold under ``root``, then runs the quality gate. The lineage table tells how many rows the
+    price bounds removed.
 
     Each layer is a written table, so a lost executor costs at most one layer and
     the next one starts from storage.
@@ -34,8 +39,12 @@ def run_batch(spark: SparkSession, raw: str, root: str, year: int) -> DataFrame:
     cleaned = silver_sales(spark.read.parquet(bronze), year).withColumn("annee", F.lit(year))
     write_partitioned(cleaned, silver, ["annee"])
     sales = spark.read.parquet(f"{silver}/annee={year}")
-    gold = with_previous(commune_prices(sales), _previous(spark, root, year - 1))
+    counted, seen = counted_prices(sales)
+    gold = with_previous(commune_prices(counted), _previous(spark, root, year - 1))
     write_partitioned(gold.withColumn("annee", F.lit(year)), f"{root}/gold/real_estate", ["annee"])
     stored = spark.read.parquet(f"{root}/gold/real_estate/annee={year}")
+    counts = {"silver": seen.get["rows"], "removed": seen.get["removed"], "gold": stored.count()}
+    log.info("%s: %s sales, %s outside the price bounds, %s rows in the mart", year, *counts.values())
+    lineage(spark, f"{root}/lineage", silver, "gold", year, f"{root}/gold/real_estate/annee={year}", counts)
     gate(gold_checks(stored, year))
     return stored

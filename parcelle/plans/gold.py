@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from parcelle.functions.cleaning import first_of_january, like_or_all, to_decimal
 from parcelle.functions.order_stats import HOT_ROWS, grouped_stats
 from parcelle.operators.filters import enough_sales, plausible_prices
 from parcelle.operators.joins import star_rows
+from parcelle.params import GOLD_PRICE_M2
+
+# Of a price sketch: size, and the share of rows by which a median's rank may be off.
+SKETCH_SIZE, SKETCH_ERROR = 400, 0.01
 
 GOLD_COLUMNS = [
     "code_commune", "nom_commune", "year", "transaction_count", "avg_price", "avg_price_m2",
@@ -36,6 +42,33 @@ def commune_prices(
     return enough_sales(stats)
 
 
+def counted_prices(sales: DataFrame) -> tuple[DataFrame, Observation]:
+    """``sales`` as they are; the rows read and those the price bounds remove are counted by whatever reads them first."""
+    seen = Observation()
+    fits = F.coalesce(F.col("prix_m2").between(*GOLD_PRICE_M2), F.lit(False))
+    return sales.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(~fits).alias("removed")), seen
+
+
+def price_sketches(sales: DataFrame, size: int = SKETCH_SIZE) -> DataFrame:
+    """Per commune and year: number of plausible prices and a mergeable sketch of them.
+
+    Stored with the mart, sketches give medians of any grouping of communes and years without the sales. The sketch's
+    memory is bounded by ``size``; medians are off by at most ``SKETCH_ERROR`` of the rows, almost surely.
+    """
+    return plausible_prices(sales).groupBy("code_commune", "year").agg(
+        F.count(F.lit(1)).alias("transaction_count"), F.kll_sketch_agg_double("prix_m2", F.lit(size)).alias("price_sketch")
+    )
+
+
+def merged_medians(sketches: DataFrame, by: Sequence[str], size: int = SKETCH_SIZE) -> DataFrame:
+    """Approximate medians of the groups ``by`` from the sketches of their parts."""
+    merged = sketches.groupBy(*by).agg(
+        F.sum("transaction_count").alias("transaction_count"), F.kll_merge_agg_double("price_sketch", F.lit(size)).alias("_sketch")
+    )
+    median = F.kll_sketch_get_quantile_double("_sketch", F.lit(0.5))
+    return merged.select(*by, "transaction_count", median.alias("median_price_m2"))
+
+
 def with_yoy(gold: DataFrame) -> DataFrame:
     """Change against the previous year within one history table.
 

@@ -111,7 +111,8 @@ def read_csv_flexible(spark: SparkSession, path: str | Sequence[str], sep: str |
     joined = parts[0]
     for part in parts[1:]:
         joined = joined.unionByName(part, allowMissingColumns=True)
-    return joined.select(*[c for c in joined.columns if c != "source_file"], "source_file")
+    names = [c for c in joined.columns if c != "source_file"]
+    return joined.select(*[F.col("`" + c.replace("`", "``") + "`") for c in names], "source_file")
 
 
 def read_csv_strings(spark: SparkSession, path: str, sep: str = ";", case: str = "lower") -> DataFrame:

@@ -9,6 +9,7 @@ from parcelle.functions import finance as fin
 from parcelle.operators import filters, invest, joins, scoring
 from parcelle.operators.dedup import top_per_key
 from parcelle.plans import serving
+from parcelle.session import fan_out
 from parcelle.workloads import standins as S
 from parcelle.workloads.registry import query, rounded
 
@@ -216,7 +217,8 @@ _PROJECTED = ["loyer_annuel", "charges", "credit", "impot", "cashflow", "cashflo
 )
 def projection_table(spark, folder):
     metrics = invest.vacancy_risk(invest.rental_metrics(_input(spark, folder)))
-    return rounded(invest.project(metrics), 2)
+    # few rows that unfold to many: spread before, since the projection itself shuffles nothing
+    return rounded(invest.project(fan_out(metrics, "code_commune")), 2)
 
 
 @query(

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from parcelle.functions import cleaning as c
-from parcelle.operators import aggregates, columns, joins
+from parcelle.operators import aggregates, columns, filters, joins
 from parcelle.plans import gold as G
 from parcelle.plans import serving, silver, star
+from parcelle.session import stored, work_folder
+from parcelle.sources import files
 from parcelle.workloads import standins as S
 from parcelle.workloads.registry import query, rounded
 
@@ -334,3 +338,49 @@ def real_estate_stats(spark, folder):
     return rounded(serving.real_estate_stats(S.gold(spark, folder), "00042"), price_m2_yoy_variation=6)
 
 
+
+
+@query(
+    "region_median_sketch",
+    f"""WITH {S.SALES}, {S.COMMUNES}, {S.DEPARTMENTS}, {S.REGIONS} SELECT r.nom_region, s.year, count(*) AS transaction_count,
+        true AS within_bound FROM sales s JOIN communes c USING (code_commune) JOIN departements d USING (code_departement)
+        JOIN regions r ON r.code_region = d.code_region WHERE s.prix_m2 BETWEEN 200 AND 30000 GROUP BY 1, 2""",
+)
+def region_median_sketch(spark, folder):
+    """Medians by region and year merged from commune sketches, held against the exact ranks of all prices."""
+    communes, departments, regions = _geo(spark, folder)
+    place = communes.select("code_commune", "code_departement").join(
+        departments.select("code_departement", "code_region"), "code_departement"
+    ).join(regions.select("code_region", "nom_region"), "code_region").select("code_commune", "nom_region")
+    sales = S.sales(spark, folder)
+    sketches = stored(G.price_sketches(sales), "price-sketches").join(place, "code_commune")
+    medians = G.merged_medians(sketches, ["nom_region", "year"])
+    prices = filters.plausible_prices(sales).select("code_commune", "year", "prix_m2").join(place, "code_commune")
+    price, median, n = F.col("prix_m2"), F.col("median_price_m2"), F.col("transaction_count")
+    ranks = prices.join(medians, ["nom_region", "year"]).groupBy("nom_region", "year", "transaction_count").agg(
+        F.count_if(price < median).alias("below"), F.count_if(price <= median).alias("up_to")
+    )
+    within = (F.col("below") <= n * (0.5 + G.SKETCH_ERROR) + 1) & (F.col("up_to") >= n * (0.5 - G.SKETCH_ERROR) - 1)
+    return ranks.select("nom_region", "year", "transaction_count", within.alias("within_bound"))
+
+
+@query(
+    "bronze_union",
+    """SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN NULL WHEN 1 THEN o_orderpriority ELSE o_orderpriority || chr(10) || '"' || o_orderstatus || '"; ' || o_orderkey END AS note,
+       CASE WHEN o_orderkey % 3 <> 1 THEN o_orderstatus END AS statut, o_totalprice AS prix FROM orders""",
+)
+def bronze_union(spark, folder):
+    """Three folders of CSV files: swapped headers, other delimiters, gzip, quoted breaks, quotes and delimiters; joined by name."""
+    place = f"{work_folder(spark)}/csv-{uuid.uuid4().hex}"
+    orders = S.table(spark, folder, "orders")
+    key, price, status = F.col("o_orderkey"), F.col("o_totalprice").alias("prix"), F.col("o_orderstatus").alias("statut")
+    long_note = F.concat("o_orderpriority", F.lit('\n"'), "o_orderstatus", F.lit('"; '), key.cast("string")).alias("note")
+    layouts = [
+        (["o_orderkey", price, status], {"sep": ";"}),
+        ([price, "o_orderkey", F.col("o_orderpriority").alias("note")], {"sep": ",", "compression": "gzip"}),
+        ([status, long_note, price, "o_orderkey"], {"sep": "\t", "quoteAll": True}),
+    ]
+    for k, (columns_, options) in enumerate(layouts):
+        orders.where(key % 3 == k).select(*columns_).write.options(header=True, escape='"', **options).csv(f"{place}/{k}")
+    rows = files.read_csv_flexible(spark, [f"{place}/{k}" for k in range(3)])
+    return rows.select(F.col("o_orderkey").cast("long").alias("o_orderkey"), "note", "statut", F.col("prix").cast("double").alias("prix"))

@@ -46,15 +46,22 @@ def test_similar(spark):
 
 
 def test_registered_forest_is_whole(spark, monkeypatch):
+    """Both queries ask for the whole forest; a small one is fitted in its place to see them run to the end."""
     from parcelle.workloads import learning
 
-    asked, fitted = [], []
+    asked = []
+    fit = forecast.RandomForestRegressor.fit
+
+    def small(self, table):
+        asked.append((self.getNumTrees(), self.getMaxDepth(), self.getCacheNodeIds()))
+        return fit(self.setNumTrees(4).setMaxDepth(4), table)
+
     monkeypatch.setattr(learning.S, "gold", lambda *_: _history(spark))
-    monkeypatch.setattr(learning, "stored", lambda df, _: df)
-    monkeypatch.setattr(forecast.RandomForestRegressor, "fit", lambda self, _: fitted.append((self.getNumTrees(), self.getMaxDepth())))
-    monkeypatch.setattr(learning.forecast, "forecast", lambda history, year, **more: asked.append(forecast.fit_forest(forecast.training_set(history), **more)))
-    learning.rf_forecast(spark, "")
-    assert len(asked) == 1 and fitted == [(200, 30)]
+    monkeypatch.setattr(forecast.RandomForestRegressor, "fit", small)
+    rows = learning.rf_forecast(spark, "").collect()
+    assert len(rows) == 60 and all(r.growth_follows and r.in_range and r.target_year == 2023 for r in rows)
+    assert learning.forecast_holdout(spark, "").first().communes == 60
+    assert asked == [(200, 30, True)] * 2
 
 
 def test_similar_all_equals_brute_force(spark):
