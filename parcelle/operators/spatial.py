@@ -16,7 +16,7 @@ LEVELS = 20
 CELL = 360.0 / 2 ** (LEVELS - 1)
 # The search ends at the widest level where a centroid shares its cell with one other on average, as the centroids see
 # it (a dense cluster pulls this down), and begins at the narrowest one where a group has at most ROOTS cells on average.
-CROWD, ROOTS = 2.0, 4
+CROWD, ROOTS = 2.0, 16
 # A cell with more points than this is split.
 HOT_CELL = 100_000
 HOT_SALTS = 64
@@ -111,12 +111,14 @@ def nearest_cells(places: DataFrame, cents: DataFrame) -> tuple[DataFrame, int]:
     Branch and bound on both sides at once: pairs of cells are bounded by the boxes they really fill, halved into the
     occupied pairs of the next level, and bounded again, so a place far from all centroids meets the few in front.
     """
-    levels = cents.select("_g", F.posexplode(F.array(*[F.struct(_cell(F.col("_clon"), k).alias("x"), _cell(F.col("_clat"), k).alias("y"))
-                                                       for k in range(LEVELS)])).alias("_level", "c"))
+    scale = F.lit(CELL) * F.pow(F.lit(2.0), F.col("_level"))
+    levels = cents.select("_g", "_clat", "_clon", F.explode(F.sequence(F.lit(0), F.lit(LEVELS - 1))).alias("_level")).select(
+        "_g", "_level", F.floor(F.col("_clon") / scale).alias("x"), F.floor(F.col("_clat") / scale).alias("y")
+    )
     n = F.col("n")
     # one row for each level
     seen = (
-        levels.groupBy("_g", "_level", "c").agg(F.count(F.lit(1)).alias("n"))
+        levels.groupBy("_g", "_level", "x", "y").agg(F.count(F.lit(1)).alias("n"))
         .groupBy("_g", "_level").agg(F.sum(n * n).alias("nn"), F.sum(n).alias("n"), F.count(F.lit(1)).alias("cells"))
         .groupBy("_level").agg((F.sum("nn") / F.sum("n")).alias("crowd"), F.max("cells").alias("cells")).collect()
     )
@@ -125,14 +127,15 @@ def nearest_cells(places: DataFrame, cents: DataFrame) -> tuple[DataFrame, int]:
     q = [stored(_boxes(places, "_lat", "_lon", bottom, "q"), "point-cells")]
     c = [stored(_boxes(cents, "_clat", "_clon", bottom, "c"), "centroid-cells")]
     for _ in range(bottom, top):
-        q.append(_wider(q[-1], "q"))
-        c.append(_wider(c[-1], "c"))
-    found = _bounded(q[-1].join(c[-1], "_g"))
+        q.append(stored(_wider(q[-1], "q"), "point-cells"))
+        c.append(stored(_wider(c[-1], "c"), "centroid-cells"))
+    found = stored(_bounded(q[-1].join(c[-1], "_g")), "cell-pairs")
     for level in range(top - bottom - 1, -1, -1):
         halves = lambda cells, p: cells.withColumns({f"{p}px": F.shiftright(f"{p}x", 1), f"{p}py": F.shiftright(f"{p}y", 1)})
         wide = found.toDF("_g", "qpx", "qpy", "cpx", "cpy")
         pairs = wide.join(halves(q[level], "q"), ["_g", "qpx", "qpy"]).join(halves(c[level], "c"), ["_g", "cpx", "cpy"])
-        found = _bounded(fan_out(pairs, "_g", "qx", "qy"))
+        # written at each level: planning a chain of all levels takes longer than their small tables
+        found = stored(_bounded(pairs), "cell-pairs")
     return found.join(q[0].select("_g", "qx", "qy", "qcount"), ["_g", "qx", "qy"]), bottom
 
 
@@ -153,11 +156,11 @@ def nearest(
     cents = centroids.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()).groupBy(
         group.alias("_g"), F.col("latitude").cast("double").alias("_clat"), F.col("longitude").cast("double").alias("_clon")
     ).agg(F.min("code_commune").alias("code_commune"))
+    cents = stored(cents, "centroids")
     located = points.where(F.col(lat).isNotNull() & F.col(lon).isNotNull() & group.isNotNull()).select(
         *point_id, group.alias("_g"), F.col(lat).cast("double").alias("_lat"), F.col(lon).cast("double").alias("_lon")
     )
     cells, level = nearest_cells(located, cents.where(F.col("_g").isNotNull()))
-    cells = stored(cells, "cell-pairs")
     in_cell = cents.withColumns({"cx": _cell(F.col("_clon"), level), "cy": _cell(F.col("_clat"), level)})
     salts = F.when(F.col("qcount") > HOT_CELL, F.sequence(F.lit(0), F.lit(HOT_SALTS - 1))).otherwise(F.array(F.lit(0)))
     candidates = fan_out(cells, "_g", "cx", "cy").join(in_cell, ["_g", "cx", "cy"]).select(

@@ -9,7 +9,7 @@ from parcelle.functions import finance as fin
 from parcelle.operators import filters, invest, joins, scoring
 from parcelle.operators.dedup import top_per_key
 from parcelle.plans import serving
-from parcelle.session import fan_out
+from parcelle.session import fan_out, stored
 from parcelle.workloads import standins as S
 from parcelle.workloads.registry import query, rounded
 
@@ -216,8 +216,9 @@ _PROJECTED = ["loyer_annuel", "charges", "credit", "impot", "cashflow", "cashflo
         rnd(valeur - dette - greatest(valeur - prix_bien_possible, 0) * gp / 100, 2) AS net_revente FROM summed""",
 )
 def projection_table(spark, folder):
-    metrics = invest.vacancy_risk(invest.rental_metrics(_input(spark, folder)))
-    # few rows that unfold to many: spread before, since the projection itself shuffles nothing
+    # written first, so that no figure is worked out again for each year; few rows that unfold to many are spread before, since
+    # the projection itself shuffles nothing
+    metrics = stored(invest.vacancy_risk(invest.rental_metrics(_input(spark, folder))), "rental-metrics")
     return rounded(invest.project(fan_out(metrics, "code_commune")), 2)
 
 
