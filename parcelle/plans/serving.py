@@ -194,12 +194,14 @@ def price_points(mart: DataFrame, communes_: DataFrame, limit: int = 3_000) -> D
     )
 
 
-def map_points(metrics: DataFrame, limit: int = 3_000) -> DataFrame:
-    """Most populous communes with the cash-flow clipped for the colour scale."""
+def map_points(metrics: DataFrame, limit: int = 3_000, department: str | None = None) -> DataFrame:
+    """Most populous communes, of one department if asked for, with the cash-flow clipped for the colour scale; in the order of
+    drawing, profitable ones last and so on top."""
     shown = F.greatest(F.least(F.col("cashflow_mensuel"), F.lit(500.0)), F.lit(-500.0))
-    return top(metrics, [F.desc_nulls_last("population"), F.col("code_commune")], limit).withColumn(
-        "cashflow_affiche", shown
-    )
+    asked = metrics if department is None else metrics.where(F.col("code_departement") == department)
+    chosen = top(asked, [F.desc_nulls_last("population"), F.col("code_commune")], limit)
+    # at most ``limit`` rows are sorted
+    return chosen.withColumn("cashflow_affiche", shown).orderBy("cashflow_affiche", "code_commune")
 
 
 def investor_pool(

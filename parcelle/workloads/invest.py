@@ -242,6 +242,20 @@ def map_points(spark, folder):
     return rounded(points.select("code_commune", "population", "cashflow_affiche"))
 
 
+@query(
+    "map_points_department",
+    f"""WITH {_INPUT}, {_metrics_sql()}, shown AS (SELECT code_commune, greatest(least(cashflow_mensuel, 500), -500) AS c FROM metrics
+            WHERE code_departement = '07' ORDER BY population DESC NULLS LAST, code_commune LIMIT 3000)
+        SELECT code_commune, rnd(c, 4) AS cashflow_affiche, row_number() OVER (ORDER BY c, code_commune) AS place FROM shown""",
+)
+def map_points_department(spark, folder):
+    """One department in the order of drawing."""
+    points = serving.map_points(invest.rental_metrics(_input(spark, folder)), department="07")
+    # of one sorted partition of at most the map's limit
+    placed = points.coalesce(1).withColumn("place", F.monotonically_increasing_id() + 1)
+    return rounded(placed.select("code_commune", "cashflow_affiche", "place"))
+
+
 @query(
     "investor_pool",
     f"""WITH {_INPUT}, {_metrics_sql()}, {_RISK.format('metrics')} SELECT code_commune, CAST(risque_vacance AS INTEGER) AS risque_vacance,
@@ -268,23 +282,17 @@ def _final(name):
 @query(
     "investor_final_score",
     f"""WITH {S.TERRITORY_ALL}, input AS (SELECT * FROM territory), {_metrics_sql()}, {_RISK.format('metrics')},
-    pool AS (SELECT code_commune, cashflow_net_fiscal - loyer_estime * ({_SHARE}) AS cf, rendement_net_fiscal * (1 - ({_SHARE})) AS rdt, {_Q} AS qdv FROM risk),
-    rounded AS (SELECT code_commune, rnd(cf, 6) AS cf, rnd(rdt, 6) AS rdt, rnd(qdv, 6) AS qdv FROM pool),
+    rounded AS (SELECT code_commune, rnd(cashflow_net_fiscal, 6) - rnd(loyer_estime, 6) * rnd({_SHARE}, 6) AS cf,
+        rnd(rendement_net_fiscal, 6) * (1 - rnd({_SHARE}, 6)) AS rdt, rnd({_Q}, 6) AS qdv FROM risk),
     ranked AS (SELECT code_commune, {_final('cf')}, {_final('rdt')}, {_final('qdv')} FROM rounded)
     SELECT code_commune, rnd(score_cf, 6) AS score_cf, rnd(score_rdt, 6) AS score_rdt, rnd(score_qdv, 6) AS score_qdv, rnd((score_cf * 4 / 7 + score_rdt * 3 / 7) * 0.7::DOUBLE + score_qdv * 0.3::DOUBLE, 4) AS score_final FROM ranked""",
 )
 def investor_final_score(spark, folder):
     """Inputs are rounded first: a rank must not hang on the last digit of a double."""
     metrics = invest.vacancy_risk(invest.rental_metrics(scoring.with_quality(S.territory(spark, folder, keep=True), _QUALITY)))
-    vacancy = F.col("taux_vacance")
-    pool = rounded(
-        metrics.select(
-            "code_commune",
-            (F.col("cashflow_net_fiscal") - F.col("loyer_estime") * vacancy).alias("cashflow_net_fiscal"),
-            (F.col("rendement_net_fiscal") * (1 - vacancy)).alias("rendement_net_fiscal"),
-            "critere_score",
-        ), 6,
-    ).withColumns({"taux_vacance": F.lit(0.0), "loyer_estime": F.lit(0.0)})
+    pool = rounded(metrics.select(
+        "code_commune", "cashflow_net_fiscal", "rendement_net_fiscal", "critere_score", "taux_vacance", "loyer_estime"
+    ), 6)
     scored = scoring.investor_scores(pool)
     return rounded(
         scored.select("code_commune", "score_cf", "score_rdt", "score_qdv", "score_final"), 6, score_final=4

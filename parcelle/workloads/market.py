@@ -340,6 +340,15 @@ def real_estate_stats(spark, folder):
 
 
 
+@query(
+    "price_points",
+    f"""WITH {MART} SELECT m.code_commune, c.latitude, c.longitude, rnd(m.avg_price_m2, 0) AS prix_m2 FROM mart m JOIN communes c USING (code_commune)
+        WHERE m.year = (SELECT max(year) FROM mart) AND c.latitude IS NOT NULL ORDER BY m.code_commune LIMIT 3000""",
+)
+def price_points(spark, folder):
+    return rounded(serving.price_points(_mart(spark, folder), S.communes(spark, folder)), 4, prix_m2=0)
+
+
 @query(
     "region_median_sketch",
     f"""WITH {S.SALES}, {S.COMMUNES}, {S.DEPARTMENTS}, {S.REGIONS} SELECT r.nom_region, s.year, count(*) AS transaction_count,

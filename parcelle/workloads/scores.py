@@ -9,6 +9,7 @@ from parcelle.functions.order_stats import fill_with_median, global_medians, ran
 from parcelle.operators import aggregates, scoring
 from parcelle.plans import serving
 from parcelle.plans.territory import star_scores
+from parcelle.sources import tables
 from parcelle.workloads import standins as S
 from parcelle.workloads.registry import query, rounded
 
@@ -237,6 +238,34 @@ def ranking_view(spark, folder):
     return rounded(serving.ranking_view(S.territory(spark, folder)))
 
 
+def _views(spark, folder):
+    """The declared SQL views over the territory and listing tables."""
+    S.territory(spark, folder).createOrReplaceTempView("gold_territory_scores")
+    S.listing_stats(spark, folder).createOrReplaceTempView("silver_listings")
+    tables.register_views(spark)
+
+
+@query(
+    "sql_view_ranking",
+    f"WITH {S.TERRITORY_ALL} SELECT {', '.join(c if c != 'avg_price_m2' else 'rnd(avg_price_m2, 4) AS avg_price_m2' for c in serving.RANKING_VIEW)} FROM territory",
+)
+def sql_view_ranking(spark, folder):
+    _views(spark, folder)
+    return rounded(spark.sql("SELECT * FROM vw_ranking"))
+
+
+@query(
+    "sql_view_full",
+    f"""WITH {S.TERRITORY_ALL}, {S.LISTINGS}, {S.VALID}, {S.LATEST}, {S.LISTING_STATS}, asked AS (SELECT code_commune AS k, avg(avg_listing_price_m2) AS p,
+            CAST(sum(listing_count) AS BIGINT) AS n FROM listing_stats GROUP BY 1)
+        SELECT code_commune, nom_commune, rnd(avg_price_m2, 4) AS avg_price_m2, rnd(p, 4) AS avg_listing_price_m2, n AS listing_count
+        FROM territory LEFT JOIN asked ON k = code_commune""",
+)
+def sql_view_full(spark, folder):
+    _views(spark, folder)
+    return rounded(spark.sql("SELECT code_commune, nom_commune, avg_price_m2, avg_listing_price_m2, listing_count FROM vw_commune_full"))
+
+
 @query(
     "compare_codes",
     f"""WITH {S.TERRITORY_ALL} SELECT {', '.join(c if c != 'avg_price_m2' else 'rnd(avg_price_m2, 4) AS avg_price_m2' for c in serving.COMPARE_COLUMNS)}

@@ -8,7 +8,8 @@ from tests import oracle
 
 FOLDER = "/root/testdata/sf0.001"
 SAMPLE = ["gold_real_estate_yoy", "silver_transactions", "territory_scores", "listing_stats", "nearest_join",
-          "rental_metrics", "lexicon_sentiment", "quality_checks", "knn_similar"]
+          "rental_metrics", "lexicon_sentiment", "quality_checks", "knn_similar", "rank_pct_narrow", "knn_all", "bronze_table_counts",
+          "bronze_union", "region_median_sketch", "extract_rents", "projection_table", "text_analysis"]
 
 load_all()
 
