@@ -122,6 +122,8 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
         *[F.size(F.filter(base, of_kind(k))).cast("long").alias(f"n_{k}") for k in KINDS],
         F.sha2(told(base).cast("binary"), 256).alias("base_sha256"),
         told(F.col("spans")).alias("spans"),
+        F.size(F.filter("spans", of_kind("secret"))).cast("long").alias("n_secret"),
+        F.size("spans").cast("long").alias("n_spans"),
     )
 
 
