@@ -11,8 +11,9 @@ window runs within each url's rows of one partition, and the last response of ea
 So a url that holds a third of all rows is spread over as many partitions as its rows fill. Only metadata
 is sorted; payloads come back by a join on the record id, whose hot keys adaptive execution splits.
 
-Nulls: a record without url or time matches nothing; null headers are no headers. Repeated records with one id are taken once
-(the first by time). Results per revisit: ``resolved``, ``mismatch``, ``unvalidated`` (no validator) or ``no-response``.
+Nulls: a record without url or time matches nothing; null headers are no headers. Repeated records with one id are taken once,
+the first by time, kind, url, fullness and payload code, with that row's own payload. A record without an id cannot be
+named as a base: each has a row of its own, revisits as ``no-response``. Results per revisit: ``resolved``, ``mismatch``, ``unvalidated`` (no validator) or ``no-response``.
 Empty tables give empty results.
 """
 
@@ -48,7 +49,7 @@ def _tag(value: Column) -> Column:
 
 
 def resolve_revisits(records: DataFrame, rows_per_part: int = ROWS_PER_PART) -> DataFrame:
-    """A row for each record id; records without an id, as of pages without one, are left out:
+    """A row for each record id and for each record without one:
     ``record_id, kind, time, resolution, base_id, headers, payload``.
 
     ``records``: record_id long, kind string, url string, time long, status int, headers map, payload.
@@ -56,11 +57,16 @@ def resolve_revisits(records: DataFrame, rows_per_part: int = ROWS_PER_PART) ->
     """
     spark = records.sparkSession
     headers = F.coalesce("headers", F.create_map().cast("map<string,string>"))
-    slim = records.select(
-        "record_id", "kind", canonical_url(F.col("url")).alias("key"), "time",
-        ((F.col("kind") == "response") & (F.col("status") == 200) & F.col("payload").isNotNull()).alias("full"), headers.alias("headers"),
-    ).where("record_id is not null")
-    once = slim.groupBy("record_id").agg(F.min_by(F.struct("kind", "key", "time", "full", "headers"), F.struct("time", "kind", "key")).alias("r")).select("record_id", "r.*")
+    full = (F.col("kind") == "response") & (F.col("status") == 200) & F.col("payload").isNotNull()
+    named = records.where("record_id is not null").select(
+        "record_id", "kind", canonical_url(F.col("url")).alias("key"), "time", full.alias("full"), headers.alias("headers"),
+        F.xxhash64("payload").alias("body"), "payload",
+    )
+    # one row of each id, for its metadata and for its payload alike
+    order = F.struct("time", "kind", "key", "full", "body", F.array_sort(F.map_entries("headers")))
+    once = named.groupBy("record_id").agg(
+        F.min_by(F.struct("kind", "key", "time", "full", "headers"), order).alias("r")
+    ).select("record_id", "r.*")
     once = kept_table(once, "records")
     usable = once.where("key is not null and time is not null")
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), usable.count() // rows_per_part + 1)
@@ -97,15 +103,19 @@ def resolve_revisits(records: DataFrame, rows_per_part: int = ROWS_PER_PART) ->
         "record_id", F.lit("revisit").alias("kind"), "time", "resolution", F.when(good, F.col("base.id")).alias("base_id"),
         F.when(good, merged).otherwise(own).alias("headers"),
     )
-    bodies = records.where("kind = 'response'").select(F.col("record_id").alias("base_id"), "time", "payload").groupBy("base_id").agg(
-        F.min_by("payload", F.struct("time")).alias("payload")
-    )
-    responses = once.where("kind <> 'revisit'").select(
+    bodies = named.groupBy(F.col("record_id").alias("base_id")).agg(F.min_by("payload", order).alias("payload"))
+    responses = once.where("not (kind <=> 'revisit')").select(
         "record_id", "kind", "time", F.lit(None).cast("string").alias("resolution"), F.col("record_id").alias("base_id"), "headers"
     )
+    revisit = F.col("kind") == "revisit"
+    nameless = records.where("record_id is null").select(
+        "record_id", "kind", "time", F.when(revisit, F.lit("no-response")).alias("resolution"),
+        F.lit(None).cast("long").alias("base_id"), headers.alias("headers"),
+        F.when(revisit, F.lit(None)).otherwise(F.col("payload")).alias("payload"),
+    )
     return answered.unionByName(responses).join(bodies, "base_id", "left").select(
         "record_id", "kind", "time", "resolution", "base_id", "headers", "payload"
-    )
+    ).unionByName(nameless)
 
 
 def captures(pages: DataFrame) -> DataFrame:
