@@ -1,9 +1,12 @@
 """Quality rules with host verdicts, in DataFrame functions only.
 
 A document fails the base rules when it has fewer than 50 words or when more than half of its
-words lie in repeated 3-word windows. Failures are added up by host, each host's failure rate is
-shrunk towards the corpus by a beta prior fitted to the hosts, and documents of a host whose
-shrunk rate passes ``max_rate`` are rejected with it.
+words lie in repeated 3-word windows. It fails the doubtful rules when it has more than a symbol for each ten words, or when more than
+a third of its lines repeat an earlier one; this alone does not reject it, since tables, code and lyrics look alike.
+
+Documents that fail any rule are added up by host, and each host's failure rate is shrunk towards the corpus by a beta
+prior fitted to the hosts. The verdict joins back to the documents: where the shrunk rate is above the corpus' rate,
+doubtful documents are rejected too; where it passes ``max_rate``, all are. Elsewhere doubtful documents stay.
 
 Nulls: a null text has no words and fails; a null host is the host ``''``. Repeated rows are judged
 and counted each for itself. An empty table gives an empty result. Other columns are not looked at.
@@ -19,7 +22,9 @@ from parcelle.llm.common import BLANKS, kept_table, small_or_shuffled
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 SYMBOLS = r"[#*$%&|<>]"
-# A host is rejected only when nearly all it publishes fails.
+MAX_SYMBOLS_PER_10_WORDS = 1
+MAX_DUP_LINES_PERCENT = 30
+# A host is rejected as a whole only when nearly all it publishes fails.
 MAX_RATE = 0.9
 # Hosts in a broadcast verdict table; about 50 bytes each.
 BROADCAST_HOSTS = 200_000
@@ -40,7 +45,7 @@ def repeat_words(words: str) -> Column:
 
 
 def measures(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words in ``__m``."""
+    """``docs`` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and n_lines (those with a word) in ``__m``."""
     raw = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
     words = docs.withColumn("__text", raw).withColumn(
         "__words", F.expr(f"filter(split(__text, '{BLANKS}'), w -> w <> '')".replace("\\", "\\\\"))
@@ -68,6 +73,7 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
             (F.length("__text") - F.length(F.regexp_replace("__text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
             (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long").alias("n_dup_lines"),
             covered.alias("n_repeat_words"),
+            F.size("__lines").cast("long").alias("n_lines"),
         ).alias("__m"),
     )
 
@@ -77,14 +83,21 @@ def base_failed() -> Column:
     return (m.n_words < MIN_WORDS) | (m.n_repeat_words * 100 > m.n_words * MAX_REPEAT_PERCENT)
 
 
+def doubtful() -> Column:
+    m = F.col("__m")
+    return (m.n_symbols * 10 > m.n_words * MAX_SYMBOLS_PER_10_WORDS) | (
+        m.n_dup_lines * 100 > m.n_lines * MAX_DUP_LINES_PERCENT
+    )
+
+
 def host_verdicts(judged: DataFrame, max_rate: float = MAX_RATE) -> DataFrame:
-    """``(__host, rate)`` of rejected hosts from rows ``(__host, __failed)``.
+    """``(__host, __banned)`` of hosts worse than the corpus from rows ``(__host, __failed, __doubtful)``; other hosts have no row.
 
     The beta prior comes from the first two moments of the hosts' failure rates; where these have
     no spread beyond chance the prior keeps the weight of the mean host.
     """
     hosts = judged.groupBy("__host").agg(
-        F.count("*").alias("n"), F.sum(F.col("__failed").cast("long")).alias("f")
+        F.count("*").alias("n"), F.sum((F.col("__failed") | F.col("__doubtful")).cast("long")).alias("f")
     )
     rate = F.col("f") / F.col("n")
     moments = hosts.agg(
@@ -96,8 +109,11 @@ def host_verdicts(judged: DataFrame, max_rate: float = MAX_RATE) -> DataFrame:
     ).otherwise(F.col("size"))
     prior = moments.select("mu", weight.alias("w"))
     shrunk = (F.col("f") + F.col("mu") * F.col("w")) / (F.col("n") + F.col("w"))
-    # ``prior`` is one aggregate row, a bounded broadcast
-    return hosts.join(F.broadcast(prior)).select("__host", shrunk.alias("rate")).where(F.col("rate") > max_rate)
+    # ``prior`` is one aggregate row, a bounded broadcast; the margin is for floating noise
+    judged_hosts = hosts.join(F.broadcast(prior)).select("__host", "mu", shrunk.alias("rate"))
+    return judged_hosts.where(F.col("rate") > F.least(F.col("mu") * (1 + 1e-9), F.lit(max_rate))).select(
+        "__host", (F.col("rate") > max_rate).alias("__banned")
+    )
 
 
 def quality_rules(
@@ -105,19 +121,20 @@ def quality_rules(
     max_rate: float = MAX_RATE, broadcast_hosts: int = BROADCAST_HOSTS,
 ) -> DataFrame:
     """The columns ``carry`` (all, if not given) of ``docs`` with ``__m`` (measures), ``__failed`` (base
-    rules) and ``__kept`` (with the host's verdict), a row for each document.
+    rules), ``__doubtful`` and ``__kept`` (with the host's verdict), a row for each document.
 
     The texts are measured once into a written table, which both the host sums and the verdicts read.
-    Hosts are summed with map-side combination, so a hot host costs one row per task. Rejected hosts
+    Hosts are summed with map-side combination, so a hot host costs one row per task. Verdicts
     come back by a broadcast of counted size, else by a join whose hot keys adaptive execution splits.
     """
     name = F.coalesce(F.col(f"`{host}`").cast("string"), F.lit("")) if host in docs.columns else F.lit("")
     judged = kept_table(
         measures(docs.withColumn("__host", name), text)
-        .withColumn("__failed", base_failed())
-        .select(*[f"`{c}`" for c in (docs.columns if carry is None else carry)], "__host", "__m", "__failed"),
+        .withColumn("__failed", base_failed()).withColumn("__doubtful", doubtful())
+        .select(*[f"`{c}`" for c in (docs.columns if carry is None else carry)], "__host", "__m", "__failed", "__doubtful"),
         "judged",
     )
-    rejected = small_or_shuffled(host_verdicts(judged, max_rate), broadcast_hosts)
-    verdict = judged.join(rejected, "__host", "left")
-    return verdict.withColumn("__kept", ~F.col("__failed") & F.col("rate").isNull()).drop("rate", "__host")
+    worse = small_or_shuffled(host_verdicts(judged, max_rate), broadcast_hosts)
+    verdict = judged.join(worse, "__host", "left")
+    told = F.col("__banned").isNotNull() & (F.col("__banned") | F.col("__doubtful"))
+    return verdict.withColumn("__kept", ~F.col("__failed") & ~told).drop("__banned", "__host")

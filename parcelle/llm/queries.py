@@ -47,28 +47,31 @@ m AS (SELECT k, len(ws) AS n_words, coalesce(list_sum(list_transform(ws, lambda
         length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
         len(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))
           - len(list_distinct(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))) AS n_dup_lines,
+        len(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]'))) AS n_lines,
         coalesce(r.n, 0) AS n_repeat_words FROM w LEFT JOIN r USING (k)),
-j AS (SELECT d.doc_id, d.host, m.*, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS failed
+j AS (SELECT d.doc_id, d.host, m.*, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS failed,
+        n_symbols * 10 > n_words OR n_dup_lines * 100 > n_lines * 30 AS doubtful
       FROM m JOIN d USING (k)),
-h AS (SELECT host, count(*) AS n, sum(failed::INT) AS f FROM j GROUP BY host),
+h AS (SELECT host, count(*) AS n, sum((failed OR doubtful)::INT) AS f FROM j GROUP BY host),
 p AS (SELECT sum(f) / sum(n) AS mu, var_pop(f / n) AS v, avg(n) AS size FROM h),
 q AS (SELECT mu, CASE WHEN v > 0 AND v < mu * (1 - mu) THEN mu * (1 - mu) / v - 1 ELSE size END AS wt FROM p),
-x AS (SELECT host FROM h, q WHERE (f + mu * wt) / (n + wt) > {rate})
+y AS (SELECT host, mu, (f + mu * wt) / (n + wt) AS rate FROM h, q),
+x AS (SELECT host, rate > {rate} AS banned FROM y WHERE rate > least(mu * (1 + 1e-9), {rate}))
 """
 
 OP3_SQL = (
     "WITH " + SQL_MEASURES.replace("{rate}", str(MAX_RATE)) + """
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
   CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
-  CAST(n_repeat_words AS BIGINT) AS n_repeat_words, failed AS base_failed,
-  NOT failed AND host NOT IN (SELECT host FROM x) AS kept FROM j"""
+  CAST(n_repeat_words AS BIGINT) AS n_repeat_words, CAST(n_lines AS BIGINT) AS n_lines, failed AS base_failed, doubtful,
+  NOT failed AND (banned IS NULL OR NOT (banned OR doubtful)) AS kept FROM j LEFT JOIN x USING (host)"""
 )
 
 
 @query("op3_quality_rules", OP3_SQL)
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality_rules(table(spark, folder, "documents"), carry=["doc_id"])
-    return judged.select("doc_id", "__m.*", F.col("__failed").alias("base_failed"), F.col("__kept").alias("kept"))
+    return judged.select("doc_id", "__m.*", F.col("__failed").alias("base_failed"), F.col("__doubtful").alias("doubtful"), F.col("__kept").alias("kept"))
 
 
 @query("op2_near_duplicates")

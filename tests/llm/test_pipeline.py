@@ -1,26 +1,18 @@
 import base64
-import collections
 import hashlib
 
 import public_tokenizers
 import tiktoken
 
 import corpus_pipeline
-from tests.llm import brute, test_lines, test_templates
+from tests.llm import brute, test_lines, test_quality, test_templates
 
 FOLDER = "/root/testdata/sf0.001"
 
 
-def passes_rules(text):
-    words = brute.WORD.findall(text or "")
-    windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
-    count = collections.Counter(windows)
-    repeated = {k for i, w in enumerate(windows) if count[w] > 1 for k in (i, i + 1, i + 2)}
-    return len(words) >= 50 and 100 * len(repeated) <= 50 * len(words)
-
-
 def expected(rows, items):
-    rows = [(i, t) for i, t in rows if passes_rules(t)]
+    kept = test_quality.verdicts([(t, h) for _, t, h in rows])
+    rows = [(i, t) for (i, t, _), k in zip(rows, kept, strict=True) if k]
     cut = [(i, t) for i, _, gone, t in test_lines.brute(rows, 3) if not gone or brute.WORD.search(t)]
     groups = brute.near(cut, 5)
     cut = [(i, t) for i, t in cut if groups[i][1] == i]
@@ -29,7 +21,7 @@ def expected(rows, items):
 
 
 def test_whole_pipeline_against_brute_force(spark):
-    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()]
+    rows = [(r.doc_id, r.text, r.source) for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()]
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect()]
     with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as file:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
