@@ -11,7 +11,7 @@ from parcelle.llm.bpe import bpe_decode, bpe_encode
 from parcelle.llm.chat import format_chats
 from parcelle.llm.codes import ROUNDS, coded_vectors
 from parcelle.llm.common import table
-from parcelle.llm.lines import MIN_LINES, line_dedup
+from parcelle.llm.lines import MIN_LINES, MIN_WORDS, line_dedup
 from parcelle.llm.near import near_duplicates
 from parcelle.llm.pii import KINDS, personal_data
 from parcelle.llm.quality import MAX_RATE, quality_rules
@@ -146,11 +146,13 @@ OP5_SQL = rf"""
 WITH d AS (SELECT row_number() OVER (ORDER BY doc_id) AS k, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
 u AS (SELECT k, unnest(ls) AS l, unnest(range(len(ls))) AS i FROM d),
 w AS (SELECT k, i, row_number() OVER (PARTITION BY k ORDER BY i) AS j, l FROM u WHERE regexp_matches(l, '[^\x20\x09-\x0D]')),
-g AS (SELECT k, i, j, string_agg(l, chr(10)) OVER o AS run, count(*) OVER o AS n FROM w
-      WINDOW o AS (PARTITION BY k ORDER BY j ROWS BETWEEN CURRENT ROW AND {MIN_LINES - 1} FOLLOWING)),
-f AS (SELECT k, j, row_number() OVER (PARTITION BY run ORDER BY k, j) > 1 AS later FROM g WHERE n = {MIN_LINES}),
-c AS (SELECT w.k, w.i, coalesce(max(f.later::INT) OVER (PARTITION BY w.k ORDER BY w.j ROWS BETWEEN {MIN_LINES - 1} PRECEDING AND CURRENT ROW), 0) AS gone
-      FROM w LEFT JOIN f USING (k, j)),
+x AS (SELECT k, i, j, l, len(regexp_extract_all(l, '[^\x20\x09-\x0D]+')) AS n_words FROM w),
+g AS ({" UNION ALL ".join(f"""SELECT k, j, {n} AS n, string_agg(l, chr(10)) OVER o AS run, count(*) OVER o AS c, sum(n_words) OVER o AS n_words FROM x
+      WINDOW o AS (PARTITION BY k ORDER BY j ROWS BETWEEN CURRENT ROW AND {n - 1} FOLLOWING)""" for n in range(1, MIN_LINES + 1))}),
+f AS (SELECT k, j, n, row_number() OVER (PARTITION BY n, run ORDER BY k, j) > 1 AS later FROM g
+      WHERE c = n AND (n = {MIN_LINES} OR n_words >= {MIN_WORDS})),
+z AS (SELECT DISTINCT k, unnest(range(j, j + n)) AS j FROM f WHERE later),
+c AS (SELECT w.k, w.i, (z.j IS NOT NULL)::INT AS gone FROM w LEFT JOIN z USING (k, j)),
 r AS (SELECT u.k, sum(coalesce(gone, 0)) AS n, string_agg(l, chr(10) ORDER BY u.i) FILTER (coalesce(gone, 0) = 0) AS kept
       FROM u LEFT JOIN c USING (k, i) GROUP BY u.k)
 SELECT doc_id, CAST(len(ls) AS BIGINT) AS n_lines, CAST(n AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
