@@ -8,8 +8,9 @@ and the rest is confirmed on the full shingle sets.
 
 Documents with equal sets form one class; only class representatives are compared. In a bucket of at most
 ``SMALL`` members all pairs are compared, a bounded number for each member. In a larger one the member that meets most
-others is the hub, and all members are compared with it only. Let d be the exact distance (one less similarity) and a link
-d <= t. Then for members x, y:
+others is the hub, and all members are compared with it only. Any text may serve as a hub, so buckets take the hub that
+most of their members know (``_hubs``): a group that meets in many buckets is compared with one hub. Let d be the exact
+distance (one less similarity) and a link d <= t. Then for members x, y:
 
 * if both are linked with the hub, they are connected already;
 * if x is not linked with the hub, a link of x and y forces them to share differences from the hub, that is
@@ -17,7 +18,7 @@ d <= t. Then for members x, y:
   join differences, for y only the rarest ones, as in prefix filtering (``_by_differences`` has the bound). Copies with
   unrelated edits share none, so a group of near copies does not yield its pairs;
 * if x is beyond 2t, y is not linked with the hub either. All that are not linked go on to the next round, where the rest of
-  the bucket has a hub of its own. Rests of at most ``SMALL`` members are compared in pairs. What is left after ``ROUNDS``
+  the bucket has a hub of its own; a rest without any x beyond 2t is settled by differences. Rests of at most ``SMALL`` members are compared in pairs. What is left after ``ROUNDS``
   rounds are texts that met by chance; those beyond 2t of their first hub are joined with all left on their rarest
   shingles, which is the same bound with an empty hub.
 
@@ -247,20 +248,29 @@ class _Tests:
 
 
 def _small_pairs(members: DataFrame) -> DataFrame:
+    """Pairs of each bucket of ``members(bucket, node, far)`` with at least one that is ``far``."""
     left, right = members.alias("l"), members.alias("r")
-    return left.join(right, (F.col("l.bucket") == F.col("r.bucket")) & (F.col("l.node") < F.col("r.node"))).select(
+    meet = (F.col("l.bucket") == F.col("r.bucket")) & (F.col("l.node") < F.col("r.node"))
+    return left.join(right, meet & (F.col("l.far") | F.col("r.far"))).select(
         F.col("l.node").alias("a"), F.col("r.node").alias("b")
     )
 
 
+def _hubs(active: DataFrame) -> DataFrame:
+    """A hub for each bucket: of its members' best hubs, each the strongest of their buckets, the one named most."""
+    first = active.groupBy("bucket").agg(F.max(F.struct("degree", (-F.col("node")).alias("less"))).alias("hub"))
+    best = active.join(first, "bucket").groupBy("node").agg(F.max("hub").alias("hub"))
+    votes = active.select("bucket", "node").join(best, "node").groupBy("bucket", "hub").agg(F.count("*").alias("votes"))
+    return votes.groupBy("bucket").agg((-F.max_by("hub.less", F.struct("votes", "hub"))).alias("hub"))
+
+
 def _hub_rounds(members: DataFrame, tests: _Tests) -> tuple[list[DataFrame], list[DataFrame], DataFrame]:
     """Measured (member, hub) pairs of each round, the pairs of rests that are small, and the nodes left."""
     degrees = members.groupBy("node").agg(F.sum("n").alias("degree"))
     active = kept_table(members.select("bucket", "node").join(degrees, "node").withColumn("far", F.lit(False)), "active")
     measured, direct = [], []
     for k in range(ROUNDS):
-        hubs = active.groupBy("bucket").agg(F.max_by("node", F.struct("degree", -F.col("node"))).alias("hub"))
-        asked = kept_table(active.join(hubs, "bucket").where("node <> hub"), "asked")
+        asked = kept_table(active.join(_hubs(active), "bucket").where("node <> hub"), "asked")
         pairs = kept_table(asked.select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct(), "hub-pairs")
         # a hub of one bucket can be a later hub of another one, so a pair may come again; it is measured once, as a second
         # row would count its differences twice and halve the prefix of ``_by_differences``
@@ -279,8 +289,10 @@ def _hub_rounds(members: DataFrame, tests: _Tests) -> tuple[list[DataFrame], lis
         rest = asked.join(
             judged.where(apart).select(F.col("a").alias("node"), F.col("b").alias("hub"), beyond.alias("beyond")), ["node", "hub"]
         ).select("bucket", "node", "degree", (F.col("far") | F.col("beyond")).alias("far"))
-        sized = kept_table(rest.join(rest.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "bucket"), "rest")
-        direct.append(_small_pairs(sized.where(F.col("n") <= SMALL).select("bucket", "node")))
+        # members within two links of their first hub meet there; only those beyond it need another
+        open_rests = rest.groupBy("bucket").agg(F.count("*").alias("n"), F.max("far").alias("open")).where("n > 1 and open")
+        sized = kept_table(rest.join(open_rests.drop("open"), "bucket"), "rest")
+        direct.append(_small_pairs(sized.where(F.col("n") <= SMALL).select("bucket", "node", "far")))
         active = sized.where(F.col("n") > SMALL).select("bucket", "node", "degree", "far")
         if not active.limit(1).count():
             break
@@ -294,22 +306,27 @@ def _by_differences(measured: DataFrame, component: DataFrame, percent: int) ->
     linked iff |x & y| >= c (|x| + |y|), that is iff they share at least
     ``s(x) + c |u(y)| + (1 - c) |m(y)|`` differences, where ``s(x) = c (|x| + |h|) - |x & h|`` is above 0 unless x is linked with h.
     So at least one of the shared ones is among y's first ``(1 - c) |u(y)| + c |m(y)| - s(x)`` and one more in any order;
-    rarest first leaves the fewest pairs. All terms are multiplied by 100 + percent to stay whole.
+    rarest first leaves the fewest pairs. The first shared one is also so far from x's end that the rest of x's differences
+    can hold the others, and sizes of linked sets differ by ``percent`` at most. All terms are multiplied by 100 + percent to
+    stay whole.
     """
     p = percent
     short = (F.col("n_a") + F.col("n_b")) * p - F.col("shared") * (100 + p)
     known = measured.where("more is not null").select(
         F.col("a").alias("node"), F.col("b").alias("hub"), short.alias("short"),
-        (F.size("more") * 100 + F.size("less") * p).alias("bound"), "far", "any", "more", "less",
+        (F.size("more") * 100 + F.size("less") * p).alias("bound"), (F.size("more") * p + F.size("less") * 100).alias("cost"),
+        F.col("n_a").alias("n"), "far", "any", "more", "less",
     )
-    open_hubs = known.where("short > 0").select("hub").distinct()
-    known = known.join(open_hubs, "hub").join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    # only members whose first differences reach the least open one of their hub take part
+    open_hubs = known.where("short > 0 and far").groupBy("hub").agg(F.min("short").alias("least"))
+    known = known.join(open_hubs, "hub").where("bound >= least").drop("least").join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    own = ["hub", "node", "component", "short", "bound", "cost", "n", "far", "any"]
     marks = known.select(
-        "hub", "node", "component", "short", "bound", "far", "any",
+        *own,
         F.explode(F.concat(F.transform("more", lambda x: F.struct(F.lit(1).alias("side"), x.alias("x"))),
                            F.transform("less", lambda x: F.struct(F.lit(0).alias("side"), x.alias("x"))))).alias("d"),
     )
-    marks = kept_table(marks.select("hub", "node", "component", "short", "bound", "far", "any", "d.*"), "differences")
+    marks = kept_table(marks.select(*own, "d.*"), "differences")
     common = marks.groupBy("hub", "side", "x").agg(F.count("*").alias("df"))
     order = Window.partitionBy("hub", "node").orderBy("df", "side", "x")
     ranked = kept_table(
@@ -318,9 +335,12 @@ def _by_differences(measured: DataFrame, component: DataFrame, percent: int) ->
     x = ranked.where("short > 0 and far").alias("p")
     y = ranked.where("short <= 0 or `any`").where(F.col("r") * (100 + p) <= F.col("bound")).alias("q")
     same = [F.col(f"p.{c}") == F.col(f"q.{c}") for c in ("hub", "side", "x")]
-    meet = same[0] & same[1] & same[2] & (F.col("p.component") != F.col("q.component")) & (
-        F.col("q.r") * (100 + p) + F.col("p.short") <= F.col("q.bound")
+    sized = F.least("p.n", "q.n") * 100 >= F.greatest("p.n", "q.n") * p
+    # bound and cost of a member add up to all its differences
+    enough = (F.col("q.r") * (100 + p) + F.col("p.short") <= F.col("q.bound")) & (
+        F.col("p.r") * (100 + p) + F.col("p.short") + F.col("q.cost") <= F.col("p.bound") + F.col("p.cost")
     )
+    meet = same[0] & same[1] & same[2] & (F.col("p.component") != F.col("q.component")) & sized & enough
     return x.join(y, meet).select(F.least("p.node", "q.node").alias("a"), F.greatest("p.node", "q.node").alias("b")).distinct()
 
 
@@ -358,7 +378,7 @@ def near_duplicates(
     )
     tests = _Tests(sketches, needed, shingle_words, percent)
     measured, direct, left = _hub_rounds(members.where(F.col("n") > SMALL), tests)
-    small = _small_pairs(members.where(F.col("n") <= SMALL).select("bucket", "node"))
+    small = _small_pairs(members.where(F.col("n") <= SMALL).select("bucket", "node", F.lit(True).alias("far")))
     for pairs in direct:
         small = small.union(pairs)
     links = tests.confirmed(small.distinct(), steady=True)

@@ -91,3 +91,28 @@ def test_hub_measured_once_over_rounds(spark, monkeypatch):
     component = spark.createDataFrame([(1, 1), (3, 1)], "node long, component long")
     known = rows.drop("total").withColumn("far", F.lit(True)).unionByName(tests.sets(left))
     assert (2, 3) in {(r.a, r.b) for r in near._by_differences(known, component, 80).collect()}
+
+
+def test_group_of_near_copies_has_one_hub(spark, monkeypatch):
+    """Copies meet in 32 bands with several strongest members; each is measured against few hubs, and few pairs come of it."""
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(70)]
+    rows = []
+    for i in range(400):
+        words = list(base)
+        for _ in range(rng.randint(1, 6)):
+            words[rng.randrange(len(words))] = f"n{rng.randrange(10_000)}"
+        rows.append((i, " ".join(words)))
+    counts = {"hub-pairs": [], "maybe": []}
+    keep, meet = near.kept_table, near._by_differences
+
+    def counted(df, name):
+        out = keep(df, name)
+        if name in counts:
+            counts[name].append(out.count())
+        return out
+
+    monkeypatch.setattr(near, "kept_table", counted)
+    monkeypatch.setattr(near, "_by_differences", lambda *a: counted(meet(*a), "maybe"))
+    check(spark, rows, 2)
+    assert counts["hub-pairs"][0] < 1.5 * len(rows) and counts["maybe"][0] < 5 * len(rows), counts
