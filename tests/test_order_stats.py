@@ -93,3 +93,24 @@ def test_parts_are_bounded_for_any_range(spark):
         mine = [r for r in got if r.g == g]
         assert len(mine) == len(set(all_values)) and {r.total for r in mine} == {len(all_values)}
         assert all(all_values.index(r.x) == r.before and all_values.count(r.x) == r.n for r in mine)
+
+
+def test_keys_are_counted_only_in_crowded_hashes(spark, monkeypatch):
+    from parcelle.functions import order_stats
+
+    kept, write = [], order_stats.stored
+    monkeypatch.setattr(order_stats, "stored", lambda df, name: kept.append(name) or write(df, name))
+    rows = [(f"k{i % 40}" if i % 3 else None, float(i % 17)) for i in range(400)]
+    df = spark.createDataFrame(rows, "k string, v double")
+
+    def medians(**options):
+        found = order_stats.grouped_stats(df, ["k"], [F.count(F.lit(1)).alias("n")], {"m": "v"}, **options)
+        return sorted((r.k or "", r.n, r.m) for r in found.collect())
+
+    want = medians()
+    assert kept == ["crowded-hashes"]
+    # all groups in two hashes, one of them large, and then none
+    monkeypatch.setattr(order_stats, "HASHES", 2)
+    assert medians(hot_rows=100) == want and "large-groups" in kept
+    kept.clear()
+    assert medians(hot_rows=150) == want and kept == ["crowded-hashes", "large-groups"]
