@@ -34,7 +34,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark import Broadcast
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelle.llm.common import components, kept_table, picked
@@ -56,6 +57,9 @@ SLACK = 6.0
 # Members of a bucket whose pairs are all compared; rounds of hubs.
 SMALL = 8
 ROUNDS = 3
+# Counters of coarse frequencies: a power of two up to this many (16 MB), sent by tasks in so many slices.
+MOST_COUNTERS = 1 << 22
+SLICES = 16
 
 
 def registers(code: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -196,6 +200,66 @@ def _full(shingle_words: int):
     return run
 
 
+def _slots(hub: np.ndarray, side: np.ndarray, x: np.ndarray, counters: int) -> np.ndarray:
+    """The counter of each difference ``x`` of a hub; ``side`` 1 is beyond it, 0 lacking."""
+    return (mix(x.view(U) ^ mix(hub.view(U) * U(2) + side.astype(U))) & U(counters - 1)).astype(np.int64)
+
+
+def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, side and code of all differences of a batch."""
+    rows, sides, codes = [], [], []
+    for side, name in ((1, "more"), (0, "less")):
+        column = batch.column(name)
+        values = column.flatten().to_numpy()
+        rows.append(np.repeat(np.arange(len(column)), np.diff(column.offsets.to_numpy())))
+        sides.append(np.full(len(values), side, dtype=np.int32))
+        codes.append(values)
+    return np.concatenate(rows), np.concatenate(sides), np.concatenate(codes)
+
+
+def _tally(counters: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(counters, dtype=np.int32)
+        for batch in batches:
+            row, side, x = _flat(batch)
+            hub = batch.column("hub").to_numpy()
+            counts += np.bincount(_slots(hub[row], side, x, counters), minlength=counters).astype(np.int32)
+        if counts.any():
+            parts = [part.tobytes() for part in np.split(counts, SLICES)]
+            yield pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), pa.array(parts, pa.binary())], names=["slice", "counts"])
+
+    return run
+
+
+def _added(table: pa.Table) -> pa.Table:
+    """One slice of counters from those of all tasks."""
+    total = sum(np.frombuffer(part.as_py(), dtype=np.int32).astype(np.int64) for part in table.column("counts"))
+    capped = np.minimum(total, np.iinfo(np.int32).max).astype(np.int32)
+    return pa.table({"slice": table.column("slice").slice(0, 1), "counts": pa.array([capped.tobytes()], pa.binary())})
+
+
+def _prefixes(own: list[str], frequencies: Broadcast):
+    """The first ``reach`` differences of each row, rarest first by the coarse frequencies, with their places."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.frombuffer(frequencies.value, dtype=np.int32)
+        for batch in batches:
+            row, side, x = _flat(batch)
+            often = counts[_slots(batch.column("hub").to_numpy()[row], side, x, len(counts))]
+            order = np.lexsort((x, side, often, row))
+            sizes = np.bincount(row, minlength=batch.num_rows)
+            place = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            first = place < batch.column("reach").to_numpy()[row[order]]
+            order, place = order[first], place[first]
+            whose = pa.array(row[order])
+            columns = [batch.column(c).take(whose) for c in own]
+            yield pa.RecordBatch.from_arrays(
+                [*columns, pa.array(side[order]), pa.array(x[order]), pa.array(place)], names=[*own, "side", "x", "r"]
+            )
+
+    return run
+
+
 class _Tests:
     """Comparisons of representatives by their sketches and full texts."""
 
@@ -308,32 +372,42 @@ def _by_differences(measured: DataFrame, component: DataFrame, percent: int) ->
     So at least one of the shared ones is among y's first ``(1 - c) |u(y)| + c |m(y)| - s(x)`` and one more in any order;
     rarest first leaves the fewest pairs. The first shared one is also so far from x's end that the rest of x's differences
     can hold the others, and sizes of linked sets differ by ``percent`` at most. All terms are multiplied by 100 + percent to
-    stay whole.
+    stay whole. Only differences within these places, for the least other side a row can meet, become rows; as any order will do,
+    they are sorted by coarse frequencies, counted beforehand in a fixed number of counters.
     """
     p = percent
     short = (F.col("n_a") + F.col("n_b")) * p - F.col("shared") * (100 + p)
     known = measured.where("more is not null").select(
         F.col("a").alias("node"), F.col("b").alias("hub"), short.alias("short"),
-        (F.size("more") * 100 + F.size("less") * p).alias("bound"), (F.size("more") * p + F.size("less") * 100).alias("cost"),
-        F.col("n_a").alias("n"), "far", "any", "more", "less",
-    )
-    # only members whose first differences reach the least open one of their hub take part
-    open_hubs = known.where("short > 0 and far").groupBy("hub").agg(F.min("short").alias("least"))
-    known = known.join(open_hubs, "hub").where("bound >= least").drop("least").join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        (F.size("more") * 100 + F.size("less") * p).cast("long").alias("bound"),
+        (F.size("more") * p + F.size("less") * 100).cast("long").alias("cost"),
+        F.col("n_a").alias("n"), F.col("n_b").alias("n_hub"), "far", "any", "more", "less",
+    ).join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    # only hubs with several components, and members whose first differences reach the least open one of their hub, take part
+    open_hubs = known.groupBy("hub").agg(
+        F.min(F.when(F.expr("short > 0 and far"), F.col("short"))).alias("least"), F.min("component").alias("low"), F.max("component").alias("high")
+    ).where("least is not null and low < high").select("hub", "least")
+    # a node linked with x costs at least p % of its bound, which reaches s(x); with an empty hub s(x) is p |x|, and |x| at least p % of |y|
+    as_x = F.floor((F.col("bound") + F.col("cost") - F.col("short") * (100 + p) / 100) / (100 + p)) + 1
+    least = F.when(F.col("n_hub") == 0, F.greatest("least", F.col("n") * p * p / 100)).otherwise(F.col("least"))
+    as_y = F.floor((F.col("bound") - least) / (100 + p)) + 1
+    reach = F.greatest(F.when(F.expr("short > 0 and far"), as_x).otherwise(0), F.when(F.expr("short <= 0 or `any`"), as_y).otherwise(0))
     own = ["hub", "node", "component", "short", "bound", "cost", "n", "far", "any"]
-    marks = known.select(
-        *own,
-        F.explode(F.concat(F.transform("more", lambda x: F.struct(F.lit(1).alias("side"), x.alias("x"))),
-                           F.transform("less", lambda x: F.struct(F.lit(0).alias("side"), x.alias("x"))))).alias("d"),
+    taking = kept_table(
+        known.join(open_hubs, "hub").where("bound >= least").select(*own, reach.cast("long").alias("reach"), "more", "less"), "taking"
     )
-    marks = kept_table(marks.select(*own, "d.*"), "differences")
-    common = marks.groupBy("hub", "side", "x").agg(F.count("*").alias("df"))
-    order = Window.partitionBy("hub", "node").orderBy("df", "side", "x")
-    ranked = kept_table(
-        marks.join(common, ["hub", "side", "x"]).withColumn("r", F.row_number().over(order) - 1).where("df > 1"), "ranked"
+    total = taking.agg(F.sum(F.size("more") + F.size("less")).cast("long")).first()[0] or 0
+    counters = min(MOST_COUNTERS, 1 << max(12, total.bit_length() - 2))
+    tallied = taking.select("hub", "more", "less").mapInArrow(_tally(counters), "slice int, counts binary")
+    slices = {r["slice"]: bytes(r.counts) for r in tallied.groupBy("slice").applyInArrow(_added, "slice int, counts binary").collect()}
+    frequencies = taking.sparkSession.sparkContext.broadcast(
+        b"".join(slices[k] for k in range(SLICES)) if slices else bytes(4 * counters)
     )
-    x = ranked.where("short > 0 and far").alias("p")
-    y = ranked.where("short <= 0 or `any`").where(F.col("r") * (100 + p) <= F.col("bound")).alias("q")
+    types = dict(taking.dtypes)
+    schema = ", ".join(f"`{c}` {types[c]}" for c in own) + ", side int, x long, r long"
+    marks = kept_table(taking.where("reach > 0").mapInArrow(_prefixes(own, frequencies), schema), "differences")
+    x = marks.where("short > 0 and far").alias("p")
+    y = marks.where("short <= 0 or `any`").where(F.col("r") * (100 + p) <= F.col("bound")).alias("q")
     same = [F.col(f"p.{c}") == F.col(f"q.{c}") for c in ("hub", "side", "x")]
     sized = F.least("p.n", "q.n") * 100 >= F.greatest("p.n", "q.n") * p
     # bound and cost of a member add up to all its differences

@@ -116,3 +116,23 @@ def test_group_of_near_copies_has_one_hub(spark, monkeypatch):
     monkeypatch.setattr(near, "_by_differences", lambda *a: counted(meet(*a), "maybe"))
     check(spark, rows, 2)
     assert counts["hub-pairs"][0] < 1.5 * len(rows) and counts["maybe"][0] < 5 * len(rows), counts
+
+
+def test_only_prefixes_of_differences_become_rows(spark, monkeypatch):
+    """Sets met by chance write a fifth of their shingles, and a link among them is found on any of these."""
+    rng = random.Random(6)
+    sets = {i: rng.sample(range(10**6), 100) for i in range(60)}
+    sets[60] = sets[7][:92] + rng.sample(range(10**6, 2 * 10**6), 8)
+    rows = [(True, True, i, -1, 0, len(s), 0, s, []) for i, s in sets.items()]
+    known = spark.createDataFrame(rows, "far boolean, `any` boolean, a long, b long, shared long, n_a long, n_b long, more array<long>, less array<long>")
+    written, keep = [], near.kept_table
+
+    def counted(df, name):
+        out = keep(df, name)
+        written.extend([out.count()] if name == "differences" else [])
+        return out
+
+    monkeypatch.setattr(near, "kept_table", counted)
+    component = spark.createDataFrame([], "node long, component long")
+    assert (7, 60) in {(r.a, r.b) for r in near._by_differences(known, component, 80).collect()}
+    assert written[0] <= 25 * len(sets), written
