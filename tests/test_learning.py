@@ -82,3 +82,28 @@ def test_similar_all_equals_brute_force(spark):
     for code, v in pool.items():
         near = sorted((sum((x - y) ** 2 for x, y in zip(v, w)), k) for k, w in pool.items())[:5]
         assert [n for _, n, _, _ in sorted(got[code])] == [k for _, k in near if k != code][:4]
+
+
+def test_similar_all_compares_blocks(spark, monkeypatch):
+    """Cells and queries are cut into blocks, and a block leaves each query no more rows than it can need."""
+    monkeypatch.setattr(similarity, "BLOCK", 16)
+    met, left = similarity._met, []
+    monkeypatch.setattr(similarity, "_met", lambda count: left.append(count) or met(count))
+    rng = random.Random(12)
+    rows = [(f"k{i:03d}", *[rng.gauss(0, 1) for _ in range(6)]) for i in range(150)] + [(f"e{i}", *[0.5] * 6) for i in range(9)]
+    columns = [f"c{i}" for i in range(6)]
+    df = spark.createDataFrame(rows, "code_commune string, " + ", ".join(f"{c} double" for c in columns))
+    got = {}
+    for r in similarity.similar_all(df, top=3, columns=columns).collect():
+        got.setdefault(r.code_commune, []).append((r.place, r.neighbour))
+    pool = {r.code_commune: r[1:] for r in similarity.standardise(df, columns).select("code_commune", *columns).collect()}
+    for code, v in pool.items():
+        near = sorted((sum((x - y) ** 2 for x, y in zip(v, w)), k) for k, w in pool.items())[:4]
+        assert [n for _, n in sorted(got[code])] == [k for _, k in near if k != code][:3]
+    assert left == [4, 4]
+    import pyarrow as pa
+
+    vectors = [[float(i), 0.0] for i in range(200)]
+    asked = pa.table({"query": ["a", "b"], "v": [[0.0, 0.0], [50.2, 0.0]], "bound": [100.0, 0.5]})
+    found = met(4)(asked, pa.table({"neighbour": [str(i) for i in range(200)], "w": vectors})).to_pydict()
+    assert list(zip(found["query"], found["neighbour"])) == [("a", "0"), ("a", "1"), ("a", "2"), ("a", "3"), ("b", "50")]
