@@ -44,6 +44,15 @@ def _age(snapshot: tuple) -> tuple:
     return (time is not None, time or "", price)
 
 
+def _newest(frame: pd.DataFrame) -> tuple:
+    """The first of the latest rows by ``_age``, whole columns at a time: a listing may hold a large share of a batch."""
+    timed = frame[frame["scraped_at"].notna()]
+    if len(timed):
+        frame = timed[timed["scraped_at"] == timed["scraped_at"].max()]
+    row = frame.iloc[int(frame["price_m2"].to_numpy().argmax())]
+    return (row.commune_code, float(row.price_m2), row.scraped_at if len(timed) else None)
+
+
 class LatestSnapshot(StatefulProcessor):
     """Keeps the latest snapshot of a listing and emits what changes."""
 
@@ -54,10 +63,9 @@ class LatestSnapshot(StatefulProcessor):
         before = tuple(self._latest.get()) if self._latest.exists() else None
         latest = before
         for frame in rows:
-            for row in frame[["commune_code", "price_m2", "scraped_at"]].itertuples(index=False):
-                snapshot = (row.commune_code, float(row.price_m2), None if pd.isna(row.scraped_at) else row.scraped_at)
-                if latest is None or _age(snapshot) > _age(latest):
-                    latest = snapshot
+            snapshot = _newest(frame)
+            if latest is None or _age(snapshot) > _age(latest):
+                latest = snapshot
         if latest == before:
             return
         self._latest.update(latest)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from parcelle.operators import aggregates, columns, dedup, filters, joins
 from parcelle.operators import listings as L
 from parcelle.plans import serving
-from parcelle.session import work_folder
+from parcelle.session import fan_out, work_folder
 from parcelle.sources import tables
 from parcelle.streaming import listing_mart
 from parcelle.streaming import listings_stream as stream
@@ -451,18 +451,18 @@ def stream_listing_stats(spark, folder):
 
 @query("stream_listing_refresh", ORACLES["stream_listing_stats"])
 def stream_listing_refresh(spark, folder):
-    """Figures kept by the stream over five files: four shares of the messages in no order of time, then a replay."""
+    """Figures kept by the stream over five arrivals: four shares of the messages in no order of time, then a replay."""
     place = f"{work_folder(spark)}/mart-{uuid.uuid4().hex}"
     key = F.col("event_id")
-    sent = S.table(spark, folder, "events").select(key, _message(key).alias("value"))
+    events = S.table(spark, folder, "events")
     for share in [key % 4 == k for k in (2, 0, 3, 1)] + [(key % 10 < 3) & (key % 13 != 0)]:
-        sent.where(share).select("value").coalesce(1).write.mode("append").text(f"{place}/inbox")
-    texts = spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).text(f"{place}/inbox")
-    decoded = stream.decode(texts).where(F.col("quarantine").isNull())
-    listings = filters.valid_listings(decoded.withColumn("source", F.col("source_name")).select(
-        "listing_id", "source", "commune_code", "price_m2", "scraped_at"
-    ))
-    _drained(listing_mart.start_mart(listings, f"{place}/table", f"{place}/checkpoint", drain=True, most=2))
+        # each share arrives as the files its tasks write, and the stream goes on where it stopped
+        fan_out(events.where(share)).select(_message(key).alias("value")).write.mode("append").text(f"{place}/inbox")
+        decoded = stream.decode(spark.readStream.schema("value string").text(f"{place}/inbox")).where(F.col("quarantine").isNull())
+        listings = filters.valid_listings(decoded.withColumn("source", F.col("source_name")).select(
+            "listing_id", "source", "commune_code", "price_m2", "scraped_at"
+        ))
+        _drained(listing_mart.start_mart(listings, f"{place}/table", f"{place}/checkpoint", drain=True, most=2))
     return rounded(listing_mart.current_figures(spark, f"{place}/table"))
 
 

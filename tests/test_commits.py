@@ -101,3 +101,16 @@ def test_mart_takes_older_snapshots_back(spark, tmp_path):
             for r in listing_mart.current_figures(spark, root).collect()
         }
         assert got == figures
+
+
+def test_newest_row_of_a_frame_by_age():
+    """One pass over whole columns gives the row that a comparison of all rows by age gives."""
+    import itertools
+
+    import pandas as pd
+
+    times, prices = [None, "2024-01-01", "2024-01-03"], [1.0, 4.0]
+    rows = [(str(k), p, t) for k, (t, p) in enumerate(itertools.product(times, prices))]
+    for chosen in itertools.permutations(rows, 3):
+        frame = pd.DataFrame(chosen, columns=["commune_code", "price_m2", "scraped_at"])
+        assert listing_mart._newest(frame) == max(chosen, key=listing_mart._age)
