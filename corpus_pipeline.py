@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelle.llm.bpe import bpe_decode, bpe_encode
+from parcelle.llm.bpe import bpe_round_trip
 from parcelle.llm.common import small_or_shuffled, table
 from parcelle.llm.lines import line_dedup
 from parcelle.llm.near import near_duplicates
@@ -54,8 +54,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of the texts, and the digest of what they decode to."""
-    path, pattern = public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN
-    coded = bpe_decode(bpe_encode(docs, path, pattern), path, pattern)
+    coded = bpe_round_trip(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
     return coded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256")
     )

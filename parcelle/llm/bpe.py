@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import base64
 import heapq
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache, cached_property
 
 import duckdb
@@ -185,12 +185,7 @@ def _packed(path: str) -> bytes:
         return file.read()
 
 
-def bpe_encode(
-    docs: DataFrame, path: str, pattern: str, id_column: str = "doc_id", text_column: str = "text",
-) -> DataFrame:
-    """``(doc_id, ids)``: token ids of each whole text, without special tokens."""
-    packed = _packed(path)
-
+def _encoder(packed: bytes, pattern: str) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = coder(packed, pattern)
         for batch in batches:
@@ -209,13 +204,10 @@ def bpe_encode(
                 )
                 at = end
 
-    return picked(docs, id_column, text_column).mapInArrow(run, "doc_id long, ids array<int>")
-
+    return run
 
-def bpe_decode(encoded: DataFrame, path: str, pattern: str, token_batch: int = TOKEN_BATCH) -> DataFrame:
-    """``(doc_id, ids, decoded)``: the bytes that the ids of each row stand for."""
-    packed = _packed(path)
 
+def _decoder(packed: bytes, pattern: str, token_batch: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = coder(packed, pattern)
         for batch in batches:
@@ -238,5 +230,32 @@ def bpe_decode(encoded: DataFrame, path: str, pattern: str, token_batch: int = T
                 )
                 at = end
 
+    return run
+
+
+def bpe_encode(
+    docs: DataFrame, path: str, pattern: str, id_column: str = "doc_id", text_column: str = "text",
+) -> DataFrame:
+    """``(doc_id, ids)``: token ids of each whole text, without special tokens."""
+    return picked(docs, id_column, text_column).mapInArrow(_encoder(_packed(path), pattern), "doc_id long, ids array<int>")
+
+
+def bpe_decode(encoded: DataFrame, path: str, pattern: str, token_batch: int = TOKEN_BATCH) -> DataFrame:
+    """``(doc_id, ids, decoded)``: the bytes that the ids of each row stand for."""
     rows = encoded.select("doc_id", F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
-    return rows.mapInArrow(run, "doc_id long, ids array<int>, decoded binary")
+    return rows.mapInArrow(_decoder(_packed(path), pattern, token_batch), "doc_id long, ids array<int>, decoded binary")
+
+
+def bpe_round_trip(
+    docs: DataFrame, path: str, pattern: str, id_column: str = "doc_id", text_column: str = "text", token_batch: int = TOKEN_BATCH,
+) -> DataFrame:
+    """``bpe_decode`` of ``bpe_encode`` in one Python worker for each task, so that it holds one vocabulary and database."""
+    packed = _packed(path)
+    encode, decode = _encoder(packed, pattern), _decoder(packed, pattern, token_batch)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from decode(encode(batches))
+        # what Arrow keeps for later would stay with the idle worker
+        pa.default_memory_pool().release_unused()
+
+    return picked(docs, id_column, text_column).mapInArrow(run, "doc_id long, ids array<int>, decoded binary")

@@ -63,3 +63,12 @@ def test_query_on_whole_small_table(spark, reference):
         ids = reference.encode_ordinary(texts[r.doc_id])
         assert r.n_tokens == len(ids) and r.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
+
+
+def test_round_trip_in_one_worker(spark):
+    """The same rows as both operators in a row, from one Python step, so that a task has one worker."""
+    df = spark.createDataFrame([(1, "un deux 123  trois\n"), (2, None), (3, "a" * 600 + " été")], "doc_id long, text string")
+    both = bpe_decode(bpe_encode(df, PATH, public_tokenizers.PATTERN), PATH, public_tokenizers.PATTERN)
+    once = bpe.bpe_round_trip(df, PATH, public_tokenizers.PATTERN)
+    assert sorted(map(tuple, once.collect())) == sorted(map(tuple, both.collect()))
+    assert once._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
