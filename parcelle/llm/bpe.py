@@ -6,7 +6,7 @@ of least rank, round by round, until no pair of the piece is in the table. Decod
 token rows with the vocabulary and adds their bytes up in order.
 
 The vocabulary is read on the driver (its size is fixed) and sent along; pieces seen before are kept in a bounded
-memory of the Python worker. Pieces above ``LONG`` bytes, where a round for each merge would grow with the square of
+memory of the Python worker, which forgets those of a single batch first. Pieces above ``LONG`` bytes, where a round for each merge would grow with the square of
 the length, are contracted with a heap of pairs instead, with the same result.
 
 Nulls are empty texts (or no tokens); repeated rows give equal rows; empty tables give empty results. Ids
@@ -35,7 +35,7 @@ LONG = 512
 BATCH = 15_000
 TEXT_BATCH = 1 << 20
 TOKEN_BATCH = 300_000
-REMEMBERED = 200_000
+REMEMBERED = 300_000
 
 ROUNDS = """
 WITH RECURSIVE t(w, tok, done) AS (
@@ -64,6 +64,7 @@ class Coder:
         self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, packed.splitlines())}
         self.pattern = regex.compile(pattern)
         self.known: dict[str, bytes] = {}  # ids as 32-bit integers
+        self.again: set[str] = set()  # pieces of known that a later batch met
         self.byte = np.array([self.ranks[bytes([i])] for i in range(256)], dtype=np.int32)
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "200MB", "temp_directory": ""})
         vocabulary = pa.table(
@@ -143,8 +144,13 @@ class Coder:
         """Pieces of each text, all of them known afterwards."""
         split = [self.pattern.findall(t) for t in texts]
         if len(self.known) > REMEMBERED:
-            self.known.clear()
-        fresh = set().union(*split).difference(self.known) if split else set()
+            # pieces that only one batch held make room; the others stay
+            kept = self.again if len(self.again) <= REMEMBERED // 2 else ()
+            self.known = {p: self.known[p] for p in kept}
+            self.again = set()
+        met = set().union(*split)
+        fresh = met.difference(self.known)
+        self.again |= met - fresh
         rest = []
         for piece in fresh:
             coded = piece.encode()

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelle.llm.bpe import bpe_decode, bpe_encode
+from parcelle.llm.bpe import bpe_round_trip
 from parcelle.llm.chat import format_chats
 from parcelle.llm.codes import ROUNDS, coded_vectors
 from parcelle.llm.common import table
@@ -173,7 +173,7 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
     path, pattern = public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN
-    coded = bpe_decode(bpe_encode(table(spark, folder, "documents"), path, pattern), path, pattern)
+    coded = bpe_round_trip(table(spark, folder, "documents"), path, pattern)
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

@@ -72,3 +72,22 @@ def test_round_trip_in_one_worker(spark):
     once = bpe.bpe_round_trip(df, PATH, public_tokenizers.PATTERN)
     assert sorted(map(tuple, once.collect())) == sorted(map(tuple, both.collect()))
     assert once._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+
+
+def test_frequent_pieces_stay_remembered(monkeypatch, reference):
+    """A full memory forgets pieces of one batch and keeps those met again; ids stay the same."""
+    monkeypatch.setattr(bpe, "REMEMBERED", 8)
+    code, contracted = bpe.Coder(bpe._packed(PATH), public_tokenizers.PATTERN), []
+    contract = code._contract
+    monkeypatch.setattr(code, "_contract", lambda pieces: contracted.extend(pieces) or contract(pieces))
+    for i in range(12):
+        text = f"zqzqxk vvkkqj{'abcdefghijkl'[i] * 3}xq" + " ".join(f"qq{c}xz{'mnopqrstuvwx'[i]}q" for c in "abc")
+        split = code.encode([text])[0]
+        ids = [int(x) for p in split for x in np.frombuffer(code.known[p], np.int32)]
+        assert ids == reference.encode_ordinary(text) and len(code.known) <= 16
+    assert contracted.count("zqzqxk") == 1 and len(contracted) > 30
+
+
+def test_query_has_one_worker_for_each_task(spark):
+    plan = op1(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
