@@ -32,12 +32,14 @@ def _quotes(line):
 
 def heads(lines: DataFrame) -> DataFrame:
     """``(source_file, head, broken)``: the first line of each file and whether some record may span lines."""
+    # numbers only, so that no task sorts its lines; the first lines are taken in a second reading
     splits = lines.groupBy("source_file", "block").agg(
-        F.min_by("line", "at").alias("head"), F.sum("quotes").alias("quotes"), F.sum(F.col("quotes") % 2).alias("odd")
+        F.min("at").alias("at"), F.sum("quotes").alias("quotes"), F.sum(F.col("quotes") % 2).alias("odd")
     )
-    return splits.groupBy("source_file").agg(
-        F.min_by("head", "block").alias("head"), ((F.sum("quotes") % 2 == 0) & (F.sum("odd") > 0)).alias("broken")
+    files = splits.groupBy("source_file").agg(
+        F.min_by("at", "block").alias("at"), ((F.sum("quotes") % 2 == 0) & (F.sum("odd") > 0)).alias("broken")
     )
+    return lines.select("at", F.col("line").alias("head")).join(F.broadcast(files), "at").select("source_file", "head", "broken")
 
 
 def records(lines: DataFrame) -> DataFrame:

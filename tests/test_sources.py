@@ -107,3 +107,14 @@ def test_records_across_splits(spark, tmp_path):
             assert {r.id: r.text for r in got} == want and len(got) == 400
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_headers_need_no_sorted_lines(spark, tmp_path):
+    """Headers are found by numbers in hash aggregates; lines are not sorted by file in their task."""
+    from parcelle.sources import records
+
+    for i in range(3):
+        (tmp_path / f"{i}.csv").write_text(f"a{i};b\n" + "1;2\n" * 50 + ('"x\ny";3\n' if i == 1 else ""))
+    found = records.heads(records.raw_lines(spark, [str(tmp_path)]))
+    assert sorted((r.head, r.broken) for r in found.collect()) == [("a0;b", False), ("a1;b", True), ("a2;b", False)]
+    assert "SortAggregate" not in found._jdf.queryExecution().executedPlan().toString()
