@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from parcelle.operators.columns import computed_once
 from parcelle.session import fan_out, stored
 
 GRID_DIGITS = 2
@@ -20,6 +21,8 @@ CROWD, ROOTS = 2.0, 16
 # A cell with more points than this is split.
 HOT_CELL = 100_000
 HOT_SALTS = 64
+# More centroids than this are not listed for a point cell; its places meet them as rows.
+LONG_LIST = 1_024
 
 
 def grid_counts(points: DataFrame, centroids: DataFrame, lat: str, lon: str, out: str) -> DataFrame:
@@ -136,7 +139,8 @@ def nearest_cells(places: DataFrame, cents: DataFrame) -> tuple[DataFrame, int]:
         pairs = wide.join(halves(q[level], "q"), ["_g", "qpx", "qpy"]).join(halves(c[level], "c"), ["_g", "cpx", "cpy"])
         # written at each level: planning a chain of all levels takes longer than their small tables
         found = stored(_bounded(pairs), "cell-pairs")
-    return found.join(q[0].select("_g", "qx", "qy", "qcount"), ["_g", "qx", "qy"]), bottom
+    sized = found.join(q[0].select("_g", "qx", "qy", "qcount"), ["_g", "qx", "qy"])
+    return stored(sized.join(c[0].select("_g", "cx", "cy", "ccount"), ["_g", "cx", "cy"]), "cell-pairs"), bottom
 
 
 def nearest(
@@ -146,40 +150,67 @@ def nearest(
     within: str | None = None,
     lat: str = "lat",
     lon: str = "lon",
+    places: DataFrame | None = None,
 ) -> DataFrame:
-    """Nearest centroid per point (squared degrees, smaller code on a tie).
+    """Nearest centroid per point (squared degrees, smaller code on a tie): the columns ``point_id`` of each point and its code.
 
-    Exact, and for no point against all centroids: ``nearest_cells`` leaves each occupied point cell few centroid cells, and
-    their centroids meet the cell's points. Cells with very many points are salted.
+    Exact, and for no point against all centroids: ``nearest_cells`` leaves each occupied point cell few centroid cells. Their
+    centroids are listed once for each point cell, and a point takes the nearest of its cell's list in its own row, so points
+    are shuffled at most once (not at all where the lists are small enough to broadcast) and never grouped. Points of
+    cells with very long lists take the answer of their distinct place instead, and cells with very many points are salted.
+    ``places`` are rows with the places of ``points``, if those are cheaper to read than the points themselves.
     """
     group = F.col(within) if within else F.lit(0)
     cents = centroids.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()).groupBy(
         group.alias("_g"), F.col("latitude").cast("double").alias("_clat"), F.col("longitude").cast("double").alias("_clon")
     ).agg(F.min("code_commune").alias("code_commune"))
     cents = stored(cents, "centroids")
-    located = points.where(F.col(lat).isNotNull() & F.col(lon).isNotNull() & group.isNotNull()).select(
-        *point_id, group.alias("_g"), F.col(lat).cast("double").alias("_lat"), F.col(lon).cast("double").alias("_lon")
-    )
-    cells, level = nearest_cells(located, cents.where(F.col("_g").isNotNull()))
+
+    def located(rows: DataFrame, *columns: str) -> DataFrame:
+        return rows.where(F.col(lat).isNotNull() & F.col(lon).isNotNull() & group.isNotNull()).select(
+            *columns, group.alias("_g"), F.col(lat).cast("double").alias("_lat"), F.col(lon).cast("double").alias("_lon")
+        )
+
+    cells, level = nearest_cells(located(points if places is None else places), cents.where(F.col("_g").isNotNull()))
     in_cell = cents.withColumns({"cx": _cell(F.col("_clon"), level), "cy": _cell(F.col("_clat"), level)})
-    salts = F.when(F.col("qcount") > HOT_CELL, F.sequence(F.lit(0), F.lit(HOT_SALTS - 1))).otherwise(F.array(F.lit(0)))
-    candidates = fan_out(cells, "_g", "cx", "cy").join(in_cell, ["_g", "cx", "cy"]).select(
-        "_g", "qx", "qy", "_clat", "_clon", "code_commune", F.explode(salts).alias("_salt")
-    )
-    placed = located.withColumns({"qx": _cell(F.col("_lon"), level), "qy": _cell(F.col("_lat"), level)})
-    hot = cells.where(F.col("qcount") > HOT_CELL).select("_g", "qx", "qy", F.lit(True).alias("_hot")).distinct()
-    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(*point_id), F.lit(HOT_SALTS))).otherwise(0)
-    salted = fan_out(
-        placed.join(hot, ["_g", "qx", "qy"], "left").withColumn("_salt", salt.cast("int")), "_g", "qx", "qy", "_salt"
+    meets = stored(cells.groupBy("_g", "qx", "qy").agg(F.sum("ccount").alias("_met"), F.max("qcount").alias("_points")), "met-cells")
+    sizes = meets.agg(F.max("_met").alias("met"), F.max("_points").alias("points")).first()
+    long_lists, hot_cells = (sizes.met or 0) > LONG_LIST, (sizes.points or 0) > HOT_CELL
+
+    listed = cells.join(meets.where(F.col("_met") > LONG_LIST), ["_g", "qx", "qy"], "left_anti") if long_lists else cells
+    lists = fan_out(listed, "_g", "cx", "cy").join(in_cell, ["_g", "cx", "cy"]).groupBy("_g", "qx", "qy").agg(
+        F.sort_array(F.collect_list(F.struct("code_commune", "_clat", "_clon"))).alias("_cents")
     )
-    dlat, dlon = F.col("_lat") - F.col("_clat"), F.col("_lon") - F.col("_clon")
-    return (
-        salted.join(candidates, ["_g", "qx", "qy", "_salt"])
-        .withColumn("_dist", dlat * dlat + dlon * dlon)
-        .groupBy(*point_id)
-        .agg(F.min(F.struct("_dist", "code_commune")).alias("_best"))
-        .select(*point_id, F.col("_best.code_commune").alias("code_commune"))
+    lists = stored(lists, "centroid-lists")
+    placed = located(points, *point_id).withColumns({"qx": _cell(F.col("_lon"), level), "qy": _cell(F.col("_lat"), level)})
+    keys = ["_g", "qx", "qy"]
+    if hot_cells:
+        hot = meets.where(F.col("_points") > HOT_CELL).select(*keys, F.lit(True).alias("_hot"))
+        salted = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(HOT_SALTS - 1))).otherwise(F.array(F.lit(0)))
+        lists = lists.join(hot, keys, "left").withColumn("_salt", F.explode(salted)).drop("_hot")
+        salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(*point_id), F.lit(HOT_SALTS))).otherwise(0)
+        placed = placed.join(hot, keys, "left").withColumn("_salt", salt.cast("int")).drop("_hot")
+        keys = [*keys, "_salt"]
+
+    def distance(clat: Column, clon: Column) -> Column:
+        dlat, dlon = F.col("_lat") - clat, F.col("_lon") - clon
+        return (dlat * dlat + dlon * dlon).alias("_dist")
+
+    # a list is in the order of codes, so the first of the least distances has the smaller code
+    met = placed.join(lists, keys).withColumn("_met", F.transform("_cents", lambda c: distance(c["_clat"], c["_clon"])))
+    first = F.array_position("_met", F.array_min("_met")).cast("int")
+    best = F.element_at("_cents", first)["code_commune"]
+    found = computed_once(met, {"code_commune": best}).select(*point_id, "code_commune")
+    if not long_lists:
+        return found
+    crowded = meets.where(F.col("_met") > LONG_LIST).select("_g", "qx", "qy")
+    beside = placed.join(crowded, ["_g", "qx", "qy"], "left_semi")
+    rows = fan_out(beside.select("_g", "qx", "qy", "_lat", "_lon").distinct(), "_g", "qx", "qy", "_lat", "_lon")
+    pairs = rows.join(cells.drop("qcount", "ccount"), ["_g", "qx", "qy"]).join(in_cell, ["_g", "cx", "cy"])
+    answers = pairs.groupBy("_g", "_lat", "_lon").agg(
+        F.min(F.struct(distance(F.col("_clat"), F.col("_clon")), "code_commune")).alias("_best")
     )
+    return found.unionByName(beside.join(answers, ["_g", "_lat", "_lon"]).select(*point_id, F.col("_best.code_commune").alias("code_commune")))
 
 
 def bounding_boxes(communes: DataFrame, margin: float = 0.1) -> DataFrame:

@@ -12,10 +12,15 @@ from parcelle.workloads.registry import query, rounded
 
 def _points(spark, folder):
     """Line items as points of interest around the communes' area."""
+    return _placed(S.table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey"))
+
+
+def _placed(rows):
+    """Place, department and type, which follow from the keys of a row."""
     step = (F.col("l_orderkey") * 7_919 + F.col("l_linenumber") * 104_729 + F.col("l_partkey") * 31) % 1_000_003
     kind = F.element_at(F.array(*[F.lit(t) for t in POI_TYPES]), (step % 10 + 1).cast("int"))
-    return S.table(spark, folder, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey",
+    return rows.select(
+        "*",
         F.lpad((F.col("l_partkey") % 25).cast("string"), 2, "0").alias("code_departement"),
         ((step % 10_007 + 41_000) / 1_000.0).alias("lat"),
         ((step * 13 % 14_009 - 5_000) / 1_000.0).alias("lon"),
@@ -32,13 +37,13 @@ _ID = ["l_orderkey", "l_linenumber", "l_partkey", "copy"]
 
 
 def _numbered(spark, folder):
-    """All points with a key: rows equal in order, line and part lie at one place and are numbered as copies."""
-    counted = _points(spark, folder).groupBy("l_orderkey", "l_linenumber", "l_partkey").agg(
-        F.min(F.struct("code_departement", "lat", "lon", "poi_type")).alias("p"), F.count("*").alias("n")
-    )
-    return counted.select(
-        "l_orderkey", "l_linenumber", "l_partkey", "p.*", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("copy")
-    )
+    """All points with a key: rows equal in order, line and part lie at one place and are numbered as copies.
+
+    Only the keys are shuffled; what follows from them is worked out afterwards.
+    """
+    counted = S.table(spark, folder, "lineitem").groupBy("l_orderkey", "l_linenumber", "l_partkey").agg(F.count("*").alias("n"))
+    copies = F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("copy")
+    return _placed(counted.select("l_orderkey", "l_linenumber", "l_partkey", copies))
 
 
 NUMBERED = f"""{POINTS}, numbered AS (
@@ -58,13 +63,14 @@ def _nearest_sql(extra: str) -> str:
 )
 def nearest_join(spark, folder):
     """Nearest commune of the point's own department."""
-    return spatial.nearest(_numbered(spark, folder), S.communes(spark, folder), _ID, within="code_departement")
+    points, communes = _numbered(spark, folder), S.communes(spark, folder)
+    return spatial.nearest(points, communes, _ID, within="code_departement", places=_points(spark, folder))
 
 
 @query("nearest_join_anywhere", f"WITH {NUMBERED}, {S.COMMUNES}, {_nearest_sql('')} SELECT * FROM nearest")
 def nearest_join_anywhere(spark, folder):
     """Nearest commune of all."""
-    return spatial.nearest(_numbered(spark, folder), S.communes(spark, folder), _ID)
+    return spatial.nearest(_numbered(spark, folder), S.communes(spark, folder), _ID, places=_points(spark, folder))
 
 
 _POI = ", ".join(f"CAST(count(poi_type) FILTER (poi_type = '{t}') AS INTEGER) AS {t}_count" for t in POI_TYPES)

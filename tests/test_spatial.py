@@ -56,3 +56,24 @@ def test_far_points_meet_few_centroids(spark):
     assert cells.join(
         cents.withColumns({"cx": spatial._cell(cents._clon, level), "cy": spatial._cell(cents._clat, level)}), ["_g", "cx", "cy"]
     ).count() < 6 * len(points)
+
+
+def test_long_lists_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(spatial, "LONG_LIST", 3, raising=False)
+    monkeypatch.setattr(spatial, "HOT_CELL", 20)
+    rng = random.Random(6)
+    # a ring around one place, whose centroids are all as near
+    centroids = [(f"r{i}", "01", 45.0 + a, 5.0 + b) for i, (a, b) in enumerate([(1, 0), (-1, 0), (0, 1), (0, -1)] * 2)]
+    centroids += [(f"c{i}", "01", rng.uniform(44, 46), rng.uniform(4, 6)) for i in range(40)]
+    points = [(i, "01", 45.0, 5.0) for i in range(30)] + [(100 + i, "01", rng.uniform(43, 47), rng.uniform(3, 7)) for i in range(100)]
+    points += [(300 + i, "01", 45 + rng.random() / 1e4, 5.0) for i in range(30)]
+    assert _run(spark, points, centroids) == _brute(points, centroids)
+
+
+def test_points_are_not_grouped(spark):
+    points = spark.createDataFrame([(1, "a", 45.0, 5.0), (1, "b", 48.0, 2.0), (1, "b", 48.0, 2.0)], "i int, kind string, lat double, lon double")
+    communes = spark.createDataFrame([("x", 45.0, 5.1), ("y", 48.0, 2.1)], "code_commune string, latitude double, longitude double")
+    found = spatial.nearest(points, communes, ["i", "kind"])
+    # each row keeps its own answer, without an aggregation over the points
+    assert sorted(tuple(r) for r in found.collect()) == [(1, "a", "x"), (1, "b", "y"), (1, "b", "y")]
+    assert "Aggregate" not in found._jdf.queryExecution().optimizedPlan().toString()
