@@ -84,11 +84,9 @@ _POI = ", ".join(f"CAST(count(poi_type) FILTER (poi_type = '{t}') AS INTEGER) AS
 )
 def poi_counts(spark, folder):
     """Assigned points counted by type; every commune appears."""
-    points = _numbered(spark, folder)
     communes = S.communes(spark, folder)
-    assigned = points.select(*_ID, "poi_type").join(
-        spatial.nearest(points, communes, _ID, within="code_departement"), _ID
-    )
+    # the type goes along with its point, so no point needs a number to find it again
+    assigned = spatial.nearest(_points(spark, folder), communes, [*_ID[:3], "poi_type"], within="code_departement")
     return joins.complete_counts(communes, aggregates.poi_counts(assigned), [f"{t}_count" for t in POI_TYPES])
 
 

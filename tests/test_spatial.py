@@ -77,3 +77,10 @@ def test_points_are_not_grouped(spark):
     # each row keeps its own answer, without an aggregation over the points
     assert sorted(tuple(r) for r in found.collect()) == [(1, "a", "x"), (1, "b", "y"), (1, "b", "y")]
     assert "Aggregate" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_poi_counts_numbers_no_points(spark):
+    from parcelle.workloads.spatial import poi_counts
+
+    plan = poi_counts(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [l_orderkey" not in plan and "Aggregate [code_commune" in plan
