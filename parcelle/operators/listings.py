@@ -145,21 +145,32 @@ _LEBONCOIN = (
 )
 
 
-def _leboncoin(ad: Column) -> dict[str, Column]:
-    def attribute(name: str) -> Column:
-        last = F.try_element_at(F.filter(ad["attributes"], lambda a: a["key"] == name), F.lit(-1))
-        return F.coalesce(last["value_label"], F.get(last["values"], F.lit(0)))
+# Attributes by name, the last of equal names.
+_ATTRIBUTES = {"_square": "square", "_area": "rooms_surface_area", "_rooms": "rooms", "_type": "real_estate_type", "_energy": "energy_rate"}
+
+
+def _leboncoin_steps(ad: Column) -> list[dict[str, Column]]:
+    """Columns worked out one after the other, so that no look-up is repeated and the code of a step stays short."""
+    place = lambda name: (F.size(ad["attributes"]) - F.array_position("_names", F.lit(name))).cast("int")
+    text = lambda *found: F.coalesce(*[c for f in found for c in (F.col(f)["value_label"], F.get(F.col(f)["values"], F.lit(0)))])
+    return [
+        {"_names": F.reverse(ad["attributes"]["key"])},
+        {column: F.get(ad["attributes"], place(name)) for column, name in _ATTRIBUTES.items()},
+        {"_square": text("_square", "_area"), "_rooms": text("_rooms"), "_type": text("_type"), "_energy": text("_energy")},
+    ]
 
+
+def _leboncoin(ad: Column) -> dict[str, Column]:
     return {
         "listing_id": F.coalesce(ad["list_id"], F.lit("")),
         "price": F.get(ad["price"], F.lit(0)).try_cast("double"),
-        "surface_m2": to_number(F.coalesce(attribute("square"), attribute("rooms_surface_area"))),
-        "rooms": attribute("rooms").try_cast("int"),
+        "surface_m2": to_number(F.col("_square")),
+        "rooms": F.col("_rooms").try_cast("int"),
         "city": ad["location"]["city"],
         "postal_code": ad["location"]["zipcode"],
         "url": ad["url"],
-        "property_type": attribute("real_estate_type"),
-        "energy_class": attribute("energy_rate"),
+        "property_type": F.col("_type"),
+        "energy_class": F.col("_energy"),
     }
 
 
@@ -210,6 +221,7 @@ _PORTALS = {
     "seloger": (_SELOGER, _seloger), "leboncoin": (_LEBONCOIN, _leboncoin),
     "cdc_habitat": (_CDC_HABITAT, _cdc_habitat), "bienici": (_BIENICI, _bienici),
 }
+_STEPS = {"leboncoin": _leboncoin_steps}
 _TYPES = {"price": "double", "surface_m2": "double", "price_m2": "double", "rooms": "int",
           "latitude": "double", "longitude": "double"}
 
@@ -227,6 +239,8 @@ def normalize_listings(raw: DataFrame, portal: str) -> DataFrame:
     parsed = raw.withColumn("_ad", F.from_json("payload", schema)).withColumnsRenamed(
         {"postal_code": "_postal", "scraped_at": "_scraped"}
     )
+    for columns in _STEPS.get(portal, lambda ad: [])(F.col("_ad")):
+        parsed = parsed.withColumns(columns)
     rows = computed_once(parsed, cells).select(*cells)
     price, surface = F.col("price"), F.col("surface_m2")
     if portal in ("seloger", "leboncoin"):

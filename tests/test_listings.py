@@ -61,3 +61,19 @@ def test_leboncoin_last_attribute_wins(spark):
     raw = spark.createDataFrame([(json.dumps(ad), "p", "t"), ("{bad", "p", "t")], "payload string, location string, scraped_at string")
     rows = L.normalize_listings(raw, "leboncoin").collect()
     assert [(r.listing_id, r.surface_m2, r.price_m2) for r in rows] == [("7", 50.0, 2.0)]
+
+
+def test_leboncoin_looks_each_attribute_up_once(spark):
+    payloads = [
+        '{"list_id": 1, "price": [100], "attributes": [{"key": "square", "values": ["20"]}, {"key": "square", "value_label": "50,5"}, null]}',
+        '{"list_id": 2, "price": [100], "attributes": [{"key": "rooms_surface_area", "values": ["40"]}, {"value_label": "x"}, {"key": "square"}]}',
+        '{"list_id": 3, "price": [100], "attributes": null}', '{"list_id": 4, "price": [100]', "",
+        '{"list_id": 5, "price": [90], "attributes": [{"key": "square", "values": []}, {"key": "square", "values": ["9"]}, {"key": "rooms", "values": ["2"]}]}',
+    ]
+    raw = spark.createDataFrame([(p, "75056", "t") for p in payloads], "payload string, location string, scraped_at string")
+    rows = L.normalize_listings(raw, "leboncoin")
+    assert {(r.listing_id, r.surface_m2, r.price_m2, r.rooms) for r in rows.collect()} == {
+        ("1", 50.5, 1.98, None), ("2", 40.0, 2.5, None), ("5", 9.0, 10.0, 2),
+    }
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("array_position") == 5 and "lambdafunction" not in plan and plan.count("from_json") == 1
