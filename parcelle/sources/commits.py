@@ -12,6 +12,7 @@ to the driver, as with any partition listing.
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable, Sequence
 from urllib.parse import unquote
@@ -47,20 +48,29 @@ def live_folders(spark: SparkSession, path: str) -> DataFrame:
     return added.join(log.select(F.explode("remove").alias("folder")), "folder", "left_anti")
 
 
-def committed(spark: SparkSession, path: str, batch_id: int, writer: str = "stream") -> bool:
-    known = commits(spark, path).where((F.col("batch_id") == batch_id) & (F.col("writer") == writer))
-    return known.limit(1).count() > 0
+def _known(spark: SparkSession, path: str, batch_id: int, writer: str) -> tuple[bool, int]:
+    """Whether a batch is in the table, and the last version, by one look at the log."""
+    mine = (F.col("batch_id") == batch_id) & (F.col("writer") == writer)
+    found = commits(spark, path).agg(F.max(mine), F.max("version")).first()
+    return bool(found[0]), found[1] or 0
 
 
 def commit(spark: SparkSession, path: str, batch_id: int, add: Sequence[str], remove: Sequence[str] = (), writer: str = "stream",
-           entries: int = 0) -> None:
-    last = commits(spark, path).agg(F.max("version")).first()[0]
-    texts = lambda xs: F.array(*[F.lit(x) for x in xs]).cast("array<string>")
-    row = spark.range(1).select(
-        F.lit((last or 0) + 1).alias("version"), F.lit(batch_id).cast("bigint").alias("batch_id"), F.lit(writer).alias("writer"),
-        texts(add).alias("add"), texts(remove).alias("remove"), F.lit(entries).cast("bigint").alias("entries"),
-    )
-    row.coalesce(1).write.mode("append").json(f"{path}/{LOG}")
+           entries: int = 0, last: int | None = None) -> None:
+    """Adds a file to the log: written aside under a name that no reader lists, then renamed. ``last`` spares a look at the log."""
+    if last is None:
+        last = commits(spark, path).agg(F.max("version")).first()[0] or 0
+    row = {"version": last + 1, "batch_id": batch_id, "writer": writer, "add": list(add), "remove": list(remove), "entries": entries}
+    place = spark._jvm.org.apache.hadoop.fs.Path
+    files, name = place(path).getFileSystem(spark._jsc.hadoopConfiguration()), uuid.uuid4().hex
+    aside, seen = place(f"{path}/{LOG}/.{name}.tmp"), place(f"{path}/{LOG}/part-{name}.json")
+    out = files.create(aside, False)
+    try:
+        out.write(bytearray((json.dumps(row) + "\n").encode()))
+    finally:
+        out.close()
+    if not files.rename(aside, seen):
+        raise OSError(f"no commit of batch {batch_id} under {path}")
 
 
 def _write(df: DataFrame, path: str, by: Sequence[str], folder_id: int) -> list[str]:
@@ -81,9 +91,10 @@ def _write(df: DataFrame, path: str, by: Sequence[str], folder_id: int) -> list[
 def append_batch(df: DataFrame, path: str, by: Sequence[str], batch_id: int, writer: str = "stream") -> bool:
     """Adds a batch; ``False`` if a batch of this id is in the table already."""
     spark = df.sparkSession
-    if committed(spark, path, batch_id, writer):
+    known, last = _known(spark, path, batch_id, writer)
+    if known:
         return False
-    commit(spark, path, batch_id, _write(df, path, by, batch_id), writer=writer)
+    commit(spark, path, batch_id, _write(df, path, by, batch_id), writer=writer, last=last)
     return True
 
 

@@ -114,3 +114,19 @@ def test_newest_row_of_a_frame_by_age():
     for chosen in itertools.permutations(rows, 3):
         frame = pd.DataFrame(chosen, columns=["commune_code", "price_m2", "scraped_at"])
         assert listing_mart._newest(frame) == max(chosen, key=listing_mart._age)
+
+
+def test_a_commit_runs_no_job_and_appears_whole(spark, tmp_path):
+    """The log's file is written and renamed by the driver; one look at the log serves the batch and its version."""
+    path, seen = str(tmp_path / "t"), spark.sparkContext.statusTracker()
+    assert commits.append_batch(_rows(spark, [("a", 1, "é x")]), path, ["p"], 0)
+    spark.sparkContext.setJobGroup("commit", "commit")
+    try:
+        commits.commit(spark, path, 7, ["p=%C3%A9 x/batch_id=7"], ["p=é/batch_id=0"], last=4)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert not seen.getJobIdsForGroup("commit")
+    log = {r.version: (r.batch_id, r.writer, r.add, r.remove, r.entries) for r in commits.commits(spark, path).collect()}
+    assert log[5] == (7, "stream", ["p=%C3%A9 x/batch_id=7"], ["p=é/batch_id=0"], 0) and set(log) == {1, 5}
+    assert not [f.name for f in (tmp_path / "t" / "_commits").iterdir() if f.name.endswith(".tmp")]
+    assert commits._known(spark, path, 7, "stream") == (True, 5) and commits._known(spark, path, 7, "other") == (False, 5)
